@@ -95,9 +95,10 @@ def finish_two_sided(df: DataFrame, design: ReplicateDesign, keys: list[str],
         "diff_mean": F.when(empty, zero).otherwise(F.element_at("d", 1)),
         "diff_se": F.when(empty, zero).otherwise(m * F.sqrt(replicate_var(F.col("d"), design))),
     }
+    # the empty-cell row carries zero counts on both sides
     return t.select(*keys, "metric", *[v.alias(k) for k, v in est.items()],
-                    F.coalesce("n1", F.lit(0)).cast("bigint").alias("n1"),
-                    F.coalesce("n0", F.lit(0)).cast("bigint").alias("n0"))
+                    F.when(empty, 0).otherwise(F.col("n1")).cast("bigint").alias("n1"),
+                    F.when(empty, 0).otherwise(F.col("n0")).cast("bigint").alias("n0"))
 
 
 def finish_one_sided(df: DataFrame, design: ReplicateDesign, keys: list[str],
