@@ -206,3 +206,25 @@ def us_total(gcube: DataFrame, design: ReplicateDesign) -> DataFrame:
 def mean_by(cube: DataFrame, design: ReplicateDesign, keys: list[str]) -> DataFrame:
     """Replicate mean and SE of each cell at any grain of the cube."""
     return finish_one_sided(rollup(cube, [*keys, "rep"]), design, keys)
+
+
+def group_contrast(df: DataFrame, design: ReplicateDesign, metric: str,
+                   group_col: str, keys: list[str] | None = None) -> DataFrame:
+    """A4 + A6 (+ A16): ``group_col == 1`` vs ``group_col == 0`` per cell of ``keys``.
+
+    The general svyby/svycontrast pair on any 0/1 grouping column, from the
+    same per-replicate sums: one aggregation to (keys, group, rep), one
+    conditional pivot of the two groups, then the shared finish.
+    """
+    from repweave.operators.cube import sufficient_stats
+    keys = keys or []
+    cube = sufficient_stats(df.where(F.col(group_col).isin(0, 1)), design, [metric],
+                            [*keys, group_col])
+    g1 = F.col(group_col) == 1
+    aggs = []
+    for c in stat_cols([metric]):
+        zero = F.lit(0) if c.startswith("n__") else F.lit(0.0)
+        aggs.append(F.coalesce(F.sum(F.when(g1, F.col(c))), zero).alias("a_" + c))
+        aggs.append(F.coalesce(F.sum(F.when(~g1, F.col(c))), zero).alias("b_" + c))
+    sides = cube.groupBy(*keys, "rep").agg(*aggs)
+    return finish_two_sided(sides, design, keys, [metric])

@@ -12,6 +12,7 @@ the cube, whose size is fixed by the dimension domains.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +24,7 @@ from repweave.operators import estimate as E
 from repweave.operators.cube import geo_week_cube, to_intervals
 from repweave.operators.design import ROLLING, ReplicateDesign
 from repweave.operators.intervals import current_week
+from repweave.session import checkpoint_dir
 
 @dataclass
 class Estimates:
@@ -32,14 +34,33 @@ class Estimates:
     n_weeks: int
 
 
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` as a Parquet table in the shared checkpoint folder and read
+    it back: one job, lineage cut, survives executor loss, and later stages
+    plan against a small columnar scan.
+    """
+    base = checkpoint_dir(df.sparkSession).rstrip("/")
+    path = f"{base}/repweave-{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def week_cube(df: DataFrame, design: ReplicateDesign = ROLLING,
+              metrics: list[str] = K.METRICS) -> tuple[DataFrame, int]:
+    """The one respondent-level aggregation, materialised, plus the current
+    week (S18) read from the small cube instead of re-scanning respondents."""
+    wc = materialize(geo_week_cube(df, design, metrics), "week-cube")
+    return wc, current_week(wc)
+
+
 def geo_cube_of(df: DataFrame, design: ReplicateDesign = ROLLING,
                 metrics: list[str] = K.METRICS, n_weeks: int | None = None,
                 ) -> tuple[DataFrame, int]:
-    """Estimation input rows -> geo cube (and the number of weeks used)."""
-    n = n_weeks if n_weeks is not None else current_week(df)
-    wc = geo_week_cube(df, design, metrics)
-    ic = to_intervals(wc, n)
-    return E.geo_cube(ic), n
+    """Estimation input rows -> materialised geo cube (and the number of weeks)."""
+    wc, n = week_cube(df, design, metrics)
+    if n_weeks is not None:
+        n = n_weeks
+    return materialize(E.geo_cube(to_intervals(wc, n)), "geo-cube"), n
 
 
 def _grid(geos: DataFrame, n_weeks: int, metrics: list[str],

@@ -190,7 +190,7 @@ group by i"""))
 def rolling_fanout_q(spark, sf_dir):
     """J4 + P36: each respondent row in the (up to two) intervals containing its week."""
     df = est_input(spark, sf_dir)
-    n = current_week(df)
+    n = current_week(T.raw_microdata(spark, sf_dir).select("week"))
     fan = rolling_fanout(df, n)
     return (fan.groupBy("week_num", "interval_start")
             .agg(F.count(F.lit(1)).alias("n"),
@@ -284,8 +284,8 @@ def svy_mean_by_race(spark, sf_dir):
     """Rolling national mean and SE by race label (NULL label is its own group)."""
     from repweave.operators.cube import sufficient_stats, to_intervals
     ei = est_input(spark, sf_dir)
-    n = current_week(ei)
-    cube = to_intervals(sufficient_stats(ei, ROLLING, K.METRICS, ["week", "hisp_rrace"]), n)
+    wc = FT.materialize(sufficient_stats(ei, ROLLING, K.METRICS, ["week", "hisp_rrace"]))
+    cube = to_intervals(wc, current_week(wc))
     out = E.finish_one_sided(cube, ROLLING, ["interval_start", "hisp_rrace"], K.METRICS)
     return out.withColumn("interval_start", F.col("interval_start").cast("int"))
 
@@ -297,8 +297,8 @@ def us_total_q(spark, sf_dir):
     """A10: national rolling mean + SE (x2) per interval over non-NULL rows."""
     from repweave.operators.cube import sufficient_stats, to_intervals
     ei = est_input(spark, sf_dir)
-    n = current_week(ei)
-    cube = to_intervals(sufficient_stats(ei, ROLLING, K.METRICS, ["week"]), n)
+    wc = FT.materialize(sufficient_stats(ei, ROLLING, K.METRICS, ["week"]))
+    cube = to_intervals(wc, current_week(wc))
     return E.finish_one_sided(cube, ROLLING, ["week_num", "interval_start"], K.METRICS)
 
 
