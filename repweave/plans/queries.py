@@ -365,3 +365,211 @@ def sigdiff_count(spark, sf_dir):
     return ft.groupBy("metric", "geo_type").agg(
         F.count(F.lit(1)).alias("n_cells"), F.count("sigdiff").alias("n_tested"),
         F.coalesce(F.sum("sigdiff"), F.lit(0)).cast("bigint").alias("n_sigdiff"))
+
+
+# ----------------------------------------------------------------- regression --
+
+def _national_race_sides(spark, sf_dir):
+    """National (interval, race, rep) cube with race-complement sums."""
+    from repweave.operators.cube import sufficient_stats, to_intervals
+    ei = est_input(spark, sf_dir)
+    wc = FT.materialize(sufficient_stats(ei, ROLLING, K.METRICS, ["week", "race"]), "race-cube")
+    ic = to_intervals(wc, current_week(wc))
+    sides = E.with_complement(ic, ["interval_start", "week_num", "rep"], "race", K.METRICS)
+    return (sides.where(F.col("race").isin(*K.RACE_GROUPS))
+            .withColumnRenamed("race", "race_indicator"))
+
+
+_GLM_SQL = "with " + O.prepared_ctes() + "," + O.long_ctes(K.METRICS) + f""",
+cls as (select interval_start, metric, race, rep, count(*) as n, sum(w) as sw, sum(w * x) as swx
+        from lng group by all),
+tg as (select * from (values {", ".join(f"('{g}')" for g in K.RACE_GROUPS)}) v(race_indicator)),
+xr as (select c.interval_start, c.metric, tg.race_indicator, c.rep, c.n, c.sw, c.swx,
+              case when c.race = tg.race_indicator then 1.0 else 0.0 end as xi
+       from cls c cross join tg),
+s as (select interval_start, metric, race_indicator, rep, sum(n) as n, sum(sw) as s,
+             sum(sw * xi) as sx, sum(swx) as sy, sum(sw * xi * xi) as sxx, sum(swx * xi) as sxy
+      from xr group by all),
+b as (select *, (s * sxy - sx * sy) / nullif(s * sxx - sx * sx, 0) as b from s),
+a as (select *, (sy - b * sx) / nullif(s, 0) as a from b),
+c0 as (select interval_start, metric, race_indicator, n, a as a0, b as b0 from a where rep = 0)
+select c0.metric, c0.race_indicator, 'wk' || c0.interval_start || '_' || (c0.interval_start + 1) as week_num,
+       round(c0.a0, 9) as intercept, round(c0.b0, 9) as slope,
+       round(2 * sqrt(coalesce(sum(power(a.b - c0.b0, 2)), 0) / {K.N_REPLICATES}), 9) as slope_se,
+       c0.n as n
+from a join c0 using (interval_start, metric, race_indicator) where a.rep > 0
+group by c0.interval_start, c0.metric, c0.race_indicator, c0.a0, c0.b0, c0.n"""
+
+
+@register("svy_glm", _GLM_SQL)
+def svy_glm_q(spark, sf_dir):
+    """Weighted regression metric ~ 1{race group}, national, per interval;
+    replicate SE of the slope (x2). Closed form from merged sums."""
+    from repweave.operators.regression import fit_from_sums
+    sides = _national_race_sides(spark, sf_dir)
+    keys = ["week_num", "race_indicator"]
+    structs = []
+    for m in K.METRICS:
+        a_sw, b_sw = F.col(f"a_sw__{m}"), F.col(f"b_sw__{m}")
+        a_swx, b_swx = F.col(f"a_swx__{m}"), F.col(f"b_swx__{m}")
+        structs.append(F.struct(F.lit(m).alias("metric"),
+                                (F.col(f"a_n__{m}") + F.col(f"b_n__{m}")).alias("n"),
+                                (a_sw + b_sw).alias("s"), a_sw.alias("sx"),
+                                (a_swx + b_swx).alias("sy"), a_sw.alias("sxx"), a_swx.alias("sxy")))
+    long = sides.select(*keys, "rep", F.inline(F.array(*structs))).where(F.col("n") > 0)
+    return fit_from_sums(long, ROLLING, [*keys, "metric"])
+
+
+@register("check_glm")
+def check_glm(spark, sf_dir):
+    """|regression slope| and its SE equal |diff_mean| and diff_se (4 digits)."""
+    glm = svy_glm_q(spark, sf_dir)
+    con = _contrast(lambda: F.lit(True), "national")(spark, sf_dir)
+    j = con.join(glm, ["metric", "race_indicator", "week_num"], "left")
+    r4 = lambda c: F.round(c, 4)
+    return j.select("metric", "race_indicator", "week_num",
+                    ((r4(F.abs("slope")) == r4(F.abs("diff_mean")))
+                     & (r4("slope_se") == r4("diff_se"))).alias("ok"))
+
+
+# ------------------------------------------------------------------------ EDA --
+
+@register("hh_size_by_race", _sql("""
+select week, hisp_rrace, case when count(thhld_numper) = count(*) then avg(thhld_numper) end as mean,
+       count(*) as n
+from (select distinct scram, week, hisp_rrace, thhld_numper from rec) d group by week, hisp_rrace"""))
+def hh_size_by_race(spark, sf_dir):
+    """A17 + A19: mean household size by week and race label over distinct respondents."""
+    from repweave.operators.reshape import group_mean
+    d = prepared(spark, sf_dir).dropDuplicates(["scram", "week"])
+    return group_mean(d, ["week", "hisp_rrace"], "thhld_numper")
+
+
+@register("hh_size_by_geo", _sql("""
+, d as (select distinct scram, week, state, cbsa_title, thhld_numper from rec)
+select week, 'state' as geo_type, state as geography,
+       case when count(thhld_numper) = count(*) then avg(thhld_numper) end as mean, count(*) as n
+from d group by week, state
+union all
+select week, 'msa' as geo_type, cbsa_title as geography,
+       case when count(thhld_numper) = count(*) then avg(thhld_numper) end as mean, count(*) as n
+from d group by week, cbsa_title"""))
+def hh_size_by_geo(spark, sf_dir):
+    """Mean household size by week and state, and by week and metro (NULL = no metro)."""
+    from repweave.operators.reshape import group_mean
+    d = prepared(spark, sf_dir).dropDuplicates(["scram", "week"])
+    st = group_mean(d, ["week", "state"], "thhld_numper").select(
+        "week", F.lit("state").alias("geo_type"), F.col("state").alias("geography"), "mean", "n")
+    ms = group_mean(d, ["week", "cbsa_title"], "thhld_numper").select(
+        "week", F.lit("msa").alias("geo_type"), F.col("cbsa_title").alias("geography"), "mean", "n")
+    return st.unionByName(ms)
+
+
+@register("ratio_of_sums", _sql("""
+select week, state, sum(pweight * inc_loss) as sum_num,
+       sum(case when inc_loss is not null then pweight end) as sum_den,
+       sum(pweight * inc_loss) / nullif(sum(case when inc_loss is not null then pweight end), 0) as ratio
+from rec group by week, state"""))
+def ratio_of_sums_q(spark, sf_dir):
+    """Weighted count over weighted base per week and state."""
+    from repweave.operators.reshape import ratio_of_sums
+    d = recoded(spark, sf_dir)
+    d = d.join(F.broadcast(T.state_table(spark, sf_dir)), d.est_st == F.col("state_code"), "left")
+    return ratio_of_sums(d, ["week", "state"], F.col("pweight") * F.col("inc_loss"),
+                         F.when(F.col("inc_loss").isNotNull(), F.col("pweight")))
+
+
+# -------------------------------------------------------------- reshape/grid --
+
+@register("unpivot_metrics", _sql(f"""
+select week, metric, value, count(*) as n
+from (unpivot (select week, {O.metric_list(K.METRICS)} from est)
+      on {O.metric_list(K.METRICS)} into name metric value value)
+group by week, metric, value"""))
+def unpivot_metrics_q(spark, sf_dir):
+    """The 16 metric columns stacked to (metric, value), NULLs dropped."""
+    from repweave.operators.reshape import unpivot_metrics
+    long = unpivot_metrics(est_input(spark, sf_dir), ["week"], K.METRICS)
+    return long.groupBy("week", "metric", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _vals(col, items):
+    return "(select * from (values " + ", ".join(f"({O._sq(str(x))})" for x in items) + f") v({col}))"
+
+
+@register("grid", _sql(f"""
+, mx as (select max(week) as nw from est),
+geos as (select distinct 'state' as geo_type, state as geography from est where state is not null
+         union select distinct 'msa', cbsa_title from est where cbsa_title is not null)
+select g.geo_type, g.geography, m.metric, r.race_indicator,
+       'wk' || i.s || '_' || (i.s + 1) as week_num
+from geos g, mx, range(1, mx.nw) i(s), {_vals('metric', K.METRICS)} m,
+     {_vals('race_indicator', K.RACE_INDICATORS)} r"""))
+def grid_q(spark, sf_dir):
+    """Metric x race indicator x geography x interval skeleton of the feature table."""
+    from repweave.functions.scalar import interval_label
+    from repweave.operators.reshape import literal_grid
+    raw = T.raw_microdata(spark, sf_dir)
+    n = current_week(raw.select("week"))
+    p = prepared(spark, sf_dir)
+    geos = (p.select(F.lit("state").alias("geo_type"), F.col("state").alias("geography"))
+            .unionByName(p.select(F.lit("msa").alias("geo_type"),
+                                  F.col("cbsa_title").alias("geography")))
+            .where(F.col("geography").isNotNull()).distinct())
+    g = literal_grid(geos, {"metric": K.METRICS, "race_indicator": K.RACE_INDICATORS,
+                            "s": list(range(1, n))})
+    return g.select("geo_type", "geography", "metric", "race_indicator",
+                    interval_label(F.col("s")).alias("week_num"))
+
+
+@register("pad_missing_cells", "with " + O.prepared_ctes() + "," + O.long_ctes(K.METRICS) + ","
+          + O.us_total_ctes() + f""",
+gr as (select m.metric, cast(i.s as int) as interval_start, 'wk' || i.s || '_' || (i.s + 1) as week_num
+       from mxw, range(1, mxw.nw) i(s), {_vals('metric', K.METRICS)} m)
+select gr.week_num, gr.interval_start, gr.metric, round(u.mean, 9) as mean, round(u.se, 9) as se, u.n
+from gr left join ust_out u using (metric, interval_start)""")
+def pad_missing_cells(spark, sf_dir):
+    """National totals padded to every metric x interval; no-data cells get NULLs."""
+    from repweave.functions.scalar import interval_label
+    from repweave.operators.reshape import literal_grid, pad_missing
+    present = SPARK["us_total"](spark, sf_dir)
+    n = current_week(T.raw_microdata(spark, sf_dir).select("week"))
+    base = spark.range(1).select(F.lit(1).alias("_k"))
+    g = literal_grid(base, {"metric": K.METRICS, "interval_start": list(range(1, n))})
+    g = g.select("metric", "interval_start", interval_label(F.col("interval_start")).alias("week_num"))
+    return pad_missing(g, present, ["metric", "interval_start", "week_num"])
+
+
+@register("one_hot_state", _sql("""
+, weeks as (select distinct week from rec), sts as (select distinct state from rec)
+select w.week, 'state_' || trim(regexp_replace(lower(trim(s.state)), '[^0-9a-z]+', '_', 'g'), '_') as dummy,
+       (select count(*) from rec r where r.week = w.week and r.state = s.state) as n_ones
+from weeks w, sts s"""))
+def one_hot_state(spark, sf_dir):
+    """One-hot state columns; reported as ones per (week, dummy column)."""
+    from repweave.operators.reshape import one_hot
+    d = prepared(spark, sf_dir).select("week", "state")
+    oh = one_hot(d, "state")
+    dummies = [c for c in oh.columns if c.startswith("state_")]
+    long = oh.unpivot(["week"], dummies, "dummy", "v")
+    return long.groupBy("week", "dummy").agg(F.sum("v").cast("bigint").alias("n_ones"))
+
+
+@register("sample_cells")
+def sample_cells(spark, sf_dir):
+    """O3: a seeded sample of 10 feature-table cells (rows-only check)."""
+    from repweave.operators.reshape import sample_rows
+    ft = FT.feature_table(_estimates(spark, sf_dir), sort=False)
+    return sample_rows(ft, 10, 42, ["metric", "race_var", "geography", "week_num"])
+
+
+@register("frame_diff", """
+select cast(null as varchar) as week_num, cast(null as int) as interval_start,
+       cast(null as varchar) as metric, cast(null as varchar) as side from orders where false""")
+def frame_diff_q(spark, sf_dir):
+    """National totals from the geo cube vs from the direct week cube (empty = equal)."""
+    from repweave.operators.reshape import frame_diff
+    gc, _ = FT.geo_cube_of(est_input(spark, sf_dir))
+    a = E.us_total(gc, ROLLING).select("week_num", "interval_start", "metric", "mean", "se", "n")
+    b = SPARK["us_total"](spark, sf_dir).select(*a.columns)
+    return frame_diff(a, b, ["week_num", "interval_start", "metric"])
