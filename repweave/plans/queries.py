@@ -573,3 +573,87 @@ def frame_diff_q(spark, sf_dir):
     a = E.us_total(gc, ROLLING).select("week_num", "interval_start", "metric", "mean", "se", "n")
     b = SPARK["us_total"](spark, sf_dir).select(*a.columns)
     return frame_diff(a, b, ["week_num", "interval_start", "metric"])
+
+
+# ------------------------------------------------------------ published tables --
+
+def survey_rows(spark, sf_dir):
+    """Recoded respondents with state and metro names (no replicate weights)."""
+    from repweave.operators.joins import left_lookup
+    r = recoded(spark, sf_dir)
+    r = left_lookup(r, T.state_table(spark, sf_dir), "est_st", "state_code", max_rows=10_000)
+    return left_lookup(r, T.metro_table(spark), "est_msa", "cbsa_code", known_rows=len(K.METRO_AREAS))
+
+
+def _normalise_sql(spec) -> str:
+    q = O._sq
+    metro_sheet = "case " + " ".join(f"when cbsa_title = {q(t)} then {q(sh)}"
+                                     for t, _, sh in K.METRO_AREAS) + " end"
+    metro_title = "case " + " ".join(f"when sheet = {q(sh)} then {q(t)}"
+                                     for t, _, sh in K.METRO_AREAS) + " end"
+    race_short = ("case " + " ".join(f"when variable = {q(lab)} then {q(n)}" for lab, n in [
+        (K.RACE_LABEL_HISPANIC, "hispanic"), (K.RACE_LABEL_WHITE, "white"),
+        (K.RACE_LABEL_BLACK, "black"), (K.RACE_LABEL_ASIAN, "asian"),
+        (K.RACE_LABEL_OTHER, "other")]) + " else variable end")
+    sums = ", ".join(f"sum(case when {pred} then pweight end) as {c}" for c, pred in spec.counts.items())
+    zero = ", ".join(f"coalesce({c}, 0) as {c}" for c in spec.counts)
+    derived = ", ".join(f"{expr} as {c}" for c, expr in spec.derived.items())
+    keep = ", ".join(f"round({c}, 9) as {c}" for c in spec.keep)
+    return _sql(f"""
+, src as (select *, {metro_sheet} as metro_sheet from rec
+          where ({spec.universe}) and week >= {spec.first_week} and hisp_rrace is not null),
+cells as (
+  select week, state as sheet, hisp_rrace as variable, {sums} from src where state is not null
+  group by week, state, hisp_rrace
+  union all
+  select week, metro_sheet, hisp_rrace, {sums} from src where metro_sheet is not null
+  group by week, metro_sheet, hisp_rrace
+  union all
+  select week, 'US', hisp_rrace, {sums} from src group by week, hisp_rrace
+),
+z as (select week, sheet, variable, {zero} from cells),
+d as (select *, {derived} from z)
+select variable, case when sheet like '%Metro_Area%' then {metro_title} else sheet end as geography,
+       {keep}, 'wk' || week as week_num, {race_short} as race_var
+from d""")
+
+
+def _normalise_q(spec):
+    def fn(spark, sf_dir):
+        from repweave.operators.published import cell_table, normalise
+        return normalise(cell_table(survey_rows(spark, sf_dir), spec), spec)
+    fn.__doc__ = f"T-normaliser for published table {spec.name} (cells derived from the microdata)."
+    return fn
+
+
+def _register_normalisers():
+    from repweave.operators.published import SPECS
+    for name, spec in SPECS.items():
+        register(f"normalise_{name}", _normalise_sql(spec))(_normalise_q(spec))
+
+
+_register_normalisers()
+
+
+@register("check_published")
+def check_published(spark, sf_dir):
+    """Food, rent not paid, income loss (2 metrics), stimulus and
+    housing-confidence estimates vs the pooled published ratios (4 digits, +-0.002)."""
+    from repweave.operators.published import (SPECS, cell_table, check_against_published,
+                                              normalise, published_means)
+    rows = survey_rows(spark, sf_dir)
+    n = current_week(T.raw_microdata(spark, sf_dir).select("week"))
+    xw = crosswalk(spark, n)
+    pubs = None
+    for spec in SPECS.values():
+        if spec.metric is None:
+            continue
+        norm = normalise(cell_table(rows, spec), spec)
+        parts = [(spec.metric, spec.numerator, spec.denominator)]
+        if "second" in spec.extra:
+            parts.append(spec.extra["second"])
+        for metric, num, den in parts:
+            pm = published_means(norm, xw, num, den, metric)
+            pubs = pm if pubs is None else pubs.unionByName(pm)
+    ft = FT.feature_table(_estimates(spark, sf_dir), sort=False)
+    return check_against_published(ft, pubs.where(F.col("published_mean").isNotNull()))
