@@ -657,3 +657,33 @@ def check_published(spark, sf_dir):
             pubs = pm if pubs is None else pubs.unionByName(pm)
     ft = FT.feature_table(_estimates(spark, sf_dir), sort=False)
     return check_against_published(ft, pubs.where(F.col("published_mean").isNotNull()))
+
+
+# ------------------------------------------------------------ incremental/sinks --
+
+@register("incremental_weeks")
+def incremental_weeks(spark, sf_dir):
+    """Store the week cube for all but the latest week, then refresh with
+    everything; only the missing week is cubed. Returns cube rows per week."""
+    import uuid
+    from repweave.session import checkpoint_dir
+    from repweave.streaming.incremental import append_new_weeks
+    store = f"{checkpoint_dir(spark).rstrip('/')}/repweave-incremental-{uuid.uuid4().hex}"
+    ei = est_input(spark, sf_dir)
+    n = current_week(T.raw_microdata(spark, sf_dir).select("week"))
+    append_new_weeks(ei.where(F.col("week") < n), store)
+    append_new_weeks(ei, store)
+    return (spark.read.parquet(store).where(F.col("rep") == 0)
+            .groupBy("week", "geo_type").agg(F.count(F.lit(1)).alias("cube_rows")))
+
+
+@register("publish_bundle")
+def publish_bundle(spark, sf_dir):
+    """S15 + S16: feature table, metro names and dictionary written under one base path."""
+    import uuid
+    from repweave.session import checkpoint_dir
+    from repweave.sources.publish import feature_dictionary, publish
+    base = f"{checkpoint_dir(spark).rstrip('/')}/repweave-publish-{uuid.uuid4().hex}"
+    return publish({"feature_table": FT.feature_table(_estimates(spark, sf_dir)),
+                    "metro_names": T.metro_table(spark),
+                    "feature_dictionary": feature_dictionary(spark)}, base)
