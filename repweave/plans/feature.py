@@ -60,7 +60,7 @@ def geo_cube_of(df: DataFrame, design: ReplicateDesign = ROLLING,
     wc, n = week_cube(df, design, metrics)
     if n_weeks is not None:
         n = n_weeks
-    return materialize(E.geo_cube(to_intervals(wc, n)), "geo-cube"), n
+    return materialize(E.geo_cube_from_weeks(wc, n), "geo-cube"), n
 
 
 def _grid(geos: DataFrame, n_weeks: int, metrics: list[str],
