@@ -18,7 +18,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from repweave.session import get_spark  # noqa: E402
 from repweave.plans import queries as Q  # noqa: E402
 
-HEADLINE = ["feature_table", "us_total", "svy_mean", "contrast_race_us",
+HEADLINE = ["feature_table", "us_total", "svy_mean", "normalise_food2b",
             "enrich_weights", "recode_mental_health"]
 
 

@@ -43,10 +43,16 @@ def fanout_violations(before: DataFrame, after: DataFrame, key: list[str]) -> Da
     Compared per key with one aggregation on each side instead of a driver-side
     count, so it is a distributed check at any size.
     """
-    b = before.groupBy(*key).agg(F.count(F.lit(1)).alias("n_before"))
-    a = after.groupBy(*key).agg(F.count(F.lit(1)).alias("n_after"))
-    j = b.join(a, [b[k].eqNullSafe(a[k]) for k in key], "full")
-    keys = [F.coalesce(b[k], a[k]).alias(k) for k in key]
+    b = before.groupBy(*key).agg(F.count(F.lit(1)).alias("n_before")) \
+        .select(*[F.col(k).alias("b_" + k) for k in key], "n_before")
+    a = after.groupBy(*key).agg(F.count(F.lit(1)).alias("n_after")) \
+        .select(*[F.col(k).alias("a_" + k) for k in key], "n_after")
+    cond = None
+    for k in key:
+        c = F.col("b_" + k).eqNullSafe(F.col("a_" + k))
+        cond = c if cond is None else cond & c
+    j = b.join(a, cond, "full")
+    keys = [F.coalesce(F.col("b_" + k), F.col("a_" + k)).alias(k) for k in key]
     return (j.select(*keys, F.coalesce("n_before", F.lit(0)).alias("n_before"),
                      F.coalesce("n_after", F.lit(0)).alias("n_after"))
             .where(F.col("n_before") != F.col("n_after")))
