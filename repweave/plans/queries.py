@@ -687,3 +687,28 @@ def publish_bundle(spark, sf_dir):
     return publish({"feature_table": FT.feature_table(_estimates(spark, sf_dir)),
                     "metro_names": T.metro_table(spark),
                     "feature_dictionary": feature_dictionary(spark)}, base)
+
+
+# -------------------------------------------------------------------- files --
+
+@register("weekly_files", "with micro as (" + O.PROJECTION + """)
+select week, count(*) as n, count(eip) as n_eip, round(sum(pweight), 9) as pweight_total,
+       count(est_msa) as n_msa from micro group by week""")
+def weekly_files(spark, sf_dir):
+    """Microdata written as week-partitioned CSV, read back in
+    one scan with an explicit schema (no inference), numbers via try_cast."""
+    import uuid
+    from repweave.session import checkpoint_dir
+    from repweave.sources.files import coerce_numeric, read_weekly_csv
+    raw = T.raw_microdata(spark, sf_dir)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/repweave-weekly-{uuid.uuid4().hex}"
+    raw.write.mode("overwrite").partitionBy("week").option("header", True).csv(path)
+    from pyspark.sql.types import StringType, StructField, StructType
+    # all columns read as text first: a drifting or dirty file cannot fail the scan
+    text = StructType([StructField(f.name, StringType(), True)
+                       for f in raw.drop("week").schema.fields])
+    df = read_weekly_csv(spark, path, text)
+    df = coerce_numeric(df, ["eip", "pweight", "est_msa"])
+    return df.groupBy("week").agg(F.count(F.lit(1)).alias("n"), F.count("eip").alias("n_eip"),
+                                  F.sum("pweight").alias("pweight_total"),
+                                  F.count("est_msa").alias("n_msa"))

@@ -91,3 +91,20 @@ def test_frame_diff_tolerance(spark):
     b = spark.createDataFrame([(1, 0.1 + 1e-12), (3, 0.3)], "k int, v double")
     got = {(r.k, r.side) for r in frame_diff(a, b, ["k"]).collect()}
     assert got == {(2, "left_only"), (3, "right_only")}
+
+
+def test_choose_layout_by_width(spark):
+    from repweave.sources.files import choose_layout
+    cells = spark.createDataFrame(
+        [("a.xlsx", 1.0, 2.0, 3.0), ("a.xlsx", None, None, None), ("b.xlsx", 4.0, 5.0, None)],
+        "file string, c1 double, c2 double, c3 double")
+    out = choose_layout(cells, {3: ["total", "owner", "no_response"], 2: ["total", "no_response"]})
+    rows = sorted((r.file, r.total, r.owner, r.no_response) for r in out.collect()
+                  if r.total is not None)
+    assert rows == [("a.xlsx", 1.0, 2.0, 3.0), ("b.xlsx", 4.0, None, 5.0)]
+
+
+def test_coerce_numeric(spark):
+    from repweave.sources.files import coerce_numeric
+    df = spark.createDataFrame([("1.5",), ("x",), (None,)], "v string")
+    assert [r.v for r in coerce_numeric(df, ["v"]).collect()] == [1.5, None, None]
