@@ -85,9 +85,16 @@ def frame_diff(a: DataFrame, b: DataFrame, keys: list[str], tol: float = 1.5e-8)
     absolute below 1), other types by NULL-safe equality.
     """
     vals = [c for c in a.columns if c not in keys]
-    la = a.select(*keys, *[F.col(c).alias("l_" + c) for c in vals], F.lit(True).alias("_l"))
-    rb = b.select(*keys, *[F.col(c).alias("r_" + c) for c in vals], F.lit(True).alias("_r"))
-    j = la.join(rb, keys, "full")
+    la = a.select(*[F.col(k).alias("lk_" + k) for k in keys],
+                  *[F.col(c).alias("l_" + c) for c in vals], F.lit(True).alias("_l"))
+    rb = b.select(*[F.col(k).alias("rk_" + k) for k in keys],
+                  *[F.col(c).alias("r_" + c) for c in vals], F.lit(True).alias("_r"))
+    cond = None
+    for k in keys:                      # NULL keys (e.g. the no-metro bucket) match NULL
+        c = F.col("lk_" + k).eqNullSafe(F.col("rk_" + k))
+        cond = c if cond is None else cond & c
+    j = la.join(rb, cond, "full").select(
+        *[F.coalesce(F.col("lk_" + k), F.col("rk_" + k)).alias(k) for k in keys], "*")
     types = {f.name: f.dataType.typeName() for f in a.schema.fields}
     bad = F.col("_l").isNull() | F.col("_r").isNull()
     for c in vals:
