@@ -32,3 +32,17 @@ def test_incremental_equals_one_pass(spark):
     after = stored.where(F.col("week") <= 6).select(*cols)
     assert after.count() == n_before
     assert frame_diff(after, before.select(*cols), keys).count() == 0
+
+
+def test_interval_cube_equals_recompute_from_rows(spark):
+    """Fanning the small week cube out to intervals == fanning respondents out first."""
+    from repweave.operators.cube import to_intervals
+    from repweave.operators.intervals import rolling_fanout
+    ei = P.estimation_input(P.prepare(spark, SF001))
+    n = 12
+    via_cube = to_intervals(geo_week_cube(ei, ROLLING, METRICS), n)
+    rows = rolling_fanout(ei, n).drop("week").withColumnRenamed("interval_start", "week")
+    direct = geo_week_cube(rows, ROLLING, METRICS).withColumnRenamed("week", "interval_start")
+    keys = ["interval_start", "geo_type", "geography", "race", "rep"]
+    cols = keys + stat_cols(METRICS)
+    assert frame_diff(via_cube.select(*cols), direct.select(*cols), keys).count() == 0
