@@ -47,15 +47,8 @@ def _sql(body: str) -> str:
     return "with " + O.prepared_ctes() + body
 
 
-def _round_sel(cols: list[str], doubles: list[str]) -> str:
-    return ", ".join(f"round({c}, 9) as {c}" if c in doubles else c for c in cols)
-
-
 # ------------------------------------------------------------------ prepared --
 
-_PREP_CACHE: dict[tuple, DataFrame] = {}
-
-
 def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.prepare(spark, sf_dir)
 
