@@ -737,3 +737,16 @@ def check_manual(spark, sf_dir):
     by_hand = E.finish_two_sided(sides, ROLLING, ["interval_start", "race_indicator"], K.METRICS)
     contrast = _estimates(spark, sf_dir).national
     return frame_diff(by_hand.select(*keys, *vals), contrast.select(*keys, *vals), keys)
+
+
+@register("hh_size_by_state_race", _sql("""
+select week, state, hisp_rrace,
+       case when count(thhld_numper) = count(*) then avg(thhld_numper) end as mean, count(*) as n
+from (select distinct scram, week, state, hisp_rrace, thhld_numper from rec) d
+group by week, state, hisp_rrace"""))
+def hh_size_by_state_race(spark, sf_dir):
+    """A17 cross + O2: mean household size by week, state and race label, in
+    ascending (week, mean) order."""
+    from repweave.operators.reshape import group_mean
+    d = prepared(spark, sf_dir).dropDuplicates(["scram", "week"])
+    return group_mean(d, ["week", "state", "hisp_rrace"], "thhld_numper").orderBy("week", "mean")
