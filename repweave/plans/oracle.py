@@ -273,7 +273,7 @@ def family_ctes(p: str, kind: str, geo: str, geo_type: str, metrics: list[str])
     gr.interval_start, gr.geography, '{geo_type}' as geo_type,
     e.mean, coalesce(e.se, 0) as se, e.other_mean, coalesce(e.other_se, 0) as other_se,
     coalesce(e.diff_mean, 0) as diff_mean, coalesce(e.diff_se, 0) as diff_se,
-    coalesce(e.n1, 0) as n1, coalesce(e.n0, 0) as n0
+    cast(coalesce(e.n1, 0) as bigint) as n1, cast(coalesce(e.n0, 0) as bigint) as n0
   from {p}_grid gr left join {p}_est e using (interval_start, geography, metric, race_indicator)
 )"""
 

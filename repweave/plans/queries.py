@@ -100,7 +100,7 @@ def recode_age_filter(spark, sf_dir):
 
 
 _RACE_SUMS = ", ".join(
-    f"sum(case when hisp_rrace like '%{pat}%' then 1 else 0 end) as {name}"
+    f"cast(sum(case when hisp_rrace like '%{pat}%' then 1 else 0 end) as bigint) as {name}"
     for name, pat in K.RACE_PATTERNS.items())
 
 
@@ -351,7 +351,7 @@ def feature_table_q(spark, sf_dir):
 
 @register("sigdiff_count", _feature_sql("""
 select metric, geo_type, count(*) as n_cells, count(sigdiff) as n_tested,
-       coalesce(sum(sigdiff), 0) as n_sigdiff from ft group by metric, geo_type"""))
+       cast(coalesce(sum(sigdiff), 0) as bigint) as n_sigdiff from ft group by metric, geo_type"""))
 def sigdiff_count(spark, sf_dir):
     """Significant differences per metric and geography type."""
     ft = FT.feature_table(_estimates(spark, sf_dir), sort=False)
@@ -389,7 +389,7 @@ c0 as (select interval_start, metric, race_indicator, n, a as a0, b as b0 from a
 select c0.metric, c0.race_indicator, 'wk' || c0.interval_start || '_' || (c0.interval_start + 1) as week_num,
        round(c0.a0, 9) as intercept, round(c0.b0, 9) as slope,
        round(2 * sqrt(coalesce(sum(power(a.b - c0.b0, 2)), 0) / {K.N_REPLICATES}), 9) as slope_se,
-       c0.n as n
+       cast(c0.n as bigint) as n
 from a join c0 using (interval_start, metric, race_indicator) where a.rep > 0
 group by c0.interval_start, c0.metric, c0.race_indicator, c0.a0, c0.b0, c0.n"""
 
