@@ -53,7 +53,7 @@ def write_file(path: str, data: bytes) -> None:
     files, name = open_fs(path)
     files.create_dir(os.path.dirname(name), recursive=True)
     part = f"{name}.{uuid.uuid4().hex}.part"
-    with files.open_output_stream(part) as out:
+    with files.open_output_stream(part, compression=None) as out:
         out.write(data)
     files.move(part, name)
 
