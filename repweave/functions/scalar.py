@@ -18,14 +18,14 @@ def clean_name(name: str) -> str:
 
 
 def clean_names(df: DataFrame) -> DataFrame:
-    """Rename every column with ``clean_name``; duplicates get _1, _2 suffixes."""
+    """Rename every column with ``clean_name``; the second of a clash gets _2, the third _3."""
     seen: dict[str, int] = {}
     out = []
     for n in df.columns:
         base = clean_name(n)
         k = seen.get(base, 0)
         seen[base] = k + 1
-        out.append(base if k == 0 else f"{base}_{k}")
+        out.append(base if k == 0 else f"{base}_{k + 1}")
     return df.toDF(*out)
 
 

@@ -14,6 +14,9 @@ def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
                       known_rows: int | None = None) -> DataFrame:
     """Broadcast ``df`` only when its row count is proven to be <= max_rows.
 
+    Beyond the bound the planner chooses a shuffle join: the bound decides how the
+    join runs, never which rows come out.
+
     ``known_rows`` is for literal tables whose size is fixed by construction;
     otherwise the bound is checked with a count limited to max_rows + 1 rows.
     """
@@ -23,15 +26,31 @@ def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
     return F.broadcast(df) if n <= max_rows else df
 
 
+def one_per_key(dim: DataFrame, key: str) -> DataFrame:
+    """One row per key: the smallest by the other columns, NULLs first."""
+    rest = [c for c in dim.columns if c != key]
+    if not rest:
+        return dim.distinct()
+    best = dim.groupBy(key).agg(F.min(F.struct(*rest)).alias("_best"))
+    return best.select(*[F.col(key) if c == key else F.col(f"_best.{c}").alias(c) for c in dim.columns])
+
+
+def duplicate_keys(dim: DataFrame, key: str) -> DataFrame:
+    """Keys of a lookup table with more than one distinct row (empty = pass)."""
+    return (dim.distinct().groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))
+            .where(F.col("n_rows") > 1))
+
+
 def left_lookup(df: DataFrame, dim: DataFrame, left_key: str, right_key: str,
                 max_rows: int = MAX_BROADCAST_ROWS, known_rows: int | None = None,
                 ) -> DataFrame:
     """Left equi-join onto a dimension keyed uniquely by ``right_key``.
 
-    The dimension is de-duplicated on its key first so the join can never fan
-    out (J13 by construction), then broadcast behind a size check.
+    Of rows that share a key the smallest (by the other columns, in their order)
+    counts, so the join can never fan out and always finds the same values;
+    ``duplicate_keys`` reports such keys. Broadcast only behind a size check.
     """
-    dim = dim.dropDuplicates([right_key])
+    dim = one_per_key(dim, right_key)
     dim = bounded_broadcast(dim, max_rows, known_rows)
     out = df.join(dim, df[left_key] == dim[right_key], "left")
     return out.drop(dim[right_key]) if left_key != right_key else out

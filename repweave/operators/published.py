@@ -44,7 +44,7 @@ class TableSpec:
     extra: dict = field(default_factory=dict)
 
 
-def _food(name: str, suffix: str = "") -> TableSpec:
+def _food(name: str, suffix: str = "", metric: str | None = None) -> TableSpec:
     return TableSpec(
         name=name,
         counts={"total": "true", "enough": "curfoodsuf = 1", "enough_but_not_wanted": "curfoodsuf = 2",
@@ -57,13 +57,13 @@ def _food(name: str, suffix: str = "") -> TableSpec:
                  "percent_answered": "(total - did_not_report) / nullif(total, 0)"},
         keep=[f"total_food_insecure{suffix}", "total_answered", "total",
               f"percent_food_insecure{suffix}", "percent_answered"],
-        metric="food_insufficient", numerator=f"total_food_insecure{suffix}",
+        metric=metric, numerator=f"total_food_insecure{suffix}",
         denominator="total_answered")
 
 
 SPECS: dict[str, TableSpec] = {s.name: s for s in [
-    _food("food2b"),
-    _food("food3b", "_children"),
+    _food("food2b", metric="food_insufficient"),
+    _food("food3b", "_children"),       # the children's table; no estimate is checked against it
     TableSpec(
         name="employ1",
         counts={"total": "true", "income_loss_since_mar_13": "wrkloss = 1",
@@ -215,13 +215,12 @@ def cell_table(rows: DataFrame, spec: TableSpec) -> DataFrame:
                     F.concat(F.lit(spec.name + "_wk"), F.col("week").cast("string"),
                              F.lit(".xlsx")).alias("file"),
                     sheet.alias("sheet"), variable.alias("variable"), *spec.counts.keys()))
-    body = body.withColumn("row_idx", F.when(F.col("variable") == "Total", F.lit(0))
-                           .otherwise(_race_label_row("variable")))
-    header = (body.where(F.col("row_idx") == 0)
-              .select("table", "file", "sheet", F.lit(HEADER_LABEL).alias("variable"),
-                      *[F.lit(None).cast("double").alias(c) for c in spec.counts],
-                      F.lit(1).alias("row_idx")))
-    return body.unionByName(header)
+    order = F.when(F.col("variable") == "Total", F.lit(0)).otherwise(_race_label_row("variable"))
+    # the header row stands behind each Total row: one more row out of the same pass
+    rows = body.withColumn("row_idx", F.explode(F.when(order == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(order))))
+    head = F.col("row_idx") == 1
+    return rows.select("table", "file", "sheet", F.when(head, HEADER_LABEL).otherwise(F.col("variable")).alias("variable"),
+                       *[F.when(~head, F.col(c)).alias(c) for c in spec.counts], "row_idx")
 
 
 # ------------------------------------------------------------- normaliser ---
@@ -249,29 +248,33 @@ def normalise(cells: DataFrame, spec: TableSpec) -> DataFrame:
 
 def published_means(norm: DataFrame, crosswalk: DataFrame, num: str, den: str,
                     metric: str) -> DataFrame:
-    """A18 over the week crosswalk: pooled ratio of published counts per
-    (interval, geography, race)."""
-    j = norm.join(F.broadcast(crosswalk.select("week_num", "week_int")), "week_num", "inner")
-    g = j.groupBy("week_int", "geography", "race_var").agg(
+    """A18 / J9 over the week crosswalk: pooled ratio of published counts per
+    (interval, geography, race), with the number of its weeks that were published.
+
+    A full join: a published week that no interval holds stays, under its own label;
+    an interval without a published week has no row here and is one-sided in the check.
+    """
+    j = norm.join(crosswalk.select("week_num", "week_int"), "week_num", "full").where(F.col("variable").isNotNull())
+    g = j.groupBy(F.coalesce("week_int", "week_num").alias("week_num"), "geography", "race_var").agg(
         F.sum(num).alias("sum_num"), F.sum(den).alias("sum_den"),
         F.countDistinct("week_num").alias("n_weeks"))
-    # an interval is comparable only when both of its weeks were published
-    g = g.where(F.col("n_weeks") == 2)
-    return g.select(F.col("week_int").alias("week_num"), "geography", "race_var",
-                    F.lit(metric).alias("metric"),
-                    F.try_divide(F.col("sum_num"), F.col("sum_den")).alias("published_mean"))
+    return g.select("week_num", "geography", "race_var", F.lit(metric).alias("metric"),
+                    F.try_divide(F.col("sum_num"), F.col("sum_den")).alias("published_mean"), "n_weeks")
 
 
 def check_against_published(estimates: DataFrame, published: DataFrame,
                             tol: float = K.QC_TOLERANCE, digits: int = 4) -> DataFrame:
-    """Our means vs published ratios, rounded to 4 digits, within tol.
+    """Our means vs published ratios, rounded to 4 digits, within tol.
 
-    Returns every compared cell with an ``ok`` flag (violations = not ok).
+    Every cell of either side comes back with a status: ``both``, ``estimate_only``,
+    ``published_only``, or ``incomplete_interval`` where only one of an interval's two weeks
+    was published. ``ok`` is judged on ``both`` alone, and is NULL where a side has no mean.
     """
     keys = ["geography", "week_num", "race_var", "metric"]
-    j = estimates.select(*keys, "mean").join(published, keys, "inner")
+    j = (estimates.select(*keys, "mean", F.lit(1).alias("_e"))
+         .join(published.select(*keys, "published_mean", "n_weeks"), keys, "full"))
     ours, theirs = F.round("mean", digits), F.round("published_mean", digits)
-    # an empty-cell estimate (mean NULL) has nothing to compare: ok is NULL there
-    ok = F.when(F.col("mean").isNull(), F.lit(None).cast("boolean")).otherwise(
-        F.coalesce(within(ours, theirs, tol), F.lit(False)))
-    return j.select(*keys, ours.alias("mean"), theirs.alias("published_mean"), ok.alias("ok"))
+    status = (F.when(F.col("n_weeks").isNull(), "estimate_only").when(F.col("_e").isNull(), "published_only")
+              .when(F.col("n_weeks") < 2, "incomplete_interval").otherwise("both"))
+    ok = F.when((status == "both") & ours.isNotNull() & theirs.isNotNull(), within(ours, theirs, tol))
+    return j.select(*keys, ours.alias("mean"), theirs.alias("published_mean"), status.alias("status"), ok.alias("ok"))

@@ -33,25 +33,35 @@ def pad_missing(grid: DataFrame, present: DataFrame, keys: list[str]) -> DataFra
     return present.unionByName(missing, allowMissingColumns=True)
 
 
-def one_hot(df: DataFrame, col: str, max_levels: int = 1000, prefix: str | None = None,
-            ) -> DataFrame:
-    """One 0/1 column per distinct value of ``col`` (names cleaned).
+def one_hot_names(levels: list, prefix: str) -> dict:
+    """Column name per level: cleaned, and numbered _2, _3, ... where cleaned names clash.
+    ``{prefix}_na`` belongs to NULL alone."""
+    taken, names = {f"{prefix}_na"}, {}
+    for v in sorted((x for x in levels if x is not None), key=lambda x: (str(x), repr(x))):
+        base = name = f"{prefix}_{clean_name(str(v))}"
+        k = 1
+        while name in taken:
+            k += 1
+            name = f"{base}_{k}"
+        taken.add(name)
+        names[v] = name
+    if None in levels:
+        names[None] = f"{prefix}_na"
+    return names
+
+
+def one_hot(df: DataFrame, col: str, levels: list | None = None, prefix: str | None = None) -> DataFrame:
+    """One 0/1 column per distinct value of ``col`` (names cleaned, clashes numbered).
 
     NULL gets its own ``{col}_na`` column and 0 in every other dummy, so
-    'not in this category' always includes NULL rows. The level list is a
-    bounded distinct set (checked against ``max_levels``), never the data.
+    'not in this category' always includes NULL rows. Without ``levels`` the distinct
+    values are taken from the data: as many as the result has columns.
     """
-    levels = [r[0] for r in df.select(col).distinct().limit(max_levels + 1).collect()]
-    if len(levels) > max_levels:
-        raise ValueError(f"{col} has more than {max_levels} levels")
-    prefix = prefix or clean_name(col)
-    cols = {}
-    for v in sorted(levels, key=lambda x: (x is None, str(x))):
-        if v is None:
-            cols[f"{prefix}_na"] = F.when(F.col(col).isNull(), 1).otherwise(0)
-        else:
-            cols[f"{prefix}_{clean_name(str(v))}"] = F.when(F.col(col) == F.lit(v), 1).otherwise(0)
-    return df.withColumns(cols)
+    if levels is None:
+        levels = [r[0] for r in df.select(col).distinct().collect()]
+    return df.withColumns({
+        name: F.when(F.col(col).isNull() if v is None else F.col(col) == F.lit(v), 1).otherwise(0)
+        for v, name in one_hot_names(levels, prefix or clean_name(col)).items()})
 
 
 def mean_strict(col: str) -> Column:
@@ -72,8 +82,8 @@ def ratio_of_sums(df: DataFrame, keys: list[str], num: Column, den: Column) -> D
 
 
 def sample_rows(df: DataFrame, n: int, seed: int, key_cols: list[str]) -> DataFrame:
-    """O3: a seeded, reproducible sample of n rows (top-n by a keyed hash)."""
-    h = F.xxhash64(*[F.col(c) for c in key_cols], F.lit(seed))
+    """O3: a seeded, reproducible sample of n rows: the first n by the MD5 of seed and keys."""
+    h = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(c) for c in key_cols]))
     return df.withColumn("_h", h).orderBy("_h", *key_cols).limit(n).drop("_h")
 
 

@@ -183,6 +183,33 @@ lng as (
 )"""
 
 
+def cube_ctes(metrics: list[str], factor: float = 0.5) -> str:
+    """CTEs lng_state and lng_msa: (interval_start, geography, race, metric, rep) with n, sw, swx.
+
+    Weights are summed once per week, geography, race and replicate, with the metrics as
+    columns, before anything is stacked or fanned out to intervals."""
+    sums = ", ".join(f"count({m}) as n__{m}, sum(case when {m} is not null then w end) as sw__{m}, "
+                     f"sum(w * {m}) as swx__{m}" for m in metrics)
+
+    def stacked(src: str) -> str:
+        return " union all ".join(
+            f"select week, geography, race, rep, '{m}' as metric, n__{m} as n, sw__{m} as sw, swx__{m} as swx "
+            f"from {src} where n__{m} > 0" for m in metrics)
+
+    parts = [f"""
+mxw as (select max(week) as nw from est),
+reps as (select week, state, cbsa_title, race, {metric_list(metrics)}, rep, ({rep_weight_sql()}) * {factor} as w
+         from est cross join range(0, {R + 1}) t(rep))"""]
+    for name, geo in (("state", "state"), ("msa", "cbsa_title")):
+        parts.append(f"""
+wide_{name} as materialized (select week, {geo} as geography, race, rep, {sums} from reps group by week, {geo}, race, rep),
+lng_{name} as materialized (
+  select week - d as interval_start, geography, race, metric, rep, sum(n) as n, sum(sw) as sw, sum(swx) as swx
+  from ({stacked(f"wide_{name}")}) s, mxw, range(0, 2) t(d) where week - d between 1 and nw - 1
+  group by week - d, geography, race, metric, rep)""")
+    return ",".join(parts)
+
+
 def two_sided_ctes(p: str, sides: str) -> str:
     """CTEs ``{p}_th``, ``{p}_c0``, ``{p}_var``, ``{p}_est`` from a sides CTE with
     (cell keys: interval_start, geography, metric, race_indicator), rep,
@@ -221,19 +248,24 @@ def _values(col: str, items: list[str]) -> str:
     return f"(select * from (values {rows}) v({col}))"
 
 
-def family_ctes(p: str, kind: str, geo: str, geo_type: str, metrics: list[str]) -> str:
+def family_ctes(p: str, kind: str, geo: str, geo_type: str, metrics: list[str], cube: bool = False) -> str:
     """Grid-filled estimates of one family as CTE ``{p}_out``.
 
     kind 'race': each race group vs the rest of the same geography.
     kind 'geo':  each geography vs all other rows (incl. NULL-geography).
+    ``cube`` reads the sums of ``cube_ctes`` instead of the rows of ``long_ctes``.
     """
+    src, at, sums = "lng", geo, "sum(w) as sw, sum(w * x) as swx, count(*) as n"
+    if cube:
+        src = "lng_msa" if geo == "cbsa_title" else "lng_state"
+        at = geo if geo.startswith("'") else "geography"
+        sums = "sum(sw) as sw, sum(swx) as swx, cast(sum(n) as bigint) as n"
     groups = K.RACE_GROUPS if kind == "race" else ["total"]
     if kind == "race":
-        geo_filter = "" if geo.startswith("'") else f"where {geo} is not null"
+        geo_filter = "" if geo.startswith("'") else f"where {at} is not null"
         sides = f"""
-{p}_cls as (select interval_start, {geo} as geography, race, metric, rep,
-                   sum(w) as sw, sum(w * x) as swx, count(*) as n
-            from lng {geo_filter} group by all),
+{p}_cls as (select interval_start, {at} as geography, race, metric, rep, {sums}
+            from {src} {geo_filter} group by all),
 {p}_tg as {_values('race_indicator', groups)},
 {p}_sides as (
   select c.interval_start, c.geography, c.metric, tg.race_indicator, c.rep,
@@ -247,9 +279,8 @@ def family_ctes(p: str, kind: str, geo: str, geo_type: str, metrics: list[str])
 ),"""
     else:
         sides = f"""
-{p}_g as (select interval_start, {geo} as geography, metric, rep,
-                 sum(w) as sw, sum(w * x) as swx, count(*) as n
-          from lng group by all),
+{p}_g as (select interval_start, {at} as geography, metric, rep, {sums}
+          from {src} group by all),
 {p}_sides as (
   select a.interval_start, a.geography, a.metric, 'total' as race_indicator, a.rep,
     a.sw as sw1, a.swx as swx1, a.n as n1,
@@ -297,12 +328,12 @@ FAMILIES = {
 }
 
 
-def families_sql(names: list[str], metrics: list[str] = K.METRICS) -> str:
+def families_sql(names: list[str], metrics: list[str] = K.METRICS, cube: bool = False) -> str:
     """WITH-clause body (no leading 'with') defining ``{name}_out`` per family."""
-    parts = [prepared_ctes(), long_ctes(metrics)]
+    parts = [prepared_ctes(), cube_ctes(metrics) if cube else long_ctes(metrics)]
     for n in names:
         kind, geo, gt = FAMILIES[n]
-        parts.append(family_ctes(n, kind, geo, gt, metrics))
+        parts.append(family_ctes(n, kind, geo, gt, metrics, cube))
     return ",".join(parts)
 
 
@@ -312,11 +343,12 @@ def estimates_sql(names: list[str], metrics: list[str] = K.METRICS) -> str:
     return "with " + families_sql(names, metrics) + "\n" + union
 
 
-def us_total_ctes(metrics: list[str] = K.METRICS) -> str:
+def us_total_ctes(metrics: list[str] = K.METRICS, cube: bool = False) -> str:
     """CTE ``ust_out``: national mean/SE per interval over non-NULL rows (A10)."""
+    sums = ("sum(sw) as sw, sum(swx) as swx, cast(sum(n) as bigint) as n from lng_state" if cube
+            else "sum(w) as sw, sum(w * x) as swx, count(*) as n from lng")
     return f"""
-ust_s as (select interval_start, metric, rep, sum(w) as sw, sum(w * x) as swx, count(*) as n
-          from lng group by all),
+ust_s as (select interval_start, metric, rep, {sums} group by all),
 ust_t as (select interval_start, metric, rep, n, swx / nullif(sw, 0) as t from ust_s),
 ust_c as (select interval_start, metric, n, t as m from ust_t where rep = 0),
 ust_out as (

@@ -119,7 +119,7 @@ def race_indicators(spark, sf_dir):
     " select est_st, state, state_name, count(*) as n from rec group by est_st, state, state_name"))
 def enrich_state(spark, sf_dir):
     """State names by code (left join, broadcast behind a size check)."""
-    return (prepared(spark, sf_dir).groupBy("est_st", "state", "state_name")
+    return (survey_rows(spark, sf_dir).groupBy("est_st", "state", "state_name")
             .agg(F.count(F.lit(1)).alias("n")))
 
 
@@ -128,7 +128,7 @@ def enrich_state(spark, sf_dir):
     " group by est_msa_s, cbsa_title, csa_title"))
 def enrich_metro(spark, sf_dir):
     """J2 + P28: metro names on the string code; NULL codes keep NULL names."""
-    return (prepared(spark, sf_dir).groupBy("est_msa", "cbsa_title", "csa_title")
+    return (survey_rows(spark, sf_dir).groupBy("est_msa", "cbsa_title", "csa_title")
             .agg(F.count(F.lit(1)).alias("n")))
 
 
@@ -182,7 +182,7 @@ where i >= 1 and i <= mx.n - 1
 group by i"""))
 def rolling_fanout_q(spark, sf_dir):
     """J4 + P36: each respondent row in the (up to two) intervals containing its week."""
-    df = est_input(spark, sf_dir)
+    df = survey_rows(spark, sf_dir)
     n = current_week(T.raw_microdata(spark, sf_dir).select("week"))
     fan = rolling_fanout(df, n)
     return (fan.groupBy("week_num", "interval_start")
@@ -326,7 +326,7 @@ def _feature_sql(final: str) -> str:
         f"select metric, race_indicator as race_var, week_num, geography, mean, se, geo_type, "
         f"diff_mean, diff_se from {n}_out" for n in fams)
     dates = ", ".join(f"({O._sq(a)}, {O._sq(b)})" for a, b in K.INTERVAL_DATES)
-    return ("with " + O.families_sql(fams) + "," + O.us_total_ctes() + f""",
+    return ("with " + O.families_sql(fams, cube=True) + "," + O.us_total_ctes(cube=True) + f""",
 rows2 as ({two}),
 feat as (
   select metric, race_var, week_num, geography, mean, se, geo_type,
@@ -349,6 +349,11 @@ def feature_table_q(spark, sf_dir):
     return FT.feature_table(_estimates(spark, sf_dir))
 
 
+_SAMPLE_SQL = _feature_sql("select " + O.rounded(FT.FEATURE_COLS, FEATURE_DOUBLES) + """ from ft
+order by md5('42|' || metric || '|' || race_var || '|' || geography || '|' || week_num), metric, race_var, geography, week_num
+limit 10""")
+
+
 @register("sigdiff_count", _feature_sql("""
 select metric, geo_type, count(*) as n_cells, count(sigdiff) as n_tested,
        cast(coalesce(sum(sigdiff), 0) as bigint) as n_sigdiff from ft group by metric, geo_type"""))
@@ -434,7 +439,7 @@ from (select distinct scram, week, hisp_rrace, thhld_numper from rec) d group by
 def hh_size_by_race(spark, sf_dir):
     """A17 + A19: mean household size by week and race label over distinct respondents."""
     from repweave.operators.reshape import group_mean
-    d = prepared(spark, sf_dir).dropDuplicates(["scram", "week"])
+    d = survey_rows(spark, sf_dir).dropDuplicates(["scram", "week"])
     return group_mean(d, ["week", "hisp_rrace"], "thhld_numper")
 
 
@@ -449,13 +454,13 @@ select week, 'msa' as geo_type, cbsa_title as geography,
 from d group by week, cbsa_title"""))
 def hh_size_by_geo(spark, sf_dir):
     """Mean household size by week and state, and by week and metro (NULL = no metro)."""
-    from repweave.operators.reshape import group_mean
-    d = prepared(spark, sf_dir).dropDuplicates(["scram", "week"])
-    st = group_mean(d, ["week", "state"], "thhld_numper").select(
-        "week", F.lit("state").alias("geo_type"), F.col("state").alias("geography"), "mean", "n")
-    ms = group_mean(d, ["week", "cbsa_title"], "thhld_numper").select(
-        "week", F.lit("msa").alias("geo_type"), F.col("cbsa_title").alias("geography"), "mean", "n")
-    return st.unionByName(ms)
+    from repweave.operators.reshape import mean_strict
+    d = survey_rows(spark, sf_dir).dropDuplicates(["scram", "week"])
+    g = d.groupingSets([["week", "state"], ["week", "cbsa_title"]], "week", "state", "cbsa_title").agg(
+        F.grouping("state").alias("_gs"), mean_strict("thhld_numper").alias("mean"), F.count(F.lit(1)).alias("n"))
+    by_state = F.col("_gs") == 0
+    return g.select("week", F.when(by_state, "state").otherwise("msa").alias("geo_type"),
+                    F.when(by_state, F.col("state")).otherwise(F.col("cbsa_title")).alias("geography"), "mean", "n")
 
 
 @register("ratio_of_sums", _sql("""
@@ -466,8 +471,8 @@ from rec group by week, state"""))
 def ratio_of_sums_q(spark, sf_dir):
     """Weighted count over weighted base per week and state."""
     from repweave.operators.reshape import ratio_of_sums
-    d = recoded(spark, sf_dir)
-    d = d.join(F.broadcast(T.state_table(spark, sf_dir)), d.est_st == F.col("state_code"), "left")
+    from repweave.operators.joins import left_lookup
+    d = left_lookup(recoded(spark, sf_dir), T.state_table(spark, sf_dir), "est_st", "state_code", max_rows=10_000)
     return ratio_of_sums(d, ["week", "state"], F.col("pweight") * F.col("inc_loss"),
                          F.when(F.col("inc_loss").isNotNull(), F.col("pweight")))
 
@@ -482,7 +487,7 @@ group by week, metric, value"""))
 def unpivot_metrics_q(spark, sf_dir):
     """The 16 metric columns stacked to (metric, value), NULLs dropped."""
     from repweave.operators.reshape import unpivot_metrics
-    long = unpivot_metrics(est_input(spark, sf_dir), ["week"], K.METRICS)
+    long = unpivot_metrics(P.estimation_input(survey_rows(spark, sf_dir)), ["week"], K.METRICS)
     return long.groupBy("week", "metric", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -504,10 +509,10 @@ def grid_q(spark, sf_dir):
     from repweave.operators.reshape import literal_grid
     raw = T.raw_microdata(spark, sf_dir)
     n = current_week(raw.select("week"))
-    p = prepared(spark, sf_dir)
-    geos = (p.select(F.lit("state").alias("geo_type"), F.col("state").alias("geography"))
-            .unionByName(p.select(F.lit("msa").alias("geo_type"),
-                                  F.col("cbsa_title").alias("geography")))
+    # both names of a row in one pass
+    geos = (survey_rows(spark, sf_dir)
+            .select(F.inline(F.array(F.struct(F.lit("state").alias("geo_type"), F.col("state").alias("geography")),
+                                     F.struct(F.lit("msa").alias("geo_type"), F.col("cbsa_title").alias("geography")))))
             .where(F.col("geography").isNotNull()).distinct())
     g = literal_grid(geos, {"metric": K.METRICS, "race_indicator": K.RACE_INDICATORS,
                             "s": list(range(1, n))})
@@ -541,16 +546,16 @@ from weeks w, sts s"""))
 def one_hot_state(spark, sf_dir):
     """One-hot state columns; reported as ones per (week, dummy column)."""
     from repweave.operators.reshape import one_hot
-    d = prepared(spark, sf_dir).select("week", "state")
+    d = survey_rows(spark, sf_dir).select("week", "state")
     oh = one_hot(d, "state")
     dummies = [c for c in oh.columns if c.startswith("state_")]
     long = oh.unpivot(["week"], dummies, "dummy", "v")
     return long.groupBy("week", "dummy").agg(F.sum("v").cast("bigint").alias("n_ones"))
 
 
-@register("sample_cells")
+@register("sample_cells", _SAMPLE_SQL)
 def sample_cells(spark, sf_dir):
-    """O3: a seeded sample of 10 feature-table cells (rows-only check)."""
+    """O3: a seeded sample of 10 feature-table cells, the first by MD5 of seed and keys."""
     from repweave.operators.reshape import sample_rows
     ft = FT.feature_table(_estimates(spark, sf_dir), sort=False)
     return sample_rows(ft, 10, 42, ["metric", "race_var", "geography", "week_num"])
@@ -628,46 +633,131 @@ def _register_normalisers():
 _register_normalisers()
 
 
-@register("check_published")
+def _published_parts():
+    """(spec, metric, numerator, denominator) of every published metric that is checked."""
+    from repweave.operators.published import SPECS
+    out = []
+    for spec in SPECS.values():
+        if spec.metric is not None:
+            out.append((spec, spec.metric, spec.numerator, spec.denominator))
+            if "second" in spec.extra:
+                out.append((spec, *spec.extra["second"]))
+    return out
+
+
+def _check_published_sql() -> str:
+    """Estimates by plain grouping of full weights (no replicates: means only), published
+    ratios from the normalisers' own SQL, and a full join."""
+    parts = _published_parts()
+    metrics = [m for _, m, _, _ in parts]
+    # each normaliser's query keeps its own WITH clause as a derived table
+    pub = " union all ".join(
+        f"select week_num as wk, geography, race_var, '{m}' as metric, {num} as num, {den} as den from n_{spec.name}"
+        for spec, m, num, den in parts)
+    norm = ", ".join(f"n_{spec.name} as ({_normalise_sql(spec)})" for spec in {p[0].name: p[0] for p in parts}.values())
+    long = " union all ".join(
+        f"select week, state, cbsa_title, race, pweight as w, '{m}' as metric, {m} as x from est where {m} is not null"
+        for m in metrics)
+    fams = " union all ".join(f"""
+select interval_start, {geo} as geography, '{t}' as geo_type, metric, race, sum(w) as sw, sum(w * x) as swx, count(*) as n
+from fan {"where " + geo + " is not null" if geo != "'US'" else ""} group by all"""
+                              for t, geo in (("state", "state"), ("msa", "cbsa_title"), ("national", "'US'")))
+    races = ", ".join(f"('{g}')" for g in K.RACE_GROUPS)
+    names = ", ".join(f"('{m}')" for m in metrics)
+    return "with " + O.prepared_ctes() + f""",
+{norm},
+mx as (select max(week) as nw from est),
+pub0 as ({pub}),
+iv as (select 'wk' || (s + d) as wk, 'wk' || s || '_' || (s + 1) as week_int
+       from mx, range(1, mx.nw) t(s), range(0, 2) u(d)),
+pubs as (select coalesce(week_int, wk) as week_num, geography, race_var, metric, sum(num) / nullif(sum(den), 0) as published_mean,
+                count(distinct wk) as n_weeks
+         from pub0 left join iv using (wk) group by 1, 2, 3, 4),
+lg as ({long}),
+fan as (select lg.*, week - d as interval_start from lg, mx, range(0, 2) u(d) where week - d between 1 and nw - 1),
+cell as ({fams}),
+-- of the whole geography, and of all geographies together, for the empty-cell rule
+geo as (select interval_start, geography, geo_type, metric, sum(sw) as sw, sum(swx) as swx, sum(n) as n from cell group by all),
+nat as (select interval_start, metric, sum(n) as n, sum(sw) as sw, sum(swx) as swx from cell where geo_type = 'national' group by all),
+geos as (select distinct geography, geo_type from cell),
+grid as (select geography, geo_type, interval_start, metric from geos, mx, range(1, mx.nw) t(interval_start), (values {names}) v(metric)),
+est_race as (
+  select g.geography, g.interval_start, r.race_var, g.metric,
+         case when coalesce(c.n, 0) = 0 or coalesce(geo.n, 0) = c.n then null else c.swx / c.sw end as mean
+  from grid g cross join (values {races}) r(race_var)
+  left join cell c on c.geography = g.geography and c.geo_type = g.geo_type and c.interval_start = g.interval_start
+                  and c.metric = g.metric and c.race = r.race_var
+  left join geo on geo.geography = g.geography and geo.geo_type = g.geo_type and geo.interval_start = g.interval_start
+               and geo.metric = g.metric),
+est_total as (
+  select g.geography, g.interval_start, 'total' as race_var, g.metric,
+         case when g.geo_type <> 'national' and (coalesce(geo.n, 0) = 0 or geo.n = nat.n) then null else geo.swx / geo.sw end as mean
+  from grid g left join geo using (geography, geo_type, interval_start, metric)
+  left join nat on nat.interval_start = g.interval_start and nat.metric = g.metric
+  where g.geo_type <> 'national' or geo.n is not null),
+ests as (select geography, 'wk' || interval_start || '_' || (interval_start + 1) as week_num, race_var, metric, mean, 1 as e
+         from (select * from est_race union all select * from est_total)),
+j as (select coalesce(a.geography, b.geography) as geography, coalesce(a.week_num, b.week_num) as week_num,
+             coalesce(a.race_var, b.race_var) as race_var, coalesce(a.metric, b.metric) as metric,
+             round(mean, 4) as mean, round(published_mean, 4) as published_mean, e, n_weeks
+      from ests a full join pubs b on a.geography = b.geography and a.week_num = b.week_num and a.race_var = b.race_var
+                                  and a.metric = b.metric)
+select geography, week_num, race_var, metric, mean, published_mean,
+       case when n_weeks is null then 'estimate_only' when e is null then 'published_only'
+            when n_weeks < 2 then 'incomplete_interval' else 'both' end as status,
+       case when n_weeks >= 2 and e is not null and mean is not null and published_mean is not null
+            then mean between published_mean - {K.QC_TOLERANCE} and published_mean + {K.QC_TOLERANCE} end as ok
+from j"""
+
+
 def check_published(spark, sf_dir):
-    """Food, rent not paid, income loss (2 metrics), stimulus and
-    housing-confidence estimates vs the pooled published ratios (4 digits, +-0.002)."""
-    from repweave.operators.published import (SPECS, cell_table, check_against_published,
-                                              normalise, published_means)
+    """Food, rent not paid, income loss (2 metrics), stimulus and housing-confidence
+    estimates vs the pooled published ratios (4 digits, +-0.002); every cell of either side."""
+    from repweave.operators.published import cell_table, check_against_published, normalise, published_means
     rows = survey_rows(spark, sf_dir)
-    n = current_week(T.raw_microdata(spark, sf_dir).select("week"))
-    xw = crosswalk(spark, n)
-    pubs = None
-    for spec in SPECS.values():
-        if spec.metric is None:
-            continue
-        norm = normalise(cell_table(rows, spec), spec)
-        parts = [(spec.metric, spec.numerator, spec.denominator)]
-        if "second" in spec.extra:
-            parts.append(spec.extra["second"])
-        for metric, num, den in parts:
-            pm = published_means(norm, xw, num, den, metric)
-            pubs = pm if pubs is None else pubs.unionByName(pm)
-    ft = FT.feature_table(_estimates(spark, sf_dir), sort=False)
-    return check_against_published(ft, pubs.where(F.col("published_mean").isNotNull()))
+    est = _estimates(spark, sf_dir)
+    xw = crosswalk(spark, est.n_weeks)
+    pubs, metrics = None, []
+    for spec, metric, num, den in _published_parts():
+        pm = published_means(normalise(cell_table(rows, spec), spec), xw, num, den, metric)
+        pubs = pm if pubs is None else pubs.unionByName(pm)
+        metrics.append(metric)
+    ft = FT.feature_table(est, sort=False).where(F.col("metric").isin(metrics))
+    return check_against_published(ft, pubs)
+
+
+register("check_published", _check_published_sql())(check_published)
 
 
 # ------------------------------------------------------------ incremental/sinks --
 
-@register("incremental_weeks")
+@register("incremental_weeks", _sql(f"""
+, r as (select week, state, cbsa_title, race, inc_loss as x, rep, ({O.rep_weight_sql()}) * 0.5 as w
+        from est cross join range(0, {K.N_REPLICATES + 1}) t(rep)),
+c as (select week, 'state' as geo_type, state as geography, race, rep, count(x) as n,
+             sum(case when x is not null then w end) as sw, sum(w * x) as swx from r group by all
+      union all
+      select week, 'msa', cbsa_title, race, rep, count(x), sum(case when x is not null then w end), sum(w * x)
+      from r group by week, cbsa_title, race, rep)
+select week, geo_type, cast(rep as int) as rep, count(*) as cube_rows, cast(sum(n) as bigint) as n,
+       round(coalesce(sum(sw), 0), 9) as sw, round(coalesce(sum(swx), 0), 9) as swx
+from c group by week, geo_type, rep"""))
 def incremental_weeks(spark, sf_dir):
-    """Store the week cube for all but the latest week, then refresh with
-    everything; only the missing week is cubed. Returns cube rows per week."""
+    """All but the latest week and a part of it are delivered, then the rest of the latest
+    week, then that rest again. Every replicate of the stored cube counts each row once."""
     import uuid
     from repweave.session import checkpoint_dir
-    from repweave.streaming.incremental import append_new_weeks
+    from repweave.streaming.incremental import deliver, stored_cube
     store = f"{checkpoint_dir(spark).rstrip('/')}/repweave-incremental-{uuid.uuid4().hex}"
     ei = est_input(spark, sf_dir)
     n = current_week(T.raw_microdata(spark, sf_dir).select("week"))
-    append_new_weeks(ei.where(F.col("week") < n), store)
-    append_new_weeks(ei, store)
-    return (spark.read.parquet(store).where(F.col("rep") == 0)
-            .groupBy("week", "geo_type").agg(F.count(F.lit(1)).alias("cube_rows")))
+    late = (F.col("week") == n) & (F.col("rrace") > 2)
+    deliver(ei.where(~late), store, "first")
+    for _ in range(2):
+        deliver(ei.where(late), store, "rest")
+    return (stored_cube(spark, store).groupBy("week", "geo_type", "rep")
+            .agg(F.count(F.lit(1)).alias("cube_rows"), F.sum("n__inc_loss").alias("n"),
+                 F.sum("sw__inc_loss").alias("sw"), F.sum("swx__inc_loss").alias("swx")))
 
 
 @register("publish_bundle")
@@ -748,5 +838,5 @@ def hh_size_by_state_race(spark, sf_dir):
     """A17 cross + O2: mean household size by week, state and race label, in
     ascending (week, mean) order."""
     from repweave.operators.reshape import group_mean
-    d = prepared(spark, sf_dir).dropDuplicates(["scram", "week"])
+    d = survey_rows(spark, sf_dir).dropDuplicates(["scram", "week"])
     return group_mean(d, ["week", "state", "hisp_rrace"], "thhld_numper").orderBy("week", "mean")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -40,7 +41,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     builder = (SparkSession.builder
                .master(master or f"local[{cpus}]")
                .appName(app_name)
-               .config("spark.driver.memory", "16g")
+               .config("spark.driver.memory", os.environ.get("REPWEAVE_DRIVER_MEMORY", "8g"))
                # wide generated methods (recodes, replicate sums) must still be
                # JIT-compiled; HotSpot skips methods over 8000 bytecodes otherwise
                .config("spark.driver.extraJavaOptions", os.environ.get("REPWEAVE_JIT", JIT_OPTS))
@@ -54,17 +55,32 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a stage folder in whatever file system the path names."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
-    Uses ``spark.checkpoint.dir`` as the cluster configures it. Only when it is
-    unset (local tests) a fresh scratch folder is created and registered.
+    Uses ``spark.checkpoint.dir`` as the cluster configures it. When it is unset, a
+    local session gets a fresh scratch folder; any other master raises, because its
+    executors would each write to a disk of their own.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = spark.sparkContext.getCheckpointDir()
     if configured:
         return configured
+    master = spark.sparkContext.master
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+        raise RuntimeError(f"spark.checkpoint.dir must name a folder that all executors of {master} share")
     local = tempfile.mkdtemp(prefix="repweave-ckpt-", dir="/tmp")
     spark.sparkContext.setCheckpointDir(local)
     return local

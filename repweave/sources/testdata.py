@@ -130,7 +130,7 @@ def state_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (nation.select(F.col("n_nationkey").alias("state_code"),
                           F.col("n_name").alias("state"),
                           F.col("n_name").alias("state_name"))
-            .dropDuplicates(["state_code"]))
+            )
 
 
 def metro_table(spark: SparkSession) -> DataFrame:

@@ -1,14 +1,18 @@
-"""Incremental weekly refresh (S17): only weeks not yet stored are processed.
+"""Incremental weekly refresh (S17): each delivery's rows are cubed once.
 
-The week cube is the unit of refresh: it is stored as Parquet partitioned by
-``week`` under a shared path, a new batch is anti-joined against the stored
-weeks, and only new partitions are appended. Intervals, roll-ups and
-estimates are recomputed from the (small) stored cube, so adding a week never
-re-reads older respondents and never changes older intervals.
+The store is a Parquet table of week cubes, partitioned by ``week`` and ``delivery``: a
+delivery (a file, a batch) writes one partition per week it has rows of, by dynamic
+partition overwrite. So
+
+* a week delivered in parts keeps all parts (sums merge by addition when the store is read);
+* a repeated or retried delivery replaces its own partitions and changes nothing;
+* other deliveries and weeks are never read or rewritten.
+
+Intervals, roll-ups and estimates are computed from the (small) stored cube.
 
 ``refresh_stream`` runs the same step as a Structured Streaming query over a
-folder of weekly Parquet drops (``trigger(availableNow=True)`` +
-``foreachBatch``), with its progress in a checkpoint location.
+folder of weekly Parquet drops (``trigger(availableNow=True)`` + ``foreachBatch``); the
+batch number is the delivery, so a retried batch is no new delivery.
 """
 
 from __future__ import annotations
@@ -17,41 +21,44 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from repweave import constants as K
-from repweave.operators.cube import geo_week_cube
+from repweave.operators.cube import geo_week_cube, rollup
 from repweave.operators.design import ROLLING, ReplicateDesign
+from repweave.session import path_exists
+
+CUBE_KEYS = ["week", "geo_type", "geography", "race", "rep"]
+
 
+def deliver(rows: DataFrame, store: str, delivery: str, design: ReplicateDesign = ROLLING,
+            metrics: list[str] = K.METRICS) -> None:
+    """Cube the rows of one delivery and put them into the store, in place of what the same
+    delivery wrote before for those weeks."""
+    (geo_week_cube(rows, design, metrics).withColumn("delivery", F.lit(delivery))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("week", "delivery").parquet(store))
 
-def stored_weeks(spark: SparkSession, store: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(store).select("week").distinct()
-    except Exception:  # nothing stored yet
-        return None
 
+def deliveries(spark: SparkSession, store: str) -> DataFrame:
+    """The ledger: (week, delivery) of every stored partition, from the partition names."""
+    if not path_exists(spark, store):
+        return spark.createDataFrame([], "week int, delivery string")
+    stored = spark.read.parquet(store)
+    return stored.select("week", F.col("delivery").cast("string").alias("delivery")).distinct()
 
-def append_new_weeks(rows: DataFrame, store: str, design: ReplicateDesign = ROLLING,
-                     metrics: list[str] = K.METRICS) -> int:
-    """Cube the weeks of ``rows`` that are not in ``store`` and append them.
 
-    Returns the number of new cube rows written (0 when nothing was new).
-    """
-    spark = rows.sparkSession
-    have = stored_weeks(spark, store)
-    new = rows if have is None else rows.join(F.broadcast(have), "week", "left_anti")
-    cube = geo_week_cube(new, design, metrics)
-    before = 0 if have is None else spark.read.parquet(store).count()
-    cube.write.mode("append").partitionBy("week").parquet(store)
-    return spark.read.parquet(store).count() - before
+def stored_cube(spark: SparkSession, store: str) -> DataFrame:
+    """The week cube over all deliveries: their sums, added."""
+    return rollup(spark.read.parquet(store).drop("delivery"), CUBE_KEYS)
 
 
 def refresh_stream(spark: SparkSession, source_dir: str, schema, store: str,
                    checkpoint: str, prepare_batch, design: ReplicateDesign = ROLLING,
                    metrics: list[str] = K.METRICS):
     """Structured Streaming form: each micro-batch of new weekly files is
-    prepared by ``prepare_batch(df)`` and appended via ``append_new_weeks``."""
+    prepared by ``prepare_batch(df)`` and delivered under its batch number."""
     stream = spark.readStream.schema(schema).parquet(source_dir)
 
-    def on_batch(batch: DataFrame, _epoch: int) -> None:
-        append_new_weeks(prepare_batch(batch), store, design, metrics)
+    def on_batch(batch: DataFrame, epoch: int) -> None:
+        deliver(prepare_batch(batch), store, f"batch-{epoch}", design, metrics)
 
     return (stream.writeStream.foreachBatch(on_batch)
             .option("checkpointLocation", checkpoint)

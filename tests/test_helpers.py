@@ -1,5 +1,6 @@
 """Scalar helpers, join guards, reshape operators."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from repweave.functions.scalar import (clean_name, extract_or_null, geo_type_by_shape,
@@ -108,3 +109,41 @@ def test_coerce_numeric(spark):
     from repweave.sources.files import coerce_numeric
     df = spark.createDataFrame([("1.5",), ("x",), (None,)], "v string")
     assert [r.v for r in coerce_numeric(df, ["v"]).collect()] == [1.5, None, None]
+
+
+def test_one_hot_names_never_clash(spark):
+    df = spark.createDataFrame([("St. Louis",), ("St Louis",), ("na",), (None,), ("x",)], "g string")
+    rows = one_hot(df, "g").collect()
+    hot = {r["g"]: [c for c in rows[0].__fields__ if c != "g" and r[c] == 1] for r in rows}
+    assert hot == {"St. Louis": ["g_st_louis_2"], "St Louis": ["g_st_louis"], "na": ["g_na_2"], None: ["g_na"], "x": ["g_x"]}
+    assert one_hot(df, "g", levels=["x", None]).columns == ["g", "g_x", "g_na"]
+
+
+def test_one_hot_has_no_level_cap(spark):
+    df = spark.range(1200).selectExpr("concat('v', id) as g")
+    assert len(one_hot(df, "g").columns) == 1201
+
+
+def test_lookup_duplicates_are_deterministic_and_reported(spark):
+    from repweave.operators.joins import duplicate_keys, left_lookup
+    dim = spark.createDataFrame([(1, "b"), (1, "a"), (2, "c"), (2, "c")], "code int, name string")
+    df = spark.createDataFrame([(1,), (2,), (3,)], "k int")
+    for parts in (1, 3):
+        got = {r["k"]: r["name"] for r in left_lookup(df, dim.repartition(parts), "k", "code").collect()}
+        assert got == {1: "a", 2: "c", 3: None}
+    assert [(r["code"], r["n_rows"]) for r in duplicate_keys(dim, "code").collect()] == [(1, 2)]
+
+
+def test_clean_names_number_clashes(spark):
+    from repweave.functions.scalar import clean_names
+    assert clean_names(spark.createDataFrame([(1, 2, 3)], ["A b", "a.b", "a_b"])).columns == ["a_b", "a_b_2", "a_b_3"]
+
+
+def test_checkpoint_folder_needs_a_shared_setting(spark):
+    from types import SimpleNamespace
+
+    from repweave.session import checkpoint_dir
+    fake = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: None),
+                           sparkContext=SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077"))
+    with pytest.raises(RuntimeError):
+        checkpoint_dir(fake)

@@ -3,6 +3,8 @@ weeks are untouched by a refresh."""
 
 import uuid
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from conftest import SF001
@@ -11,27 +13,47 @@ from repweave.operators.design import ROLLING
 from repweave.operators.reshape import frame_diff
 from repweave.plans import prepare as P
 from repweave.session import checkpoint_dir
-from repweave.streaming.incremental import append_new_weeks
+from repweave.streaming.incremental import deliver, deliveries, refresh_stream, stored_cube
 
 METRICS = ["inc_loss", "food_insufficient"]
 
 
-def test_incremental_equals_one_pass(spark):
+KEYS = ["week", "geo_type", "geography", "race", "rep"]
+
+
+def same(a, b):
+    cols = KEYS + stat_cols(METRICS)
+    return frame_diff(a.select(*cols), b.select(*cols), KEYS).count() == 0
+
+
+def test_parts_repeats_and_late_rows_count_once(spark):
     ei = P.estimation_input(P.prepare(spark, SF001)).cache()
     store = f"{checkpoint_dir(spark)}/test-incr-{uuid.uuid4().hex}"
-    assert append_new_weeks(ei.where(F.col("week") <= 6), store, ROLLING, METRICS) > 0
-    before = spark.read.parquet(store).where(F.col("week") <= 6).cache()
-    n_before = before.count()
-    assert append_new_weeks(ei, store, ROLLING, METRICS) > 0
-    assert append_new_weeks(ei, store, ROLLING, METRICS) == 0      # nothing new
-    stored = spark.read.parquet(store)
-    keys = ["week", "geo_type", "geography", "race", "rep"]
-    one = geo_week_cube(ei, ROLLING, METRICS)
-    cols = keys + stat_cols(METRICS)
-    assert frame_diff(stored.select(*cols), one.select(*cols), keys).count() == 0
-    after = stored.where(F.col("week") <= 6).select(*cols)
-    assert after.count() == n_before
-    assert frame_diff(after, before.select(*cols), keys).count() == 0
+    assert deliveries(spark, store).count() == 0
+    deliver(ei.where("week < 6 or (week = 6 and rrace = 1)"), store, "first", ROLLING, METRICS)
+    deliver(ei.where("week = 6 and rrace > 1"), store, "late", ROLLING, METRICS)
+    deliver(ei.where("week = 6 and rrace > 1"), store, "late", ROLLING, METRICS)     # delivered again
+    assert same(stored_cube(spark, store), geo_week_cube(ei.where("week <= 6"), ROLLING, METRICS))
+    deliver(ei.where("week > 6"), store, "rest", ROLLING, METRICS)
+    assert same(stored_cube(spark, store), geo_week_cube(ei, ROLLING, METRICS))
+    assert {(r[0], r[1]) for r in deliveries(spark, store).where("week = 6").collect()} == {(6, "first"), (6, "late")}
+
+
+def test_a_broken_store_is_an_error(spark, tmp_path):
+    (tmp_path / "week=1").mkdir()
+    (tmp_path / "week=1" / "part-0.parquet").write_bytes(b"no parquet")
+    with pytest.raises(Exception):
+        stored_cube(spark, str(tmp_path)).count()
+
+
+def test_stream_keeps_a_week_that_falls_into_two_batches(spark, tmp_path):
+    ei = P.estimation_input(P.prepare(spark, SF001)).where("week <= 2").cache()
+    source, store = str(tmp_path / "drops"), str(tmp_path / "store")
+    for part in ("rrace = 1", "rrace > 1"):
+        ei.where(part).coalesce(1).write.mode("append").parquet(source)
+        refresh_stream(spark, source, ei.schema, store, str(tmp_path / "progress"), lambda df: df, ROLLING,
+                       METRICS).awaitTermination()
+    assert same(stored_cube(spark, store), geo_week_cube(ei, ROLLING, METRICS))
 
 
 def test_interval_cube_equals_recompute_from_rows(spark):

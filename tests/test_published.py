@@ -25,7 +25,7 @@ def parts(spark):
 def _check(spec, cells, ft, xw):
     norm = normalise(cells, spec)
     pm = published_means(norm, xw, spec.numerator, spec.denominator, spec.metric)
-    return check_against_published(ft, pm.where(F.col("published_mean").isNotNull()))
+    return check_against_published(ft, pm)
 
 
 def test_cell_layout(parts):
@@ -51,3 +51,24 @@ def test_check_fails_on_injected_error(parts):
                            .otherwise(F.col("often_not_enough")))
     res = _check(spec, bad, ft, xw)
     assert res.where(F.col("ok") == False).count() > 0  # noqa: E712
+
+
+def test_one_sided_cells_are_reported(spark):
+    keys = "geography string, week_num string, race_var string, metric string"
+    est = spark.createDataFrame([("A", "wk1_2", "asian", "m", 0.5), ("B", "wk1_2", "asian", "m", 0.5),
+                                 ("D", "wk1_2", "asian", "m", None)], keys + ", mean double")
+    pub = spark.createDataFrame([("A", "wk1_2", "asian", "m", 0.5, 2), ("C", "wk1_2", "asian", "m", 0.5, 2),
+                                 ("D", "wk1_2", "asian", "m", 0.4, 2), ("B", "wk2_3", "asian", "m", 0.5, 1)],
+                                keys + ", published_mean double, n_weeks long")
+    est = est.unionByName(spark.createDataFrame([("B", "wk2_3", "asian", "m", 0.1)], est.schema))
+    got = {(r["geography"], r["week_num"]): (r["status"], r["ok"]) for r in check_against_published(est, pub).collect()}
+    assert got == {("A", "wk1_2"): ("both", True), ("B", "wk1_2"): ("estimate_only", None), ("C", "wk1_2"): ("published_only", None),
+                   ("D", "wk1_2"): ("both", None), ("B", "wk2_3"): ("incomplete_interval", None)}
+
+
+def test_weeks_outside_every_interval_stay(spark):
+    norm = spark.createDataFrame([("v", "A", 1.0, 2.0, "wk1", "asian"), ("v", "A", 3.0, 4.0, "wk99", "asian")],
+                                 "variable string, geography string, n double, d double, week_num string, race_var string")
+    got = {(r["week_num"], r["published_mean"], r["n_weeks"])
+           for r in published_means(norm, crosswalk(spark, 3), "n", "d", "m").collect()}
+    assert got == {("wk1_2", 0.5, 1), ("wk99", 0.75, 1)}
