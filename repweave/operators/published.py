@@ -28,6 +28,7 @@ HEADER_LABEL = "Hispanic origin and Race"
 RACE_ROWS = [K.RACE_LABEL_HISPANIC, K.RACE_LABEL_WHITE, K.RACE_LABEL_BLACK,
              K.RACE_LABEL_ASIAN, K.RACE_LABEL_OTHER]
 NR = "in (-88, -99)"
+AVAILABILITY = ["always_available", "usually_available", "sometimes_available", "rarely_available", "never_available"]
 
 
 @dataclass(frozen=True)
@@ -42,6 +43,13 @@ class TableSpec:
     numerator: str | None = None            # count columns for the check (A18)
     denominator: str | None = None
     extra: dict = field(default_factory=dict)
+    optional: tuple[str, ...] = ()          # columns that files before ``optional_from`` lack
+    optional_from: int = K.DRIFT_FIRST_WEEK
+
+    def layouts(self) -> dict[int, list[str]]:
+        """The column names of a file by its number of value columns."""
+        names = list(self.counts)
+        return {len(c): c for c in (names, [n for n in names if n not in self.optional])}
 
 
 def _food(name: str, suffix: str = "", metric: str | None = None) -> TableSpec:
@@ -80,43 +88,54 @@ SPECS: dict[str, TableSpec] = {s.name: s for s in [
         denominator="total_answered_lost",
         extra={"second": ("expect_inc_loss", "income_loss_next_4_wks", "total_answered_lose")}),
     TableSpec(
-        name="housing1b", universe="tenure in (3, 4)",
-        counts={"total": "true", "occup_no_rent": "tenure = 4",
+        name="housing1b",
+        counts={"total": "tenure in (3, 4)", "occup_no_rent": "tenure = 4",
                 "payment_yes": "tenure = 3 and mortlmth = 1", "payment_no": "tenure = 3 and mortlmth = 2",
                 "payment_deferred": "tenure = 3 and mortlmth = 3",
-                "no_response_conf": f"tenure = 3 and mortlmth {NR}"},
+                "did_not_respond_conf": f"tenure = 3 and mortlmth {NR}",
+                "owner_occupied": "tenure in (1, 2)", "did_not_respond_tenure": "tenure not in (1, 2, 3, 4)"},
         derived={"total_not_paid": "payment_no + payment_deferred",
-                 "total_answered": "total - occup_no_rent - no_response_conf",
+                 "total_answered": "total - occup_no_rent - did_not_respond_conf",
                  "perc_rent_not_paid": "(payment_no + payment_deferred) / nullif("
-                                       "total - occup_no_rent - no_response_conf, 0)"},
-        keep=["payment_no", "total_not_paid", "total_answered", "perc_rent_not_paid"],
-        metric="rent_not_paid", numerator="total_not_paid", denominator="total_answered"),
+                                       "total - occup_no_rent - did_not_respond_conf, 0)",
+                 # as first published: the division binds to the deferred payments alone
+                 "perc_rent_not_paid_raw": "payment_no + payment_deferred / nullif("
+                                           "total - occup_no_rent - did_not_respond_conf, 0)"},
+        keep=["payment_no", "payment_yes", "payment_deferred", "total", "did_not_respond_conf",
+              "did_not_respond_tenure", "total_not_paid", "total_answered", "perc_rent_not_paid",
+              "perc_rent_not_paid_raw"],
+        metric="rent_not_paid", numerator="total_not_paid", denominator="total_answered",
+        optional=("owner_occupied",)),
     TableSpec(
-        name="housing2a", universe="tenure in (1, 2)",
-        counts={"total": "true", "owned_free_clear": "tenure = 1",
+        name="housing2a",
+        counts={"total": "tenure in (1, 2)", "owned_free_clear": "tenure = 1",
                 "no_conf": "tenure = 2 and mortconf = 1", "slight_conf": "tenure = 2 and mortconf = 2",
                 "moderate_conf": "tenure = 2 and mortconf = 3", "high_conf": "tenure = 2 and mortconf = 4",
                 "deferred": "tenure = 2 and mortconf = 5",
-                "no_response_conf": f"tenure = 2 and mortconf {NR}"},
+                "no_response_conf": f"tenure = 2 and mortconf {NR}",
+                "renter_occupied": "tenure in (3, 4)", "did_not_respond_tenure": "tenure not in (1, 2, 3, 4)"},
         derived={"total_not_conf": "no_conf + slight_conf + deferred",
                  "total_answered": "total - owned_free_clear - no_response_conf",
                  "perc_not_conf": "(no_conf + slight_conf + deferred) / nullif("
                                   "total - owned_free_clear - no_response_conf, 0)"},
-        keep=["total_not_conf", "total_answered", "perc_not_conf"],
-        metric="mortgage_not_conf", numerator="total_not_conf", denominator="total_answered"),
+        keep=["did_not_respond_tenure", "total_not_conf", "total_answered", "perc_not_conf"],
+        metric="mortgage_not_conf", numerator="total_not_conf", denominator="total_answered",
+        optional=("renter_occupied",)),
     TableSpec(
-        name="housing2b", universe="tenure in (3, 4)",
-        counts={"total": "true", "occup_no_rent": "tenure = 4",
+        name="housing2b",
+        counts={"total": "tenure in (3, 4)", "occup_no_rent": "tenure = 4",
                 "no_conf": "tenure = 3 and mortconf = 1", "slight_conf": "tenure = 3 and mortconf = 2",
                 "moderate_conf": "tenure = 3 and mortconf = 3", "high_conf": "tenure = 3 and mortconf = 4",
                 "deferred": "tenure = 3 and mortconf = 5",
-                "no_response_conf": f"tenure = 3 and mortconf {NR}"},
+                "no_response_conf": f"tenure = 3 and mortconf {NR}",
+                "owner_occupied": "tenure in (1, 2)", "did_not_respond_tenure": "tenure not in (1, 2, 3, 4)"},
         derived={"total_not_conf": "no_conf + slight_conf + deferred",
                  "total_answered": "total - occup_no_rent - no_response_conf",
                  "perc_not_conf": "(no_conf + slight_conf + deferred) / nullif("
                                   "total - occup_no_rent - no_response_conf, 0)"},
-        keep=["total_not_conf", "total_answered", "perc_not_conf"],
-        metric="rent_not_conf", numerator="total_not_conf", denominator="total_answered"),
+        keep=["did_not_respond_tenure", "total_not_conf", "total_answered", "perc_not_conf"],
+        metric="rent_not_conf", numerator="total_not_conf", denominator="total_answered",
+        optional=("owner_occupied",)),
     TableSpec(
         name="stimulus1", first_week=K.DRIFT_FIRST_WEEK,
         counts={"total": "true", "used_expenses": "eip = 1", "used_debt": "eip = 2",
@@ -176,7 +195,41 @@ SPECS: dict[str, TableSpec] = {s.name: s for s in [
                  "perc_cancelled": "(cancelled) / nullif(total - did_not_report, 0)",
                  "perc_online": "(online) / nullif(total - did_not_report, 0)",
                  "perc_paper": "(paper) / nullif(total - did_not_report, 0)"},
-        keep=["total_answered", "perc_cancelled", "perc_online", "perc_paper"]),
+        keep=["total", "total_answered", "perc_cancelled", "perc_online", "perc_paper"]),
+    TableSpec(
+        name="educ3",
+        counts={"total": "true",
+                **{f"{what}_{label}": f"{code} = {i}" for what, code in (("device", "device"), ("internet", "intrnt"))
+                   for i, label in enumerate(AVAILABILITY, 1)},
+                "device_did_not_respond": f"device {NR}", "internet_did_not_respond": f"intrnt {NR}"},
+        derived={k: v for what in ("device", "internet") for k, v in {
+            f"{what}_total_answered": f"total - {what}_did_not_respond",
+            f"perc_{what[:3]}_unavail": f"({what}_rarely_available + {what}_never_available) / nullif("
+                                        f"total - {what}_did_not_respond, 0)",
+            f"{what}_percent_answered": f"(total - {what}_did_not_respond) / nullif(total, 0)"}.items()},
+        keep=["device_rarely_available", "device_never_available", "device_total_answered",
+              "internet_rarely_available", "internet_never_available", "internet_total_answered",
+              "perc_dev_unavail", "perc_int_unavail", "total", "device_percent_answered",
+              "internet_percent_answered"]),
+    TableSpec(
+        name="health1",
+        counts={"delayed_med_care_did_not_get": "delay = 1", "delayed_med_care_did_get": "delay = 2",
+                "delayed_med_care_did_not_report": f"delay {NR}", "needed_med_care_did_not_get": "notget = 1",
+                "needed_med_care_did_get": "notget = 2", "needed_med_care_did_not_report": f"notget {NR}"},
+        derived={"perc_not_get_med_care": "needed_med_care_did_not_get / nullif("
+                                          "needed_med_care_did_not_get + needed_med_care_did_get, 0)"},
+        keep=["needed_med_care_did_get", "needed_med_care_did_not_get", "needed_med_care_did_not_report",
+              "perc_not_get_med_care"]),
+    TableSpec(
+        name="employ2",
+        counts={"total": "true",
+                **{kind: f"anywork = 1 and kindwork = {i}" for i, kind in enumerate(
+                    ("government", "private", "nonprofit", "self_employed", "fam_business"), 1)},
+                "employed_did_not_respond": f"anywork = 1 and kindwork {NR}", "not_employed": "anywork = 2",
+                "did_not_respond": f"anywork {NR}"},
+        derived={"entrepreneurship_health": "(self_employed + fam_business) / nullif("
+                                            "total - employed_did_not_respond - did_not_respond, 0)"},
+        keep=["entrepreneurship_health"]),
 ]}
 
 
@@ -223,6 +276,33 @@ def cell_table(rows: DataFrame, spec: TableSpec) -> DataFrame:
                        *[F.when(~head, F.col(c)).alias(c) for c in spec.counts], "row_idx")
 
 
+def positional(cells: DataFrame, spec: TableSpec) -> DataFrame:
+    """The cells as a file has them: an array c1..cN per row, without names. Files of weeks
+    before ``spec.optional_from`` lack the optional columns and so are narrower."""
+    wide, narrow = list(spec.counts), [c for c in spec.counts if c not in spec.optional]
+    week = F.regexp_extract("file", r"_wk(\d+)\.", 1).cast("int")
+    values = lambda names: F.array(*[F.col(n).cast("double") for n in names])
+    cell = values(wide) if not spec.optional else F.when(week < spec.optional_from, values(narrow)).otherwise(values(wide))
+    return cells.select("table", "file", "sheet", "variable", "row_idx", cell.alias("cells"))
+
+
+def choose_layout(cells: DataFrame, layouts: dict[int, list[str]]) -> DataFrame:
+    """Names for positional cells, by the number of value columns of each row's file. A
+    column that a layout lacks is NULL; a width without a layout is an error."""
+    width = F.size("cells")
+    names = list(dict.fromkeys(n for w in sorted(layouts, reverse=True) for n in layouts[w]))
+    out = {}
+    for name in names:
+        value = F.lit(None).cast("double")
+        for n, layout in layouts.items():
+            if name in layout:
+                value = F.when(width == n, F.get("cells", layout.index(name))).otherwise(value)
+        out[name] = value
+    known = F.when(width.isin(*layouts), F.col("cells")).otherwise(
+        F.raise_error(F.concat(F.lit("no layout for "), F.col("file"))).cast("array<double>"))
+    return cells.withColumn("cells", known).withColumns(out).drop("cells")
+
+
 # ------------------------------------------------------------- normaliser ---
 
 def normalise(cells: DataFrame, spec: TableSpec) -> DataFrame:
@@ -230,6 +310,8 @@ def normalise(cells: DataFrame, spec: TableSpec) -> DataFrame:
     dropped, geography from the sheet (metro sheets -> full titles), week from
     the file name, race label -> short name."""
     counts = list(spec.counts)
+    if "cells" in cells.columns:
+        cells = choose_layout(cells, spec.layouts())
     d = (cells.where(F.col("variable").contains("Hispanic"))                       # F6
          .fillna(0.0, subset=counts))                                              # NULL -> 0
     w = Window.partitionBy("file", "sheet").orderBy("row_idx")

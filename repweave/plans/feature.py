@@ -32,6 +32,7 @@ class Estimates:
     national: DataFrame   # US, five race groups
     us_total: DataFrame   # US, all respondents
     n_weeks: int
+    cube: DataFrame       # the geo cube they all come from
 
 
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
@@ -102,7 +103,7 @@ def estimate(df: DataFrame, design: ReplicateDesign = ROLLING,
     us = gc.sparkSession.createDataFrame([("national", "US")], "geo_type string, geography string")
     nat_est = E.race_vs_rest(gc, design).where(F.col("geo_type") == "national")
     national = fill_grid(_grid(us, n, metrics, K.RACE_GROUPS), nat_est, keys)
-    return Estimates(geo=geo, national=national, us_total=E.us_total(gc, design), n_weeks=n)
+    return Estimates(geo=geo, national=national, us_total=E.us_total(gc, design), n_weeks=n, cube=gc)
 
 
 def date_labels(spark: SparkSession) -> DataFrame:

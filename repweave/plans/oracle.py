@@ -53,6 +53,12 @@ select o_orderkey,
   case when ((o_orderkey+1)*7919)%1000003%12+1>=7 then case ((o_orderkey+1)*413158511)%1000003%8 when 0 then -88 when 1 then -99 else case when ((o_orderkey+1)*50019293)%1000003%3=0 then 1 else -99 end end end as spndsrc5,
   case when ((o_orderkey+1)*7919)%1000003%12+1>=7 then case ((o_orderkey+1)*413158511)%1000003%8 when 0 then -88 when 1 then -99 else case when ((o_orderkey+1)*50027213)%1000003%3=0 then 1 else -99 end end end as spndsrc6,
   case when ((o_orderkey+1)*7919)%1000003%12+1>=7 then case ((o_orderkey+1)*413158511)%1000003%8 when 0 then -88 when 1 then -99 else case when ((o_orderkey+1)*50035133)%1000003%3=0 then 1 else -99 end end end as spndsrc7,
+  case ((o_orderkey+1)*433494437)%1000003%9 when 0 then -88 when 1 then -99 else ((o_orderkey+1)*433494437)%1000003%9%5+1 end as device,
+  case ((o_orderkey+1)*472882027)%1000003%9 when 0 then -88 when 1 then -99 else ((o_orderkey+1)*472882027)%1000003%9%5+1 end as intrnt,
+  case ((o_orderkey+1)*492876847)%1000003%7 when 0 then -88 when 1 then -99 else ((o_orderkey+1)*492876847)%1000003%7%2+1 end as delay,
+  case ((o_orderkey+1)*512927357)%1000003%7 when 0 then -88 when 1 then -99 else ((o_orderkey+1)*512927357)%1000003%7%2+1 end as notget,
+  case ((o_orderkey+1)*533000389)%1000003%7 when 0 then -88 when 1 then -99 else ((o_orderkey+1)*533000389)%1000003%7%2+1 end as anywork,
+  case ((o_orderkey+1)*553105253)%1000003%9 when 0 then -88 when 1 then -99 else ((o_orderkey+1)*553105253)%1000003%9%5+1 end as kindwork,
   cast(((o_orderkey+1)*160481183)%1000003%900+100 as double) as pweight
 from orders join customer on o_custkey = c_custkey
 """

@@ -418,16 +418,30 @@ def svy_glm_q(spark, sf_dir):
     return fit_from_sums(long, ROLLING, [*keys, "metric"])
 
 
-@register("check_glm")
 def check_glm(spark, sf_dir):
-    """|regression slope| and its SE equal |diff_mean| and diff_se (4 digits)."""
-    glm = svy_glm_q(spark, sf_dir)
-    con = _contrast(lambda: F.lit(True), "national")(spark, sf_dir)
-    j = con.join(glm, ["metric", "race_indicator", "week_num"], "left")
+    """|regression slope| and its SE equal |diff_mean| and diff_se (4 digits), every race
+    cell of states, metros and the nation; both come from one cube."""
+    from repweave.operators.regression import fit_from_sums
+    est = _estimates(spark, sf_dir)
+    g = est.cube.where(F.col("by_race")).drop("by_race")
+    at = ["interval_start", "geo_type", "geography"]
+    sides = E.with_complement(g, [*at, "rep"], "race", K.METRICS)
+    sides = sides.where(F.col("race").isin(*K.RACE_GROUPS) & F.col("geography").isNotNull())
+    long = sides.select(*at, F.col("race").alias("race_indicator"), "rep", F.inline(F.array(*[F.struct(
+        F.lit(m).alias("metric"), (F.col(f"a_n__{m}") + F.col(f"b_n__{m}")).alias("n"),
+        (F.col(f"a_sw__{m}") + F.col(f"b_sw__{m}")).alias("s"), F.col(f"a_sw__{m}").alias("sx"),
+        (F.col(f"a_swx__{m}") + F.col(f"b_swx__{m}")).alias("sy"), F.col(f"a_sw__{m}").alias("sxx"),
+        F.col(f"a_swx__{m}").alias("sxy")) for m in K.METRICS])))
+    keys = [*at, "race_indicator", "metric"]
+    glm = fit_from_sums(long, ROLLING, keys)
+    cells = est.geo.where("race_indicator <> 'total'").unionByName(est.national)
+    j = cells.select(*keys, "week_num", "diff_mean", "diff_se").join(glm.select(*keys, "slope", "slope_se"), keys, "left")
     r4 = lambda c: F.round(c, 4)
-    return j.select("metric", "race_indicator", "week_num",
-                    ((r4(F.abs("slope")) == r4(F.abs("diff_mean")))
-                     & (r4("slope_se") == r4("diff_se"))).alias("ok"))
+    known = F.col("slope").isNotNull()
+    return j.select("geo_type", "geography", "week_num", "race_indicator", "metric", "slope",
+                    F.when(known, F.col("slope_se")).alias("slope_se"), "diff_mean", "diff_se",
+                    F.when(known, (r4(F.abs("slope")) == r4(F.abs("diff_mean")))
+                           & (r4("slope_se") == r4("diff_se"))).alias("ok"))
 
 
 # ------------------------------------------------------------------------ EDA --
@@ -562,14 +576,18 @@ def sample_cells(spark, sf_dir):
 
 
 @register("frame_diff", """
-select cast(null as varchar) as week_num, cast(null as int) as interval_start,
-       cast(null as varchar) as metric, cast(null as varchar) as side from orders where false""")
+with mx as (select max(cast(((o_orderkey+1)*7919)%1000003%12+1 as int)) as n from orders)
+select 'wk' || i || '_' || (i + 1) as week_num, cast(i as int) as interval_start, 'inc_loss' as metric, side
+from mx, (values (1, 'both'), (2, 'left_only')) v(i, side) where i < n""")
 def frame_diff_q(spark, sf_dir):
-    """National totals from the geo cube vs from the direct week cube (empty = equal)."""
+    """National totals from the geo cube vs from the direct week cube, with one value
+    changed and one row left out of the second: exactly these two are reported."""
     from repweave.operators.reshape import frame_diff
     gc, _ = FT.geo_cube_of(est_input(spark, sf_dir))
     a = E.us_total(gc, ROLLING).select("week_num", "interval_start", "metric", "mean", "se", "n")
     b = SPARK["us_total"](spark, sf_dir).select(*a.columns)
+    at = lambda i: (F.col("metric") == "inc_loss") & (F.col("interval_start") == i)
+    b = b.where(~at(2)).withColumn("mean", F.when(at(1), F.col("mean") + 1e-6).otherwise(F.col("mean")))
     return frame_diff(a, b, ["week_num", "interval_start", "metric"])
 
 
@@ -618,8 +636,8 @@ from d""")
 
 def _normalise_q(spec):
     def fn(spark, sf_dir):
-        from repweave.operators.published import cell_table, normalise
-        return normalise(cell_table(survey_rows(spark, sf_dir), spec), spec)
+        from repweave.operators.published import cell_table, normalise, positional
+        return normalise(positional(cell_table(survey_rows(spark, sf_dir), spec), spec), spec)
     fn.__doc__ = f"T-normaliser for published table {spec.name} (cells derived from the microdata)."
     return fn
 
@@ -760,73 +778,137 @@ def incremental_weeks(spark, sf_dir):
                  F.sum("sw__inc_loss").alias("sw"), F.sum("swx__inc_loss").alias("swx")))
 
 
-@register("publish_bundle")
+_ANY = " union all ".join(f"select week, '{m}' as metric from est where {m} is not null" for m in K.METRICS)
+
+
+@register("publish_bundle", _sql(f"""
+, mx as (select max(week) as nw from est),
+g as (select (select count(distinct state) from est) + (select count(distinct cbsa_title) from est) as n),
+u as (select count(*) as n from (select distinct metric, week - d as i from ({_ANY}), mx, range(0, 2) t(d)
+                                 where week - d between 1 and nw - 1)),
+c as (select g.n * {len(K.METRICS) * len(K.RACE_INDICATORS)} * (nw - 1) as geo,
+             {len(K.METRICS) * len(K.RACE_GROUPS)} * (nw - 1) as nat, u.n as us from g, mx, u),
+l as (select 'microdata' as name, (select count(*) from est) as rows
+      union all select 'estimates_geo', geo from c union all select 'estimates_national', nat from c
+      union all select 'estimates_us_total', us from c
+      union all select 'feature_table', geo + nat + us from c union all select 'feature_csv', geo + nat + us from c
+      union all select 'metro_names', {len(K.METRO_AREAS)} union all select 'feature_dictionary', 11
+      union all select 'appended_dictionary', 29)
+select name, cast(rows as bigint) as rows from l"""))
 def publish_bundle(spark, sf_dir):
-    """S15 + S16: feature table, metro names and dictionary written under one base path."""
+    """Microdata, the three estimate intermediates, the feature table (Parquet
+    and CSV), metro names and both dictionaries under one base path; rows as read back."""
     import uuid
     from repweave.session import checkpoint_dir
-    from repweave.sources.publish import feature_dictionary, publish
+    from repweave.sources import publish as W
     base = f"{checkpoint_dir(spark).rstrip('/')}/repweave-publish-{uuid.uuid4().hex}"
-    return publish({"feature_table": FT.feature_table(_estimates(spark, sf_dir)),
-                    "metro_names": T.metro_table(spark),
-                    "feature_dictionary": feature_dictionary(spark)}, base)
+    rows = est_input(spark, sf_dir)
+    W.write_microdata(rows, f"{base}/microdata")
+    # the estimates start from the written microdata, one folder per week
+    est = FT.estimate(W.read_parquet(spark, f"{base}/microdata"))
+    table = FT.feature_table(est)
+    listed = W.publish({"estimates_geo": est.geo, "estimates_national": est.national, "estimates_us_total": est.us_total,
+                        "feature_table": table, "feature_csv": table, "metro_names": T.metro_table(spark),
+                        "feature_dictionary": W.feature_dictionary(spark),
+                        "appended_dictionary": W.appended_dictionary(spark)},
+                       base, {"feature_csv": W.write_csv})
+    micro = W.read_parquet(spark, f"{base}/microdata").agg(F.count(F.lit(1)).alias("rows"))
+    return listed.unionByName(micro.select(F.lit("microdata").alias("name"), "rows"))
 
 
 # -------------------------------------------------------------------- files --
 
-@register("weekly_files", "with micro as (" + O.PROJECTION + """)
-select week, count(*) as n, count(eip) as n_eip, round(sum(pweight), 9) as pweight_total,
-       count(est_msa) as n_msa from micro group by week""")
+@register("weekly_files", "with " + O.prepared_ctes() + f""",
+reps as (select week, sum({O.rep_weight_sql()}) as repw_total from est cross join range(1, {K.N_REPLICATES + 1}) t(rep) group by week)
+select week, count(*) as n, count(eip) as n_eip, round(sum(pweight), 9) as pweight_total, count(est_msa) as n_msa,
+       round(sum(pweight * food_insufficient), 9) as food, round(sum(pweight * stimulus_expenses), 9) as stimulus,
+       count(spend_ui) as n_spend_ui, any_value(round(repw_total, 9)) as repw_total
+from est join reps using (week) group by week""")
 def weekly_files(spark, sf_dir):
-    """Microdata written as week-partitioned CSV, read back in
-    one scan with an explicit schema (no inference), numbers via try_cast."""
+    """Microdata and replicate weights as weekly CSV files with
+    unclean headers; the early weeks lack columns in mid-row. Read back by header name, recoded, joined."""
     import uuid
     from repweave.session import checkpoint_dir
     from repweave.sources.files import coerce_numeric, read_weekly_csv
     raw = T.raw_microdata(spark, sf_dir)
-    path = f"{checkpoint_dir(spark).rstrip('/')}/repweave-weekly-{uuid.uuid4().hex}"
-    raw.write.mode("overwrite").partitionBy("week").option("header", True).csv(path)
-    from pyspark.sql.types import StringType, StructField, StructType
-    # all columns read as text first: a drifting or dirty file cannot fail the scan
-    text = StructType([StructField(f.name, StringType(), True)
-                       for f in raw.drop("week").schema.fields])
-    df = read_weekly_csv(spark, path, text)
-    df = coerce_numeric(df, ["eip", "pweight", "est_msa"])
-    return df.groupBy("week").agg(F.count(F.lit(1)).alias("n"), F.count("eip").alias("n_eip"),
-                                  F.sum("pweight").alias("pweight_total"),
-                                  F.count("est_msa").alias("n_msa"))
-
-
-@register("check_manual", """
-select cast(null as int) as interval_start, cast(null as varchar) as race_indicator,
-       cast(null as varchar) as metric, cast(null as varchar) as side from orders where false""")
+    base = f"{checkpoint_dir(spark).rstrip('/')}/repweave-weekly-{uuid.uuid4().hex}"
+    names = raw.columns
+    early = raw.where(F.col("week") < K.DRIFT_FIRST_WEEK).drop(*K.DRIFT_COLUMNS)
+    early = early.toDF(*[c if c == "week" else c.upper().replace("_", " ") for c in early.columns])
+    late = raw.where(F.col("week") >= K.DRIFT_FIRST_WEEK).select(
+        "week", *[F.col(c).alias("Est.MSA" if c == "est_msa" else c) for c in reversed(names) if c != "week"])
+    for df in (early, late):
+        df.write.mode("append").partitionBy("week").option("header", True).csv(f"{base}/micro")
+    T.raw_repweights(spark, sf_dir).write.partitionBy("week").option("header", True).csv(f"{base}/repw")
+    df = read_weekly_csv(spark, f"{base}/micro", [c for c in names if c != "week"])
+    df = coerce_numeric(df, [c for c in names if c not in ("week", "scram")])
+    weights = [f"pweight{r}" for r in range(1, K.N_REPLICATES + 1)]
+    repw = coerce_numeric(read_weekly_csv(spark, f"{base}/repw", ["scram", *weights]), weights)
+    out = P.enrich(P.recode_microdata(df), T.state_table(spark, sf_dir), T.metro_table(spark), repw)
+    tot = F.aggregate("repw", F.lit(0.0), lambda a, v: a + v)
+    return out.groupBy("week").agg(
+        F.count(F.lit(1)).alias("n"), F.count("eip").alias("n_eip"), F.sum("pweight").alias("pweight_total"),
+        F.count("est_msa").alias("n_msa"), F.sum(F.col("pweight") * F.col("food_insufficient")).alias("food"),
+        F.sum(F.col("pweight") * F.col("stimulus_expenses")).alias("stimulus"),
+        F.count("spend_ui").alias("n_spend_ui"), F.sum(tot).alias("repw_total"))
+
+
+_RACE_FAMILIES = ["state_race", "msa_race", "us_race"]
+_CELL = "interval_start, geography, metric, race_indicator"
+
+
+def _race_cells_sql(per_family: str, final: str) -> str:
+    """Race cells of states, metros and the nation with what ``per_family`` adds per cell."""
+    parts = []
+    for f in _RACE_FAMILIES:
+        parts.append(per_family.format(f=f))
+    union = " union all ".join(f"select o.*, h.* exclude ({_CELL}) from {f}_out o left join {f}_x h using ({_CELL})"
+                               for f in _RACE_FAMILIES)
+    return ("with " + O.families_sql(_RACE_FAMILIES, cube=True) + "," + ",".join(parts)
+            + f", cells as ({union}) " + final)
+
+
+_HAND_SQL = _race_cells_sql(f"""
+{{f}}_h as (select {_CELL}, rep, swx0 / nullif(sw0, 0) - swx1 / nullif(sw1, 0) as d,
+                   (swx0 + swx1) / nullif(sw0 + sw1, 0) - swx1 / nullif(sw1, 0) as t from {{f}}_sides),
+{{f}}_z as (select {_CELL}, d as d0, t as t0 from {{f}}_h where rep = 0),
+{{f}}_x as (select {_CELL}, any_value(d0) as hand_diff_mean, sqrt(4.0 / 80 * sum(power(d - d0, 2)) filter (rep > 0)) as hand_diff_se,
+                   any_value(t0) as hand_total_mean, sqrt(4.0 / 80 * sum(power(t - t0, 2)) filter (rep > 0)) as hand_total_se
+            from {{f}}_h join {{f}}_z using ({_CELL}) group by {_CELL})""", """
+select geo_type, geography, week_num, race_indicator, metric, round(hand_diff_mean, 9) as hand_diff_mean,
+       round(hand_diff_se, 9) as hand_diff_se, round(hand_total_mean, 9) as hand_total_mean,
+       round(hand_total_se, 9) as hand_total_se, round(diff_mean, 9) as diff_mean, round(diff_se, 9) as diff_se,
+       case when hand_diff_mean is not null then true end as ok from cells""")
+
+
+@register("check_manual", _HAND_SQL)
 def check_manual(spark, sf_dir):
-    """By-hand replicate formula vs the contrast path, national race cells.
-
-    Independent route: respondents are fanned out to intervals first (not the
-    week cube), complements are explicit conditional sums over race classes
-    (not windows). Every (interval, race group, metric) must agree within
-    1.5e-8; the result lists disagreements (empty = pass).
-    """
-    from repweave.operators.cube import stat_cols, sufficient_stats
-    from repweave.operators.reshape import frame_diff
+    """By-hand differences (4/80 formula on filtered means, and against the
+    geography's total) beside the contrasts, every race cell of states, metros and the nation."""
+    from repweave.operators.by_hand import KEYS, by_hand
     ei = est_input(spark, sf_dir)
-    n = current_week(T.raw_microdata(spark, sf_dir).select("week"))
-    rows = rolling_fanout(ei, n)
-    cube = sufficient_stats(rows, ROLLING, K.METRICS, ["interval_start", "race"])
-    x = cube.withColumn("race_indicator", F.explode(F.array(*[F.lit(g) for g in K.RACE_GROUPS])))
-    is1 = F.coalesce(F.col("race") == F.col("race_indicator"), F.lit(False))
-    aggs = []
-    for c in stat_cols(K.METRICS):
-        zero = F.lit(0) if c.startswith("n__") else F.lit(0.0)
-        aggs.append(F.coalesce(F.sum(F.when(is1, F.col(c))), zero).alias("a_" + c))
-        aggs.append(F.coalesce(F.sum(F.when(~is1, F.col(c))), zero).alias("b_" + c))
-    sides = x.groupBy("interval_start", "race_indicator", "rep").agg(*aggs)
-    keys = ["interval_start", "race_indicator", "metric"]
-    vals = ["mean", "se", "other_mean", "other_se", "diff_mean", "diff_se", "n1", "n0"]
-    by_hand = E.finish_two_sided(sides, ROLLING, ["interval_start", "race_indicator"], K.METRICS)
-    contrast = _estimates(spark, sf_dir).national
-    return frame_diff(by_hand.select(*keys, *vals), contrast.select(*keys, *vals), keys)
+    est = FT.estimate(ei)
+    hand = by_hand(rolling_fanout(ei, est.n_weeks).withColumn("interval_start", F.col("interval_start").cast("int")))
+    cells = est.geo.where("race_indicator <> 'total'").unionByName(est.national)
+    j = cells.select(*KEYS, "week_num", "diff_mean", "diff_se").join(hand.drop("week_num"), KEYS, "left")
+    near = lambda a, b: F.abs(F.col(a) - F.col(b)) <= 1.5e-8
+    ok = F.when(F.col("hand_diff_mean").isNotNull(),
+                near("hand_diff_mean", "diff_mean") & near("hand_diff_se", "diff_se"))
+    return j.select("geo_type", "geography", "week_num", "race_indicator", "metric", "hand_diff_mean", "hand_diff_se",
+                    "hand_total_mean", "hand_total_se", "diff_mean", "diff_se", ok.alias("ok"))
+
+
+_GLM_CELLS_SQL = _race_cells_sql(f"""
+{{f}}_b as (select {_CELL}, rep, (s * swx1 - sw1 * (swx1 + swx0)) / nullif(s * sw1 - sw1 * sw1, 0) as b
+            from (select *, sw1 + sw0 as s from {{f}}_sides)),
+{{f}}_z as (select {_CELL}, b as b0 from {{f}}_b where rep = 0),
+{{f}}_x as (select {_CELL}, any_value(b0) as slope,
+                   2 * sqrt(coalesce(sum(power(b - b0, 2)) filter (rep > 0), 0) / {K.N_REPLICATES}) as slope_se
+            from {{f}}_b join {{f}}_z using ({_CELL}) group by {_CELL})""", """
+select geo_type, geography, week_num, race_indicator, metric, round(slope, 9) as slope,
+       case when slope is not null then round(slope_se, 9) end as slope_se, round(diff_mean, 9) as diff_mean,
+       round(diff_se, 9) as diff_se, case when slope is not null then true end as ok from cells""")
+register("check_glm", _GLM_CELLS_SQL)(check_glm)
 
 
 @register("hh_size_by_state_race", _sql("""

@@ -16,6 +16,11 @@ from repweave.constants import METRO_AREAS, N_REPLICATES
 
 PRIME = 1000003
 
+#: Answer codes of educ3 (device, intrnt: 1 always .. 5 never), health1 (delay, notget: 1 yes, 2 no)
+#: and employ2 (anywork: 1 yes, 2 no; kindwork: 1 government .. 5 family business).
+MORE_CODES = [("device", 433494437, 9, 5), ("intrnt", 472882027, 9, 5), ("delay", 492876847, 7, 2),
+              ("notget", 512927357, 7, 2), ("anywork", 533000389, 7, 2), ("kindwork", 553105253, 9, 5)]
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -89,6 +94,8 @@ def microdata_columns(k: Column, nationkey: Column) -> list[Column]:
     for i, mult in enumerate([49987613, 49995533, 50003453, 50011373,
                               50019293, 50027213, 50035133], start=1):
         cols.append(_spndsrc(k, mult).alias(f"spndsrc{i}"))
+    for name, mult, mod, inner in MORE_CODES:
+        cols.append(_coded(k, mult, mod, inner).alias(name))
     cols.append(_pweight(k).alias("pweight"))
     return cols
 

@@ -94,15 +94,15 @@ def test_frame_diff_tolerance(spark):
     assert got == {(2, "left_only"), (3, "right_only")}
 
 
-def test_choose_layout_by_width(spark):
-    from repweave.sources.files import choose_layout
-    cells = spark.createDataFrame(
-        [("a.xlsx", 1.0, 2.0, 3.0), ("a.xlsx", None, None, None), ("b.xlsx", 4.0, 5.0, None)],
-        "file string, c1 double, c2 double, c3 double")
-    out = choose_layout(cells, {3: ["total", "owner", "no_response"], 2: ["total", "no_response"]})
-    rows = sorted((r.file, r.total, r.owner, r.no_response) for r in out.collect()
-                  if r.total is not None)
-    assert rows == [("a.xlsx", 1.0, 2.0, 3.0), ("b.xlsx", 4.0, None, 5.0)]
+def test_layout_is_chosen_by_width(spark):
+    from repweave.operators.published import choose_layout
+    cells = spark.createDataFrame([("a", [1.0, 2.0, None]), ("b", [4.0, None])], "file string, cells array<double>")
+    layouts = {3: ["total", "owner", "no_response"], 2: ["total", "no_response"]}
+    got = {r["file"]: (r["total"], r["owner"], r["no_response"]) for r in choose_layout(cells, layouts).collect()}
+    assert got == {"a": (1.0, 2.0, None), "b": (4.0, None, None)}
+    with pytest.raises(Exception, match="no layout for a"):
+        choose_layout(cells, {2: layouts[2]}).collect()
+
 
 
 def test_coerce_numeric(spark):
