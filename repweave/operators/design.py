@@ -4,9 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from repweave.constants import N_REPLICATES, SE_MULTIPLIER
 
 
@@ -40,14 +37,5 @@ class ReplicateDesign:
     def with_(self, **kw) -> "ReplicateDesign":
         return replace(self, **kw)
 
-    def weight_columns(self) -> list[Column]:
-        """w0 (full weight) and w1..wR (replicates), each scaled by weight_factor."""
-        f = F.lit(self.weight_factor)
-        cols = [(F.col(self.weight) * f).alias("w0")]
-        arr = F.col(self.repweights)
-        for r in range(1, self.n_replicates + 1):
-            cols.append((F.get(arr, r - 1) * f).alias(f"w{r}"))
-        return cols
-
 
 ROLLING = ReplicateDesign(weight_factor=0.5)

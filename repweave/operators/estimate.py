@@ -76,11 +76,15 @@ def _field(name: str):
 def finish_two_sided(df: DataFrame, design: ReplicateDesign, keys: list[str],
                      metrics: list[str]) -> DataFrame:
     """Side sums per replicate (a_* = group, b_* = complement) -> six estimates."""
-    long = _by_metric(df, keys, metrics, {
+    return _finish_sides(_by_metric(df, keys, metrics, {
         "n1": lambda m: F.col("a_" + n_col(m)), "n0": lambda m: F.col("b_" + n_col(m)),
         "th1": lambda m: F.try_divide(F.col("a_" + swx_col(m)), F.col("a_" + sw_col(m))),
         "th0": lambda m: F.try_divide(F.col("b_" + swx_col(m)), F.col("b_" + sw_col(m))),
-    })
+    }), design, keys)
+
+
+def _finish_sides(long: DataFrame, design: ReplicateDesign, keys: list[str]) -> DataFrame:
+    """(keys, metric, rep, n1, n0, th1, th0) -> six estimates per (keys, metric)."""
     t = _collect_reps(long, keys, ["n1", "n0"], ["th1", "th0"])
     t = t.withColumn("d", F.zip_with("th0", "th1", lambda a, b: a - b))
     m = F.lit(design.se_multiplier)
@@ -123,25 +127,6 @@ def finish_one_sided(df: DataFrame, design: ReplicateDesign, keys: list[str],
 GEO_KEYS = ["interval_start", "week_num"]
 
 
-def geo_cube(icube: DataFrame) -> DataFrame:
-    """Interval geo cube -> + national rows + race-collapsed rows.
-
-    Input grain (interval, geo_type in {state, msa}, geography, race, rep).
-    National rows are the sum over state rows (every respondent has exactly
-    one state row). A grouping-sets aggregation then emits each cell with and
-    without race (``by_race``).
-    """
-    metrics = metrics_of(icube)
-    stats = stat_cols(metrics)
-    nat = (rollup(icube.where(F.col("geo_type") == "state"), [*GEO_KEYS, "race", "rep"], metrics)
-           .withColumns({"geo_type": F.lit("national"), "geography": F.lit("US")}))
-    allg = icube.unionByName(nat)
-    keys = [*GEO_KEYS, "geo_type", "geography", "rep"]
-    g = allg.groupingSets([[*keys, "race"], keys], *keys, "race").agg(
-        F.grouping("race").alias("_gr"), *[F.sum(c).alias(c) for c in stats])
-    return g.select(*keys, "race", (F.col("_gr") == 0).alias("by_race"), *stats)
-
-
 def with_complement(df: DataFrame, partition: list[str], order: str,
                     metrics: list[str]) -> DataFrame:
     """a_* = own sums, b_* = sums over all other rows of the partition.
@@ -166,16 +151,29 @@ def race_vs_rest(gcube: DataFrame, design: ReplicateDesign,
                  groups: list[str] = K.RACE_GROUPS) -> DataFrame:
     """Each race group vs everyone else in the same geography and interval.
 
-    Side 0 is the sum over the other race classes of the same cell (NULL race
-    included), via a window over race within (interval, geography, replicate).
+    Metrics are stacked at cube grain, then one grouped aggregation sums every group and its
+    complement (the other classes, NULL race included) conditionally: no sort, no
+    window, and the few race classes of a cell merge map-side.
     """
-    metrics = metrics_of(gcube)
-    g = gcube.where(F.col("by_race")).drop("by_race")
-    sides = with_complement(g, [*GEO_KEYS, "geo_type", "geography", "rep"], "race", metrics)
-    sides = (sides.where(F.col("race").isin(*groups) & F.col("geography").isNotNull())
-             .withColumnRenamed("race", "race_indicator"))
-    keys = [*GEO_KEYS, "geo_type", "geography", "race_indicator"]
-    return finish_two_sided(sides, design, keys, metrics)
+    cells = gcube.where(F.col("by_race") & F.col("geography").isNotNull())
+    at = [*GEO_KEYS, "geo_type", "geography"]
+    long = cells.select(*at, "rep", "race", F.inline(F.array(*[
+        F.struct(F.lit(m).alias("metric"), F.col(n_col(m)).alias("n"), F.col(sw_col(m)).alias("sw"),
+                 F.col(swx_col(m)).alias("swx")) for m in metrics_of(gcube)])))
+
+    def side(inside: Column, c: str) -> Column:
+        return F.coalesce(F.sum(F.when(inside, F.col(c))), F.lit(0).cast("bigint") if c == "n" else F.lit(0.0))
+
+    pairs = []
+    for g in groups:
+        own = F.coalesce(F.col("race") == g, F.lit(False))
+        pairs.append(F.struct(
+            F.lit(g).alias("race_indicator"), side(own, "n").alias("n1"), side(~own, "n").alias("n0"),
+            F.try_divide(side(own, "swx"), side(own, "sw")).alias("th1"),
+            F.try_divide(side(~own, "swx"), side(~own, "sw")).alias("th0")))
+    sides = (long.groupBy(*at, "metric", "rep").agg(F.array(*pairs).alias("pairs"))
+             .select(*at, "metric", "rep", F.inline("pairs")))
+    return _finish_sides(sides, design, [*at, "race_indicator"])
 
 
 def geo_vs_rest(gcube: DataFrame, design: ReplicateDesign,
@@ -203,11 +201,6 @@ def us_total(gcube: DataFrame, design: ReplicateDesign) -> DataFrame:
     return finish_one_sided(g, design, GEO_KEYS)
 
 
-def mean_by(cube: DataFrame, design: ReplicateDesign, keys: list[str]) -> DataFrame:
-    """Replicate mean and SE of each cell at any grain of the cube."""
-    return finish_one_sided(rollup(cube, [*keys, "rep"]), design, keys)
-
-
 def group_contrast(df: DataFrame, design: ReplicateDesign, metric: str,
                    group_col: str, keys: list[str] | None = None) -> DataFrame:
     """A4 + A6 (+ A16): ``group_col == 1`` vs ``group_col == 0`` per cell of ``keys``.
@@ -236,8 +229,7 @@ def geo_cube_from_weeks(wcube: DataFrame, n_weeks: int) -> DataFrame:
 
     Cube rows are fanned out to their (<= 2) intervals, state rows are copied
     once more as national rows, and a grouping-sets aggregation emits every
-    cell with and without race. Same result as ``geo_cube(to_intervals(..))``
-    with one shuffle instead of three.
+    cell with and without race, with one shuffle.
     """
     from repweave.functions.scalar import interval_label
     from repweave.operators.intervals import interval_column

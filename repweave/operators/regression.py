@@ -12,7 +12,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from repweave.operators.cube import weight_array
 from repweave.operators.design import ReplicateDesign
 from repweave.operators.estimate import replicate_var
 
@@ -40,33 +39,3 @@ def fit_from_sums(sums: DataFrame, design: ReplicateDesign, keys: list[str]) ->
                     F.element_at(bs, 1).alias("slope"),
                     (F.lit(design.se_multiplier) * F.sqrt(replicate_var(bs, design))).alias("slope_se"),
                     F.col("n").cast("bigint").alias("n"))
-
-
-def svy_glm(df: DataFrame, design: ReplicateDesign, y: str, x: str,
-            keys: list[str] | None = None) -> DataFrame:
-    """Fit y ~ x per cell of ``keys`` on respondent rows (rows with y and x non-NULL)."""
-    keys = keys or []
-    rows = (df.where(F.col(y).isNotNull() & F.col(x).isNotNull())
-            .select(*keys, F.col(y).cast("double").alias("_y"), F.col(x).cast("double").alias("_x"),
-                    F.posexplode(weight_array(design)).alias("rep", "w")))
-    w, xx, yy = F.col("w"), F.col("_x"), F.col("_y")
-    sums = rows.groupBy(*keys, "rep").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(w).alias("s"), F.sum(w * xx).alias("sx"),
-        F.sum(w * yy).alias("sy"), F.sum(w * xx * xx).alias("sxx"), F.sum(w * xx * yy).alias("sxy"))
-    return fit_from_sums(sums, design, keys)
-
-
-def glm_from_sides(sides: DataFrame, design: ReplicateDesign, keys: list[str],
-                   metric: str) -> DataFrame:
-    """Fit metric ~ 1{group} from group / complement sums (a_*, b_*) of the cube.
-
-    With x the 0/1 group indicator: S = sw_a + sw_b, Sx = Sxx = sw_a,
-    Sy = swx_a + swx_b, Sxy = swx_a.
-    """
-    a_sw, b_sw = F.col(f"a_sw__{metric}"), F.col(f"b_sw__{metric}")
-    a_swx, b_swx = F.col(f"a_swx__{metric}"), F.col(f"b_swx__{metric}")
-    sums = sides.select(*keys, "rep",
-                        (F.col(f"a_n__{metric}") + F.col(f"b_n__{metric}")).alias("n"),
-                        (a_sw + b_sw).alias("s"), a_sw.alias("sx"), (a_swx + b_swx).alias("sy"),
-                        a_sw.alias("sxx"), a_swx.alias("sxy"))
-    return fit_from_sums(sums, design, keys)

@@ -24,7 +24,7 @@ from repweave.operators import estimate as E
 from repweave.operators.cube import geo_week_cube
 from repweave.operators.design import ROLLING, ReplicateDesign
 from repweave.operators.intervals import current_week
-from repweave.session import checkpoint_dir
+from repweave.session import checkpoint_dir, remove_folder
 
 @dataclass
 class Estimates:
@@ -61,7 +61,10 @@ def geo_cube_of(df: DataFrame, design: ReplicateDesign = ROLLING,
     wc, n = week_cube(df, design, metrics)
     if n_weeks is not None:
         n = n_weeks
-    return materialize(E.geo_cube_from_weeks(wc, n), "geo-cube"), n
+    gc = materialize(E.geo_cube_from_weeks(wc, n), "geo-cube")
+    for file in {f.rpartition("/")[0] for f in wc.inputFiles()}:
+        remove_folder(df.sparkSession, file)     # nothing reads the week cube any more
+    return gc, n
 
 
 def _grid(geos: DataFrame, n_weeks: int, metrics: list[str],

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from repweave import constants as K
 from repweave.functions import recode
-from repweave.functions.scalar import round_doubles
+from repweave.functions.scalar import round_doubles, sigdiff
 from repweave.operators import estimate as E
 from repweave.operators.design import ROLLING, ReplicateDesign
 from repweave.operators.intervals import crosswalk, current_week, rolling_fanout
@@ -365,6 +365,59 @@ def sigdiff_count(spark, sf_dir):
         F.coalesce(F.sum("sigdiff"), F.lit(0)).cast("bigint").alias("n_sigdiff"))
 
 
+_GEO_FAMILIES = ["state_race", "msa_race", "us_race", "state_total", "msa_total"]
+
+
+@register("sigdiff_versions", "with " + O.families_sql(_GEO_FAMILIES, cube=True) + ", o as ("
+          + " union all ".join(f"select * from {f}_out" for f in _GEO_FAMILIES) + """),
+f as (select metric, geo_type,
+        case when diff_se = 0 and diff_mean = 0 then null when diff_se = 0 then true
+             else abs(diff_mean / diff_se) > 1.96 end as new_sig,
+        case when mean is null then null when se = 0 and other_se = 0 then (case when diff_mean = 0 then null else true end)
+             else abs(diff_mean) / sqrt(se * se + 4 * other_se * other_se) > 1.96 end as old_sig from o)
+select metric, geo_type, count(*) as n_cells, count(*) filter (new_sig) as n_new, count(*) filter (old_sig) as n_old,
+       count(*) filter (new_sig and not old_sig) as n_new_only, count(*) filter (old_sig and not new_sig) as n_old_only
+from f group by metric, geo_type""")
+def sigdiff_versions(spark, sf_dir):
+    """Flagged differences by two measures side by side: the replicate error of the
+    difference (new), and the two sides' own errors as if they were independent (old)."""
+    est = _estimates(spark, sf_dir)
+    rows = est.geo.unionByName(est.national)
+    new = sigdiff(F.col("diff_mean"), F.col("diff_se"))
+    apart = F.sqrt(F.col("se") * F.col("se") + 4 * F.col("other_se") * F.col("other_se"))
+    old = F.when(F.col("mean").isNotNull(), sigdiff(F.col("diff_mean"), apart))
+    both = rows.select("metric", "geo_type", new.alias("new"), old.alias("old"))
+    only = lambda x, y: F.count(F.when((F.col(x) == 1) & (F.col(y) == 0), 1))
+    return both.groupBy("metric", "geo_type").agg(
+        F.count(F.lit(1)).alias("n_cells"), F.count(F.when(F.col("new") == 1, 1)).alias("n_new"),
+        F.count(F.when(F.col("old") == 1, 1)).alias("n_old"), only("new", "old").alias("n_new_only"),
+        only("old", "new").alias("n_old_only"))
+
+
+@register("text_helpers", _sql(f"""
+, t as (select week, hisp_rrace, cbsa_title, state, pweight,
+               'micro_' || case when length(cast(week as varchar)) >= 2 then cast(week as varchar) else '0' || week end || '.csv' as file
+        from rec)
+select file, count(*) filter (not contains(hisp_rrace, 'not Hispanic')) as n_hispanic,
+       count(*) filter (pweight between 550 - 50.5 and 550 + 50.5) as n_near,
+       count(*) filter (cbsa_title is not null and cbsa_title <> 'US' and length(cbsa_title) <> 2) as n_msa,
+       count(*) filter (length(left(state, 2)) = 2) as n_state, cast(sum(length(cbsa_title)) as bigint) as n_chars
+from t group by file"""))
+def text_helpers(spark, sf_dir):
+    """Padded file names, lengths, tolerance, negated match, and
+    the geography type by shape (on two-letter state codes, as it is meant for)."""
+    from repweave.functions.scalar import geo_type_by_shape, within
+    from repweave.sources.files import week_file_name
+    d = survey_rows(spark, sf_dir).withColumn("file", week_file_name("micro", F.col("week")))
+    count = lambda c: F.count(F.when(c, 1))
+    return d.groupBy("file").agg(
+        count(~F.col("hisp_rrace").contains("not Hispanic")).alias("n_hispanic"),
+        count(within(F.col("pweight"), F.lit(550.0), 50.5)).alias("n_near"),
+        count(F.col("cbsa_title").isNotNull() & (geo_type_by_shape(F.col("cbsa_title")) == "msa")).alias("n_msa"),
+        count(geo_type_by_shape(F.substring("state", 1, 2)) == "state").alias("n_state"),
+        F.sum(F.length("cbsa_title")).alias("n_chars"))
+
+
 # ----------------------------------------------------------------- regression --
 
 def _national_race_sides(spark, sf_dir):
