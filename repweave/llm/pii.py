@@ -206,12 +206,13 @@ def spoken_mail(text: str) -> list[tuple[int, int, str]]:
 
 
 def spelled_digits(text: str) -> list[tuple[int, int, str]]:
-    """Runs of at least four spoken digits and joints, each run one edit per digit; the
-    gaps between go too."""
+    """Runs of at least four spoken digits and joints, not all of one digit: one edit per
+    digit; the gaps between go too."""
     edits = []
     for m in _SPOKEN_RUN.finditer(text):
-        words = [x for x in _SPOKEN_WORD.finditer(text, *m.span())]
-        if sum(x.group().lower() in NUMBERS for x in words) < 3:
+        words = list(_SPOKEN_WORD.finditer(text, *m.span()))
+        spoken = [NUMBERS[w] for x in words if (w := x.group().lower()) in NUMBERS]
+        if len(spoken) < 3 or len(set(spoken)) < 2:  # one word again and again is no number
             continue
         at, times = m.start(), 1
         for x in words:

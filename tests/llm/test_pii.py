@@ -64,7 +64,7 @@ def test_disguises_map_to_their_source(text, kind, part):
 
 @pytest.mark.parametrize("text", [
     "the one at the door of two or three points", "un point de vue sur le sept", "was einst null und vier war",
-    "meet at noon", "price 12.5 and 3,000 items", "c\u00e9l\u00e8bre \u00e9t\u00e9 \u00fcber stra\u00dfe", "\u041f\u0440\u0438\u0432\u0435\u0442, \u043a\u0430\u043a \u0434\u0435\u043b\u0430?"])
+    "meet at noon", "un " * 12, "one, one, one, one, one, one, one, one", "price 12.5 and 3,000 items", "c\u00e9l\u00e8bre \u00e9t\u00e9 \u00fcber stra\u00dfe", "\u041f\u0440\u0438\u0432\u0435\u0442, \u043a\u0430\u043a \u0434\u0435\u043b\u0430?"])
 def test_clean_text_has_no_spans(text):
     assert not any(P.base_spans(text)) and not any(P.added_spans(text, P.base_spans(text)))
     assert P.redacted(text) == text
