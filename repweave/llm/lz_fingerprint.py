@@ -15,12 +15,13 @@ id, NULL last, ties by text; one row alone is its own next; an empty table gives
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from repweave.llm.common import batch, bounded_batches, texts
@@ -100,6 +101,18 @@ def edited(text: str, following: str) -> str:
     return text[:len(text) - n] + following[:n]
 
 
+def _above(cuts: list[int], k: Column) -> Column:
+    """How many of the falling cuts are above k: among every n-th first, then among the n
+    that follow, so that many ranges cost a row little."""
+    if not cuts:
+        return F.lit(0)
+    step = max(1, math.isqrt(len(cuts)))
+    lit = lambda xs: F.array(*[F.lit(x).cast("long") for x in xs])
+    block = F.size(F.filter(lit(cuts[::step]), lambda c: k < c))
+    inside = F.slice(lit(cuts), (block - 1) * step + 1, F.lit(step))
+    return F.when(block == 0, 0).otherwise((block - 1) * step + F.size(F.filter(inside, lambda c: k < c)))
+
+
 def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Each document against its edited text and the next document by falling id.
 
@@ -114,8 +127,8 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
     cuts = rows.agg(F.percentile_approx("k", [i / ranges for i in range(1, ranges)] or [0.5], 10 * ranges)
                     .alias("c")).first()["c"] or []
-    cuts = sorted(set(cuts))
-    part = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: F.col("k") < c)) if cuts else F.lit(0)
+    cuts = sorted(set(cuts), reverse=True)
+    part = _above(cuts, F.col("k"))
     rows = rows.withColumn("part", part)
     heads = sorted((r["part"], r["k"]) for r in rows.groupBy("part").agg(F.max("k").alias("k")).collect())
     if not heads:

@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 from repweave.llm.common import batch, bounded_batches, read_file, shared_path, write_file
 
 SHARD_KEYS = 500_000
-#: Cascades that a Python worker holds at once.
-HELD_SHARDS = 16
+#: Cascades that a Python worker holds at once, each about a megabyte at most.
+HELD_SHARDS = 128
 #: Wanted share of false positives of the first level; later levels take one half.
 FIRST_RATE = 0.02
 
