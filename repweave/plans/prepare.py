@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repweave.constants import DRIFT_COLUMNS, N_REPLICATES
+from repweave.constants import DRIFT_COLUMNS, METRO_AREAS, N_REPLICATES
 from repweave.functions import recode
 from repweave.functions.scalar import week_label
 from repweave.operators.joins import left_lookup
@@ -40,10 +40,11 @@ def repweights_array(repw: DataFrame, n: int = N_REPLICATES) -> DataFrame:
 
 
 def enrich(df: DataFrame, states: DataFrame, metros: DataFrame,
-           repw: DataFrame) -> DataFrame:
-    """State names, metro names, replicate weights (all left joins)."""
+           repw: DataFrame, metro_rows: int | None = None) -> DataFrame:
+    """State names, metro names, replicate weights (all left joins). ``metro_rows``
+    is the size of a literal metro table, which then needs no counting job."""
     out = left_lookup(df, states, "est_st", "state_code", max_rows=10_000)
-    out = left_lookup(out, metros, "est_msa", "cbsa_code", max_rows=10_000)
+    out = left_lookup(out, metros, "est_msa", "cbsa_code", max_rows=10_000, known_rows=metro_rows)
     # Both sides grow with the data -> shuffle (sort-merge) join on
     # (week, scram); never a broadcast, whatever a small test file suggests.
     return out.join(repweights_array(repw).hint("merge"), ["week", "scram"], "left")
@@ -55,7 +56,7 @@ def prepare(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich(recode_microdata(raw),
                   testdata.state_table(spark, sf_dir),
                   testdata.metro_table(spark),
-                  testdata.raw_repweights(spark, sf_dir))
+                  testdata.raw_repweights(spark, sf_dir), metro_rows=len(METRO_AREAS))
 
 
 def estimation_input(prepared: DataFrame) -> DataFrame:

@@ -140,7 +140,10 @@ select week, count(distinct o_orderkey) as n, count(distinct o_orderkey) as n_wi
 from reps group by week""")
 def enrich_weights(spark, sf_dir):
     """Replicate weights joined on (week, scram); totals per week."""
-    df = prepared(spark, sf_dir)
+    return _weight_totals(prepared(spark, sf_dir))
+
+
+def _weight_totals(df):
     tot = F.aggregate("repw", F.lit(0.0), lambda a, v: a + v)
     return df.groupBy("week").agg(
         F.count(F.lit(1)).alias("n"),
@@ -150,6 +153,19 @@ def enrich_weights(spark, sf_dir):
         F.max(F.array_max("repw")).alias("repw_max"))
 
 
+@register("enrich_weights_bucketed", SQL["enrich_weights"])
+def enrich_weights_bucketed(spark, sf_dir):
+    """J3 on tables that were bucketed on (week, scram) at ingest: the join shuffles nothing."""
+    import uuid
+    from repweave.session import checkpoint_dir
+    from repweave.sources.publish import write_bucketed
+    base = f"{checkpoint_dir(spark).rstrip('/')}/repweave-{uuid.uuid4().hex}"
+    keys, buckets = ["week", "scram"], max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    micro = write_bucketed(T.raw_microdata(spark, sf_dir).select("o_orderkey", *keys, "pweight"), f"{base}-micro", keys, buckets)
+    repw = write_bucketed(P.repweights_array(T.raw_repweights(spark, sf_dir)), f"{base}-repw", keys, buckets)
+    return _weight_totals(micro.join(repw.hint("merge"), keys, "left"))
+
+
 @register("join_guard", "with micro as (" + O.PROJECTION + """)
 select count(*) as rows_in, count(*) as rows_out, true as ok from micro""")
 def join_guard(spark, sf_dir):

@@ -104,3 +104,12 @@ def test_by_hand_formula_on_a_small_design(spark):
     assert got["national", "white"]["hand_total_mean"] == pytest.approx(-1 / 3)
     assert got["national", "white"]["hand_total_se"] == pytest.approx((4 / 80 * ((1 / 12) ** 2 + (4 / 15) ** 2)) ** 0.5)
     assert got["state", "asian"]["hand_diff_mean"] is None
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
+    a = W.write_bucketed(spark.range(200).selectExpr("id % 5 as week", "id as scram", "1 as x"), str(tmp_path / "left_side"), ["week", "scram"], 4)
+    b = W.write_bucketed(spark.range(100).selectExpr("id % 5 as week", "id as scram", "2 as y"), str(tmp_path / "right_side"), ["week", "scram"], 4)
+    j = a.join(b.hint("merge"), ["week", "scram"], "left")
+    assert j.count() == 200 and j.where("y = 2").count() == 100
+    plan = j._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
