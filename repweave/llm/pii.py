@@ -126,14 +126,24 @@ JOINTS = {"plus": "+", "dash": "-", "hyphen": "-", "minus": "-", **{p: "." for p
 _SPOKEN = NUMBERS.keys() | JOINTS.keys() | {"double", "triple"}
 _SPOKEN_BYTES = frozenset(w.encode() for w in _SPOKEN)
 _ONE = r"(?:" + "|".join(sorted(_SPOKEN, key=lambda w: (-len(w), w))) + r"|[0-9])"
-_SPOKEN_RUN = re.compile(rf"(?<!\w){_ONE}(?:[\s,-]{{1,3}}{_ONE}(?!\w)){{3,}}", re.I)
+_SPOKEN_RUN = re.compile(rf"(?<!\w){_ONE}(?:[\s,.()-]{{1,4}}{_ONE}(?!\w)){{3,}}", re.I)
 _SPOKEN_WORD = re.compile(rf"{_ONE}(?!\w)", re.I)
 _LETTER_RUNS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or 48 <= b <= 57 or b >= 128 else 32
                      for b in range(256))
 
 _OPEN, _CLOSE, _POINT = r"[\[({<]", r"[\])}>]", "|".join(POINTS)
-_BRACKET_AT = re.compile(rf"\s{{0,3}}{_OPEN}\s{{0,3}}(?:at|@|arroba)\s{{0,3}}{_CLOSE}\s{{0,3}}", re.I)
-_BRACKET_DOT = re.compile(rf"\s{{0,3}}{_OPEN}\s{{0,3}}(?:{_POINT}|\.)\s{{0,3}}{_CLOSE}\s{{0,3}}", re.I)
+_BRACKET_AT = re.compile(rf"\s{{0,3}}(?:{_OPEN}\s{{0,3}}(?:at|@|arroba)\s{{0,3}}{_CLOSE}|([_*-])at\1)\s{{0,3}}"
+                         r"|&#0{0,4}64;|&#x0{0,4}40;|&commat;|%40", re.I)
+_BRACKET_DOT = re.compile(rf"\s{{0,3}}(?:{_OPEN}\s{{0,3}}(?:{_POINT}|\.)\s{{0,3}}{_CLOSE}|([_*-])dot\1)\s{{0,3}}"
+                          r"|&#0{0,4}46;|&#x0{0,4}2e;|&period;|%2e", re.I)
+_SPOKEN_IP = re.compile(rf"(?<![0-9])[0-9]{{1,4}}(?:\s{{1,3}}(?:{_POINT})\s{{1,3}}[0-9]{{1,4}}){{3}}(?![0-9])", re.I)
+# an address whose local part has a digit or sign in it may have a plain domain after a spoken at
+_SPOKEN_AT_PLAIN = re.compile(
+    r"(?<![\w.%+-])(?=[A-Za-z0-9]{1,64}[0-9._%+-])[A-Za-z0-9._%+-]{1,64}(\s{1,3}(?:at|arroba)\s{1,3})"
+    r"(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?!\w)", re.I)
+# letters that look like digits, inside what is otherwise a number
+_DIGIT_LIKE = re.compile(r"(?<![A-Za-z0-9])\+?[0-9OoIl|](?:[ ().-]{0,2}[0-9OoIl|]){6,40}(?![A-Za-z0-9])")
+_AS_DIGIT = {"O": "0", "o": "0", "I": "1", "l": "1", "|": "1"}
 _PART = r"[A-Za-z0-9_%+-]{1,64}"
 _SPOKEN_MAIL = re.compile(
     rf"(?<![\w.%+-]){_PART}(?:(?:\.|\s{{1,3}}(?:{_POINT})\s{{1,3}}){_PART}){{0,8}}(?:\s{{1,3}}(?:at|arroba)\s{{1,3}}|@)"
@@ -191,10 +201,27 @@ def homoglyphs(text: str) -> list[tuple[int, int, str]]:
     return [(m.start(), m.end(), out) for m in _STRANGE.finditer(text) if (out := _plain(m.group())) is not None]
 
 
+def _apart(edits: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+    """The edits in order, without those that begin inside an earlier one."""
+    out: list[tuple[int, int, str]] = []
+    for e in sorted(edits):
+        if not out or e[0] >= out[-1][1]:
+            out.append(e)
+    return out
+
+
 def disguises(text: str) -> list[tuple[int, int, str]]:
     edits = [(*m.span(), "@") for m in _BRACKET_AT.finditer(text)]
-    edits += [(*m.span(), ".") for m in _BRACKET_DOT.finditer(text)]
-    return sorted(edits)
+    return _apart(edits + [(*m.span(), ".") for m in _BRACKET_DOT.finditer(text)])
+
+
+def digit_letters(text: str) -> list[tuple[int, int, str]]:
+    edits = []
+    for m in _DIGIT_LIKE.finditer(text):
+        letters = [i for i in range(*m.span()) if text[i] in _AS_DIGIT]
+        if letters and len(_DIGIT.findall(m.group())) >= 5 and len(_DIGIT.findall(m.group())) > 2 * len(letters):
+            edits += [(i, i + 1, _AS_DIGIT[text[i]]) for i in letters]
+    return edits
 
 
 def spoken_mail(text: str) -> list[tuple[int, int, str]]:
@@ -202,7 +229,13 @@ def spoken_mail(text: str) -> list[tuple[int, int, str]]:
     for m in _SPOKEN_MAIL.finditer(text):
         edits += [(*x.span(), "@") for x in _SPOKEN_AT.finditer(text, *m.span())]
         edits += [(*x.span(), ".") for x in _SPOKEN_DOT.finditer(text, *m.span())]
-    return sorted(edits)
+    for m in _SPOKEN_IP.finditer(text):
+        edits += [(*x.span(), ".") for x in _SPOKEN_DOT.finditer(text, *m.span())]
+    return _apart(edits)
+
+
+def spoken_at(text: str) -> list[tuple[int, int, str]]:
+    return [(*m.span(1), "@") for m in _SPOKEN_AT_PLAIN.finditer(text)]
 
 
 def spelled_digits(text: str) -> list[tuple[int, int, str]]:
@@ -226,7 +259,7 @@ def spelled_digits(text: str) -> list[tuple[int, int, str]]:
     return edits
 
 
-_MAIL_HINTS = ("[at", "(at", "{at", "<at", "[ at", "( at", "arroba", "[@", "(@", "[.", "(.", "[dot", "(dot", "{dot",
+_MAIL_HINTS = ("_at_", "*at*", "-at-", "&#", "&commat;", "&period;", "%40", "%2e", "[at", "(at", "{at", "<at", "[ at", "( at", "arroba", "[@", "(@", "[.", "(.", "[dot", "(dot", "{dot",
                "<dot", "[ dot", "( dot", " dot ", " point ", " punkt ", " punto ", "\ndot ", " dot\n")
 
 
@@ -248,6 +281,11 @@ def transduce(text: str) -> Tape | None:
         step(disguises)
         if _BEFORE_SPOKEN.search(tape.text if tape else now):
             step(spoken_mail)
+    now = text if tape is None else tape.text
+    if _DIGIT.search(now):
+        if " at " in low or "arroba" in low:
+            step(spoken_at)
+        step(digit_letters)
     flags = bytes(map(_SPOKEN_BYTES.__contains__, low.encode().translate(_LETTER_RUNS).split()))
     if b"\x01\x01\x01" in flags:
         step(spelled_digits)
