@@ -26,6 +26,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -38,72 +39,80 @@ CAPACITY = 4096
 END_ID = 2
 #: Windows of a lot that is divided at once.
 LOT_WINDOWS = 256
-#: Cached words of a Python worker.
-CACHE_WORDS = 400_000
+#: Runs, and words, that a Python worker remembers.
+CACHE_WORDS = 1_000_000
 
 PACKED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 PACKED_ARROW = pa.schema([(n, pa.int64()) for n in
                           ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")])
 
-#: Words of these characters only are cut at changes between letters, digits and signs just
-#: as the tokenizer's own pre-tokeniser cuts them; all other words go to it as they are.
-_PLAIN = re.compile(r"[!-&(-~À-ÖØ-öø-ÿ]+")
-_RUN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+|[0-9]|[^A-Za-zÀ-ÖØ-öø-ÿ0-9]+")
+#: Texts of these characters alone are cut at changes between letters, digits and signs just
+#: as the tokenizer's own pre-tokeniser cuts them; all other texts go to it word by word.
+_ODD = re.compile(r"[^\t-\r -&(-~À-ÖØ-öø-ÿ]")
+_RUN = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9\s]+")
 
 
 class WordTokenizer:
     """Token ids of whole texts as little-endian 32-bit bytes, by a tokenizer whose
-    pre-tokeniser never joins across ASCII white space; the ids of words are remembered."""
+    pre-tokeniser never joins across ASCII white space; the ids of runs and words are remembered."""
 
     def __init__(self, path: str, cache_words: int = CACHE_WORDS):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.words: dict[bytes, bytes] = {}
+        vocab = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocab.values()) + 1, dtype=bool)
+        self.ends_word[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
         self.runs: dict[str, bytes] = {}
+        self.words: dict[bytes, bytes] = {}
         self.cache_words = cache_words
 
     def _encode(self, items: list[str]) -> list[bytes]:
         out = self.tokenizer.encode_batch_fast(items, add_special_tokens=False)
         return [np.asarray(x.ids, dtype="<u4").tobytes() for x in out]
 
-    def learn(self, missing: set[bytes]) -> None:
-        if len(self.words) > self.cache_words:
-            self.words.clear()
-        if len(self.runs) > self.cache_words:
-            self.runs.clear()
-        cut: dict[bytes, list[str]] = {}
-        new: dict[str, None] = {}
-        for w in missing:
-            s = w.decode()
-            cut[w] = parts = _RUN.findall(s.lower()) if _PLAIN.fullmatch(s) else [s]
-            for p in parts:
-                if p not in self.runs:
-                    new[p] = None
-        if new:
-            self.runs.update(zip(new, self._encode(list(new)), strict=True))
-        runs = self.runs
-        for w, parts in cut.items():
-            self.words[w] = b"".join([runs[p] for p in parts])
+    def _encode_runs(self, runs: list[str]) -> list[bytes]:
+        """Ids of runs that the tokenizer takes as one word each: many are encoded as one text,
+        which is cut behind each token that ends a word."""
+        out: list[bytes] = []
+        for at in range(0, len(runs), 4096):
+            part = runs[at:at + 4096]
+            ids = np.asarray(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, dtype="<u4")
+            ends = (4 * (np.flatnonzero(self.ends_word[ids]) + 1)).tolist()
+            if len(ends) != len(part):
+                out += self._encode(part)
+                continue
+            data = ids.tobytes()
+            out += [data[a:b] for a, b in zip([0, *ends[:-1]], ends)]
+        return out
+
+    def _known(self, cache: dict, many: list[list], encode) -> dict:
+        """The cache with the ids of all that ``many`` hold."""
+        if len(cache) > self.cache_words:
+            cache.clear()
+        missing = list(set().union(*many).difference(cache))
+        if missing:
+            cache.update(zip(missing, encode(missing), strict=True))
+        return cache
 
     def ids(self, many: list[str]) -> list[bytes]:
         """The ids of each text, without special tokens added."""
-        split = [None if any(s in x for s in self.specials)
-                 else (x.lower() if x.isascii() else x).encode().split() for x in many]
-        missing = set().union(*[x for x in split if x is not None]) if split else set()
-        if len(self.words) + len(missing) > 2 * self.cache_words:
-            self.words.clear()
-        missing.difference_update(self.words)
-        if missing:
-            self.learn(missing)
-        get = self.words
-        try:
-            return [self._encode([x])[0] if ws is None else b"".join([get[w] for w in ws])
-                    for x, ws in zip(many, split, strict=True)]
-        finally:
-            if len(self.words) > self.cache_words:
-                self.words.clear()
+        out: list[bytes] = [b""] * len(many)
+        plain, other = [], []
+        for i, x in enumerate(many):
+            if any(s in x for s in self.specials):
+                out[i] = self._encode([x])[0]
+            elif _ODD.search(x):
+                other.append((i, x.encode().split()))
+            else:
+                plain.append((i, _RUN.findall(x.lower())))
+        for part, cache, encode in ((plain, self.runs, self._encode_runs),
+                                    (other, self.words, lambda ws: self._encode([w.decode() for w in ws]))):
+            known = self._known(cache, [x for _, x in part], encode) if part else cache
+            for i, x in part:
+                out[i] = b"".join([known[w] for w in x])
+        return out
 
 
 def differencing(sizes: list[int], k: int) -> list[list[int]]:
@@ -126,7 +135,7 @@ def differencing(sizes: list[int], k: int) -> list[list[int]]:
             # b's remaining bins, from the fullest down, meet a's emptiest bins, from the emptiest up
             merged = a[:keep] + [(x[0] + y[0], x[1] + y[1]) for x, y in zip(a[keep:], rest[::-1], strict=True)]
             # a falls, reversed b rises: each pair joins a larger with a smaller bin
-        merged = sorted(merged + bins, key=lambda x: -x[0])
+        merged = sorted(merged + bins, key=itemgetter(0), reverse=True)
         low = merged[-1][0] if len(merged) == k else 0
         heapq.heappush(heap, (low - merged[0][0], turn, merged))
         turn += 1
