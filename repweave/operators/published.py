@@ -346,7 +346,7 @@ def published_means(norm: DataFrame, crosswalk: DataFrame, num: str, den: str,
 
 def check_against_published(estimates: DataFrame, published: DataFrame,
                             tol: float = K.QC_TOLERANCE, digits: int = 4) -> DataFrame:
-    """Our means vs published ratios, rounded to 4 digits, within tol.
+    """Our means vs published ratios; both, rounded to 4 digits, are within tol.
 
     Every cell of either side comes back with a status: ``both``, ``estimate_only``,
     ``published_only``, or ``incomplete_interval`` where only one of an interval's two weeks
@@ -359,4 +359,4 @@ def check_against_published(estimates: DataFrame, published: DataFrame,
     status = (F.when(F.col("n_weeks").isNull(), "estimate_only").when(F.col("_e").isNull(), "published_only")
               .when(F.col("n_weeks") < 2, "incomplete_interval").otherwise("both"))
     ok = F.when((status == "both") & ours.isNotNull() & theirs.isNotNull(), within(ours, theirs, tol))
-    return j.select(*keys, ours.alias("mean"), theirs.alias("published_mean"), status.alias("status"), ok.alias("ok"))
+    return j.select(*keys, "mean", "published_mean", status.alias("status"), ok.alias("ok"))

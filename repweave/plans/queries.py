@@ -786,14 +786,14 @@ ests as (select geography, 'wk' || interval_start || '_' || (interval_start + 1)
          from (select * from est_race union all select * from est_total)),
 j as (select coalesce(a.geography, b.geography) as geography, coalesce(a.week_num, b.week_num) as week_num,
              coalesce(a.race_var, b.race_var) as race_var, coalesce(a.metric, b.metric) as metric,
-             round(mean, 4) as mean, round(published_mean, 4) as published_mean, e, n_weeks
+             mean, published_mean, e, n_weeks
       from ests a full join pubs b on a.geography = b.geography and a.week_num = b.week_num and a.race_var = b.race_var
                                   and a.metric = b.metric)
-select geography, week_num, race_var, metric, mean, published_mean,
+select geography, week_num, race_var, metric, round(mean, 9) as mean, round(published_mean, 9) as published_mean,
        case when n_weeks is null then 'estimate_only' when e is null then 'published_only'
             when n_weeks < 2 then 'incomplete_interval' else 'both' end as status,
        case when n_weeks >= 2 and e is not null and mean is not null and published_mean is not null
-            then mean between published_mean - {K.QC_TOLERANCE} and published_mean + {K.QC_TOLERANCE} end as ok
+            then round(mean, 4) between round(published_mean, 4) - {K.QC_TOLERANCE} and round(published_mean, 4) + {K.QC_TOLERANCE} end as ok
 from j"""
 
 
