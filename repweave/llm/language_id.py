@@ -41,6 +41,8 @@ DECLARED_RIGHT = 0.9
 UNKNOWN_PRIOR = 0.01
 HOST_WEIGHT, SUFFIX_WEIGHT = 20.0, 50.0
 MIN_CONFIDENCE = 0.5
+#: Places that a host's rows are dealt to when they meet its prior.
+SALTS = 32
 
 #: Letters (and all beyond ASCII) stay, all else is a blank.
 LETTERS = bytes(b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -161,7 +163,10 @@ def identify(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", decl
     spread = F.when(F.col("declared").isNull(), 0.0).otherwise(np.log(1 / k))
     parts = [F.col("evidence")[i] + F.log(F.col("prior")[i] * (1 - UNKNOWN_PRIOR)) + same[i] for i in range(k)]
     parts.append(F.col("evidence")[k] + F.log(F.lit(UNKNOWN_PRIOR)) + spread)
-    post = (scored.join(of_host, ["suffix", "host"], "left").withColumn("p", F.array(*parts))
+    # a host may hold a third of all rows: its rows meet copies of its prior in SALTS places
+    spread_hosts = of_host.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = scored.withColumn("salt", F.pmod(F.xxhash64("id", "key"), F.lit(SALTS)).cast("int"))
+    post = (salted.join(spread_hosts, ["suffix", "host", "salt"], "left").withColumn("p", F.array(*parts))
             .withColumn("top", F.array_max("p"))
             .withColumn("at", F.array_position("p", F.col("top")).cast("int"))
             .withColumn("confidence", F.when(F.col("evidence").isNull(), 0.0).otherwise(
