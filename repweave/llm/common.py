@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from repweave.session import checkpoint_dir
 
 #: Bytes of one Arrow batch that a Python worker holds; bounds its memory for any text length.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -194,12 +194,15 @@ def build(items: DataFrame, id_col: str = "item_id", text_col: str = "text", win
     return sorted(r["path"] for r in rows.groupBy("block").applyInPandas(make, "path string").collect())
 
 
+#: Automata that a worker holds at once.
+HELD_BLOCKS = 2
 _LOADED: dict[str, SuffixAutomaton] = {}
 
 
 def _load(path: str) -> SuffixAutomaton:
     if path not in _LOADED:
-        _LOADED.clear()
+        while len(_LOADED) >= HELD_BLOCKS:
+            del _LOADED[next(iter(_LOADED))]
         _LOADED[path] = pickle.loads(read_file(path))
     return _LOADED[path]
 
