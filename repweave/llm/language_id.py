@@ -13,8 +13,13 @@ A class for no known language has a uniform likelihood over trigrams. A document
 if that class wins or no language reaches ``min_confidence``.
 
 The trigram model is fitted on a bounded sample: about ``sample`` rows for each declared
-language, chosen by a hash of the id. Languages are those that at least ``MIN_SHARE`` of the
-rows that declare one declare. Counts for hosts and suffixes cover all rows.
+language, chosen by a hash of the id. Each language that ``MIN_ROWS`` rows declare (in small tables
+``MIN_SHARE`` of the rows that declare one, if that is less) has a model, if its sample has
+letters. Counts for hosts and suffixes cover all rows.
+
+A row that declares a language without a model is not rejected for that: the class for no
+known language stands for the declared one, and the verdict is the declared language unless a
+model reaches ``min_confidence``.
 
 Defined cases: NULL or empty texts (or those without letters) have no text evidence and are
 rejected; NULL declarations and hosts give no evidence of their kind; repeated rows count
@@ -36,7 +41,8 @@ from repweave.llm.common import bounded_batches, materialise, texts
 BUCKETS = 1 << 15
 EFFECTIVE = 64
 SAMPLE = 1500
-MIN_SHARE = 0.005
+#: Rows that declare a language with a model: so many, or this share of a small table.
+MIN_ROWS, MIN_SHARE = 20, 0.005
 DECLARED_RIGHT = 0.9
 UNKNOWN_PRIOR = 0.01
 HOST_WEIGHT, SUFFIX_WEIGHT = 20.0, 50.0
@@ -63,8 +69,8 @@ def trigrams(text: str) -> np.ndarray:
 def _declared_languages(rows: DataFrame) -> dict[str, int]:
     counts = rows.where(F.col("declared").isNotNull()).groupBy("declared").agg(F.count(F.lit(1)).alias("n"))
     total = counts.agg(F.sum("n").alias("n")).first()["n"] or 0
-    # at most 1 / MIN_SHARE rows reach the driver
-    return {r["declared"]: r["n"] for r in counts.where(F.col("n") >= F.lit(MIN_SHARE * total)).collect()}
+    # a row per language with a model reaches the driver
+    return {r["declared"]: r["n"] for r in counts.where(F.col("n") >= F.lit(min(MIN_ROWS, MIN_SHARE * total))).collect()}
 
 
 def fit(rows: DataFrame, sample: int = SAMPLE) -> tuple[list[str], np.ndarray]:
@@ -93,7 +99,8 @@ def fit(rows: DataFrame, sample: int = SAMPLE) -> tuple[list[str], np.ndarray]:
         "lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
     n = np.zeros((len(languages), BUCKETS))
     n[summed["lang"].to_numpy(), summed["bucket"].to_numpy()] = summed["n"].to_numpy()
-    n += 0.05
+    some = n.any(axis=1)  # a sample without letters makes no model
+    languages, n = [x for x, has in zip(languages, some) if has], n[some] + 0.05
     return languages, np.log(n / n.sum(axis=1, keepdims=True)).astype(np.float32)
 
 
@@ -137,8 +144,9 @@ def identify(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", decl
         run, "id long, declared string, host string, suffix string, key long, guess int, evidence array<double>"),
         "language")
     if not k:
-        return scored.select("id", "declared", F.lit(None).cast("string").alias("lang"),
-                             F.lit(0.0).alias("confidence"), F.lit(True).alias("rejected"), "key")
+        alone = F.col("evidence").isNotNull() & F.col("declared").isNotNull()
+        return scored.select("id", "declared", F.when(alone, F.col("declared")).alias("lang"),
+                             F.when(alone, 1.0).otherwise(0.0).alias("confidence"), (~alone).alias("rejected"), "key")
 
     # grouped counts of the text's own verdicts: a row per host, rolled up to suffix and all
     tally = [F.sum((F.col("guess") == i).cast("long")).alias(f"n{i}") for i in range(k)]
@@ -158,9 +166,12 @@ def identify(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", decl
     of_host = smooth(hosts.join(of_suffix, "suffix"), HOST_WEIGHT, [F.col("s")[i] for i in range(k)], "prior",
                      ["suffix", "host"])
     names = F.array(*[F.lit(x) for x in languages])
+    # declared, but without a model: the last class stands for it
+    bare = F.col("declared").isNotNull() & ~F.col("declared").isin(languages)
     same = [F.when(F.col("declared") == x, np.log(DECLARED_RIGHT)).when(
-        F.col("declared").isNull(), 0.0).otherwise(np.log((1 - DECLARED_RIGHT) / max(k - 1, 1))) for x in languages]
-    spread = F.when(F.col("declared").isNull(), 0.0).otherwise(np.log(1 / k))
+        F.col("declared").isNull(), 0.0).when(bare, np.log((1 - DECLARED_RIGHT) / k)).otherwise(
+        np.log((1 - DECLARED_RIGHT) / max(k - 1, 1))) for x in languages]
+    spread = F.when(F.col("declared").isNull(), 0.0).when(bare, np.log(DECLARED_RIGHT)).otherwise(np.log(1 / k))
     parts = [F.col("evidence")[i] + F.log(F.col("prior")[i] * (1 - UNKNOWN_PRIOR)) + same[i] for i in range(k)]
     parts.append(F.col("evidence")[k] + F.log(F.lit(UNKNOWN_PRIOR)) + spread)
     # a host may hold a third of all rows: its rows meet copies of its prior in SALTS places
@@ -170,12 +181,18 @@ def identify(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", decl
             .withColumn("top", F.array_max("p"))
             .withColumn("at", F.array_position("p", F.col("top")).cast("int"))
             .withColumn("confidence", F.when(F.col("evidence").isNull(), 0.0).otherwise(
-                1 / F.aggregate("p", F.lit(0.0), lambda s, x: s + F.exp(x - F.col("top"))))))
+                1 / F.aggregate("p", F.lit(0.0), lambda s, x: s + F.exp(x - F.col("top")))))
+            .withColumn("bare", bare & F.col("evidence").isNotNull() & (
+                (F.col("at") > k) | (F.col("confidence") < min_confidence)))
+            # the share of the last class, as that of the top one is 1 / sum
+            .withColumn("confidence", F.when(F.col("bare"), F.col("confidence") * F.exp(
+                F.col("p")[k] - F.col("top"))).otherwise(F.col("confidence"))))
     known = F.col("evidence").isNotNull() & (F.col("at") <= k)
     return post.select(
-        "id", "declared", F.when(known, F.element_at(names, F.least("at", F.lit(k)))).alias("lang"),
+        "id", "declared", F.when(F.col("bare"), F.col("declared")).when(
+            known, F.element_at(names, F.least("at", F.lit(k)))).alias("lang"),
         F.round("confidence", 6).alias("confidence"),
-        (~known | (F.col("confidence") < min_confidence)).alias("rejected"), "key")
+        (~F.col("bare") & (~known | (F.col("confidence") < min_confidence))).alias("rejected"), "key")
 
 
 def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", declared_col: str = "lang",

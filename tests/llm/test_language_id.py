@@ -81,6 +81,27 @@ def test_empty_tables(spark, docs):
     assert verdicts(docs([(1, "the thing", None, None)]))[1]["rejected"]
 
 
+def test_rare_declared_languages_are_kept(spark, docs):
+    russian = "привет как дела сегодня хорошая погода и мы идём гулять".split()
+    greek = "καλημέρα τι κάνεις σήμερα " * 6
+    rng = random.Random(6)
+    many = [(i, t[:60], k, h) for i, t, k, h in rows_of(6, n=6000)]
+    rare = [(7000 + i, " ".join(rng.choices(russian, k=30)), "ru", "h.ru") for i in range(G.MIN_ROWS)]
+    # too few for a model: kept under the declared name; and text that a model explains, or none at all
+    few = [(8000, greek, "el", "h.gr"), (8001, greek, None, "h.gr"), (8002, " ".join(WORDS["en"] * 4), "tlh", "host0.en"),
+           (8003, "12 !", "el", "h.gr")]
+    got = verdicts(docs(many + rare + few))
+    assert len(rare) < G.MIN_SHARE * len(many)
+    assert all(got[i]["lang"] == "ru" and not got[i]["rejected"] for i, *_ in rare)
+    assert [(got[i]["lang"], got[i]["rejected"]) for i in (8000, 8002)] == [("el", False), ("en", False)]
+    assert all(got[i]["rejected"] for i in (8001, 8003))
+
+
+def test_declarations_without_any_model(spark, docs):
+    got = verdicts(docs([(i, "some words", f"x{i}", "h") for i in range(300)] + [(500, "!!", "x900", "h"), (501, "ab", None, "h")]))
+    assert {i for i, r in got.items() if r["rejected"]} == {500, 501} and got[7]["lang"] == "x7"
+
+
 def test_page_evidence(spark):
     page = spark.createDataFrame([(1, "http://x.example.de:80/a", "<HTML class='a' lang='de'><style>p{}</style><p>Hallo <!-- x --> Welt</p>"),
                                   (2, None, None)], "page_id long, url string, html string")
