@@ -151,6 +151,8 @@ _SPOKEN_MAIL = re.compile(
     rf"\s{{1,3}}(?:{_POINT})\s{{1,3}}[A-Za-z]{{2,24}}(?!\w)", re.I)
 _SPOKEN_AT = re.compile(r"\s{1,3}(?:at|arroba)\s{1,3}", re.I)
 _SPOKEN_DOT = re.compile(rf"\s{{1,3}}(?:{_POINT})\s{{1,3}}", re.I)
+# conditions that the patterns of a transducer imply
+_BEFORE_PLAIN = re.compile(r"\s(?:at|arroba)\s", re.I)
 _BEFORE_SPOKEN = re.compile(rf"\s(?:{_POINT})\s", re.I)
 
 
@@ -282,9 +284,9 @@ def transduce(text: str) -> Tape | None:
         if _BEFORE_SPOKEN.search(tape.text if tape else now):
             step(spoken_mail)
     now = text if tape is None else tape.text
+    if _BEFORE_PLAIN.search(now):
+        step(spoken_at)
     if _DIGIT.search(now):
-        if " at " in low or "arroba" in low:
-            step(spoken_at)
         step(digit_letters)
     flags = bytes(map(_SPOKEN_BYTES.__contains__, low.encode().translate(_LETTER_RUNS).split()))
     if b"\x01\x01\x01" in flags:

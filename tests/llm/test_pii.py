@@ -71,6 +71,16 @@ def test_disguises_map_to_their_source(text, kind, part):
     assert [(k, text[a:b]) for k, spans in zip(P.KINDS, found) for a, b in spans] == [(kind, part or text)]
 
 
+def alone(text):
+    return [(k, text[a:b]) for k, spans in zip(P.KINDS, P.added_spans(text, P.base_spans(text))) for a, b in spans]
+
+
+@pytest.mark.parametrize("part", ["john.smith at example.com", "j.doe7\nat example.com", "j_doe\tAT\texample.com",
+                                  "j-doe arroba  mail.example.com"])
+def test_spoken_at_needs_no_other_digit(part):
+    assert alone(f"Write to {part} now") == [("email", part)] == alone(f"Write to {part} now, or 9")
+
+
 @pytest.mark.parametrize("text", [
     "the one at the door of two or three points", "un point de vue sur le sept", "was einst null und vier war",
     "meet at noon", "look at example.com now", "at 5.30 we look at 12.5 points", "Ill 10 Oil 20 lo", "9 to 5 at work.", "un " * 12, "one, one, one, one, one, one, one, one", "price 12.5 and 3,000 items", "c\u00e9l\u00e8bre \u00e9t\u00e9 \u00fcber stra\u00dfe", "\u041f\u0440\u0438\u0432\u0435\u0442, \u043a\u0430\u043a \u0434\u0435\u043b\u0430?"])
