@@ -153,6 +153,10 @@ _SPOKEN_AT = re.compile(r"\s{1,3}(?:at|arroba)\s{1,3}", re.I)
 _SPOKEN_DOT = re.compile(rf"\s{{1,3}}(?:{_POINT})\s{{1,3}}", re.I)
 # conditions that the patterns of a transducer imply
 _BEFORE_PLAIN = re.compile(r"\s(?:at|arroba)\s", re.I)
+# (all forms begin with one of a few signs, so that the search is fast)
+_DISGUISED = re.compile(
+    rf"[\[({{<_*&%-](?:(?<={_OPEN})\s{{0,3}}(?:at|arroba|{_POINT}|[@.])\s{{0,3}}{_CLOSE}|(?<=([_*-]))(?:at|dot)\1"
+    r"|(?<=&)(?:#0{0,4}(?:64|46);|#x0{0,4}(?:40|2e);|commat;|period;)|(?<=%)(?:40|2e))", re.I)
 _BEFORE_SPOKEN = re.compile(rf"\s(?:{_POINT})\s", re.I)
 
 
@@ -261,10 +265,6 @@ def spelled_digits(text: str) -> list[tuple[int, int, str]]:
     return edits
 
 
-_MAIL_HINTS = ("_at_", "*at*", "-at-", "&#", "&commat;", "&period;", "%40", "%2e", "[at", "(at", "{at", "<at", "[ at", "( at", "arroba", "[@", "(@", "[.", "(.", "[dot", "(dot", "{dot",
-               "<dot", "[ dot", "( dot", " dot ", " point ", " punkt ", " punto ", "\ndot ", " dot\n")
-
-
 def transduce(text: str) -> Tape | None:
     """The text through all transducers; None if none of them has anything to rewrite."""
     tape, changed = None, False
@@ -279,10 +279,10 @@ def transduce(text: str) -> Tape | None:
         step(homoglyphs)
     now = text if tape is None else tape.text
     low = now.lower()
-    if any(h in low for h in _MAIL_HINTS):
+    if _DISGUISED.search(now):
         step(disguises)
-        if _BEFORE_SPOKEN.search(tape.text if tape else now):
-            step(spoken_mail)
+    if _BEFORE_SPOKEN.search(tape.text if tape else now):
+        step(spoken_mail)
     now = text if tape is None else tape.text
     if _BEFORE_PLAIN.search(now):
         step(spoken_at)

@@ -81,6 +81,22 @@ def test_spoken_at_needs_no_other_digit(part):
     assert alone(f"Write to {part} now") == [("email", part)] == alone(f"Write to {part} now, or 9")
 
 
+@pytest.mark.parametrize("at", [*(o + b + w + b + c for o, c in ("[]", "()", "{}", "<>") for w in ("at", "@", "arroba", "AT")
+                                  for b in ("", " ", "  ", "\t", "\n")), "_at_", "*at*", "-at-", "&#64;", "&#0064;", "&#x40;", "&#X0040;",
+                                "&commat;", "%40"])
+def test_each_at_is_found_alone(at):
+    assert alone(f"to bob{at}example.com now") == [("email", f"bob{at}example.com")]
+
+
+@pytest.mark.parametrize("dot", [*(o + b + w + b + c for o, c in ("[]", "()", "{}", "<>") for w in ("dot", ".", "point", "punkt", "punto", "Dot")
+                                   for b in ("", " ", "  ", "\t", "\n")), "_dot_", "*dot*", "-dot-", "&#46;", "&#x2E;", "&period;", "%2e",
+                                 "\tdot\t", "\npunkt ", "  point\n"])
+def test_each_dot_is_found_alone(dot):
+    ip = dot.join(("192", "168", "1", "7"))
+    assert alone(f"host {ip} up") == [("ip", ip)]
+    assert alone(f"to bob@example{dot}com now") == [("email", f"bob@example{dot}com")]
+
+
 @pytest.mark.parametrize("text", [
     "the one at the door of two or three points", "un point de vue sur le sept", "was einst null und vier war",
     "meet at noon", "look at example.com now", "at 5.30 we look at 12.5 points", "Ill 10 Oil 20 lo", "9 to 5 at work.", "un " * 12, "one, one, one, one, one, one, one, one", "price 12.5 and 3,000 items", "c\u00e9l\u00e8bre \u00e9t\u00e9 \u00fcber stra\u00dfe", "\u041f\u0440\u0438\u0432\u0435\u0442, \u043a\u0430\u043a \u0434\u0435\u043b\u0430?"])
