@@ -20,6 +20,7 @@ import hashlib
 import re
 import unicodedata
 from collections.abc import Callable, Iterator
+from itertools import repeat
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -124,12 +125,16 @@ NUMBERS = {
 POINTS = ("dot", "point", "punkt", "punto")
 JOINTS = {"plus": "+", "dash": "-", "hyphen": "-", "minus": "-", **{p: "." for p in POINTS}}
 _SPOKEN = NUMBERS.keys() | JOINTS.keys() | {"double", "triple"}
-_SPOKEN_BYTES = frozenset(w.encode() for w in _SPOKEN)
 _ONE = r"(?:" + "|".join(sorted(_SPOKEN, key=lambda w: (-len(w), w))) + r"|[0-9])"
 _SPOKEN_RUN = re.compile(rf"(?<!\w){_ONE}(?:[\s,.()-]{{1,4}}{_ONE}(?!\w)){{3,}}", re.I)
 _SPOKEN_WORD = re.compile(rf"{_ONE}(?!\w)", re.I)
-_LETTER_RUNS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or 48 <= b <= 57 or b >= 128 else 32
+# ASCII letters and digits stay, all else is a blank, as any sign may stand beside a run; so "fünf" is two pieces
+_LETTER_RUNS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or 48 <= b <= 57 else 32
                      for b in range(256))
+# 1: a number word, by its first piece; 2: what else may be a member of a run. Three number words are in any run
+_SPOKEN_FLAGS = {p: 2 for w in [*_SPOKEN, *"0123456789"] for p in w.encode().translate(_LETTER_RUNS).split()}
+_SPOKEN_FLAGS |= {w.encode().translate(_LETTER_RUNS).split()[0]: 1 for w in NUMBERS}
+_FLAGGED = re.compile(rb"\x01\x02*\x01\x02*\x01")
 
 _OPEN, _CLOSE, _POINT = r"[\[({<]", r"[\])}>]", "|".join(POINTS)
 _BRACKET_AT = re.compile(rf"\s{{0,3}}(?:{_OPEN}\s{{0,3}}(?:at|@|arroba)\s{{0,3}}{_CLOSE}|([_*-])at\1)\s{{0,3}}"
@@ -288,8 +293,12 @@ def transduce(text: str) -> Tape | None:
         step(spoken_at)
     if _DIGIT.search(now):
         step(digit_letters)
-    flags = bytes(map(_SPOKEN_BYTES.__contains__, low.encode().translate(_LETTER_RUNS).split()))
-    if b"\x01\x01\x01" in flags:
+    if changed:
+        low = tape.text.lower()
+    if not low.isascii():
+        low = low.replace("ſ", "s").replace("i̇", "i")  # as the pattern reads them
+    flags = bytes(map(_SPOKEN_FLAGS.get, low.encode().translate(_LETTER_RUNS).split(), repeat(0)))
+    if _FLAGGED.search(flags):
         step(spelled_digits)
     return tape if changed else None
 

@@ -97,6 +97,15 @@ def test_each_dot_is_found_alone(dot):
     assert alone(f"to bob@example{dot}com now") == [("email", f"bob@example{dot}com")]
 
 
+@pytest.mark.parametrize("part", ["five 5 five oh 1 two 3 four", "one 2 three 4 five 6 seven 8",
+                                  "z\u00e9ro 5 f\u00fcnf 1 two 3 sept", "one two\u0085three 4 five 6 seven 8"])
+@pytest.mark.parametrize("before,after", [("call ", " now"), ("call \u201c", "\u201d now")])
+def test_single_digits_in_spelled_runs(part, before, after):
+    found = alone(before + part + after)
+    assert found == alone(before + part + after + "; one two three")
+    assert found == [("phone", part)]
+
+
 @pytest.mark.parametrize("text", [
     "the one at the door of two or three points", "un point de vue sur le sept", "was einst null und vier war",
     "meet at noon", "look at example.com now", "at 5.30 we look at 12.5 points", "Ill 10 Oil 20 lo", "9 to 5 at work.", "un " * 12, "one, one, one, one, one, one, one, one", "price 12.5 and 3,000 items", "c\u00e9l\u00e8bre \u00e9t\u00e9 \u00fcber stra\u00dfe", "\u041f\u0440\u0438\u0432\u0435\u0442, \u043a\u0430\u043a \u0434\u0435\u043b\u0430?"])
