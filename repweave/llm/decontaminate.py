@@ -15,7 +15,8 @@ pair of words is in no item the match length is at most one, so a start from the
 the same lengths as the whole stream.
 
 Defined cases: NULL or empty texts have no words and no hits; items without words have no
-windows; repeated items count by their own id; repeated documents are each judged; an empty
+windows; repeated items count by their own id; items with a NULL id are hit like any other, count
+as one item together and have no place in the digest of ids; repeated documents are each judged; an empty
 item table hits nothing; other columns are passed by (``scan``) or through (``clean``).
 """
 
@@ -56,12 +57,12 @@ class SuffixAutomaton:
     """Generalised suffix automaton of word sequences with, for each state, the items that
     hold its strings, as far as the windows need them."""
 
-    def __init__(self, items: list[tuple[str, list[bytes]]], window: int):
+    def __init__(self, items: list[tuple[str | None, list[bytes]]], window: int):
         self.window = window
         self.next: list[dict[int, int]] = [{}]
         self.link, self.length = [-1], [0]
         vocab: dict[bytes, int] = {}
-        ends: list[tuple[str, list[int]]] = []
+        ends: list[tuple[str | None, list[int]]] = []
         for name, ws in items:
             if not ws:
                 continue
@@ -75,8 +76,8 @@ class SuffixAutomaton:
         n = max(len(vocab), 1)
         self.pairs = np.unique(np.array([a * n + b for _, seq in ends for a, b in zip(seq, seq[1:])], dtype=np.int64))
         # the items of each state that stands for windows of full length: every prefix state of an item and its suffixes
-        self.items: dict[int, set[str]] = {}
-        self.short: dict[int, list[tuple[int, str]]] = {}
+        self.items: dict[int, set[str | None]] = {}
+        self.short: dict[int, list[tuple[int, str | None]]] = {}
         for name, seq in ends:
             state, length = 0, 0
             for c in seq:
@@ -123,7 +124,7 @@ class SuffixAutomaton:
             link[cur] = q if length[q] == length[p] + 1 else split(p, q)
         return cur
 
-    def stream(self, seq: list[int], at: int, marks: list[tuple[int, int]], found: set[str]) -> None:
+    def stream(self, seq: list[int], at: int, marks: list[tuple[int, int]], found: set[str | None]) -> None:
         """Read words, tracking the longest matching length; note window occurrences as
         (start, end) word positions and the items they are from."""
         nxt, link, length, window = self.next, self.link, self.length, self.window
@@ -149,7 +150,7 @@ class SuffixAutomaton:
                     s = link[s]
                     have = length[s]
 
-    def scan(self, words: list[bytes], marks: list[tuple[int, int]], found: set[str]) -> None:
+    def scan(self, words: list[bytes], marks: list[tuple[int, int]], found: set[str | None]) -> None:
         least = self.least
         if not least or len(words) < least:
             return
@@ -179,14 +180,14 @@ def build(items: DataFrame, id_col: str = "item_id", text_col: str = "text", win
     rows = items.select(F.col(id_col).cast("string").alias("item"), F.col(text_col).cast("string").alias("body"))
     size = rows.agg(F.sum(F.length("body")).alias("n")).first()["n"] or 0
     blocks = max(1, -(-size // (5 * block_words)))
-    rows = rows.where(F.col("item").isNotNull()).withColumn(
-        "block", F.pmod(F.xxhash64("item"), F.lit(blocks)).cast("int"))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("item"), F.lit(blocks)).cast("int"))
 
     def make(key, part):
-        found = [(i, words_of((t or "").encode())) for i, t in zip(part["item"], part["body"])]
+        found = [(i if isinstance(i, str) else None, words_of((t or "").encode()))
+                 for i, t in zip(part["item"], part["body"])]
         path = f"{folder}/block-{int(key[0])}.bin"
         out = io.BytesIO()
-        pickle.dump(SuffixAutomaton(sorted(found), window), out, protocol=5)
+        pickle.dump(SuffixAutomaton(sorted(found, key=lambda x: (x[0] is None, x[0] or "", x[1])), window), out, protocol=5)
         write_file(path, out.getvalue())
         import pandas as pd
         return pd.DataFrame({"path": [path]})
@@ -207,11 +208,11 @@ def _load(path: str) -> SuffixAutomaton:
     return _LOADED[path]
 
 
-def _judge(many: list[bytes], paths: list[str]) -> Iterator[tuple[int, np.ndarray | None, set[str]]]:
+def _judge(many: list[bytes], paths: list[str]) -> Iterator[tuple[int, np.ndarray | None, set[str | None]]]:
     """For each text: its words, the hit words as a mask (None: none) and the items found."""
     split = [words_of(t) for t in many]
     marks: list[list[tuple[int, int]]] = [[] for _ in many]
-    found: list[set[str]] = [set() for _ in many]
+    found: list[set[str | None]] = [set() for _ in many]
     for path in paths:
         automaton = _load(path)
         for ws, m, f in zip(split, marks, found):
@@ -238,7 +239,7 @@ def scan(docs: DataFrame, paths: list[str], id_col: str = "doc_id", text_col: st
                 n_words.append(n)
                 n_hit.append(0 if mask is None else int(mask.sum()))
                 n_items.append(len(f))
-                shas.append(hashlib.sha256(",".join(sorted(f)).encode()).hexdigest())
+                shas.append(hashlib.sha256(",".join(sorted(f - {None})).encode()).hexdigest())
             yield batch(SCANNED_ARROW, [rb.column(0), n_words, n_hit, n_items, shas, [n > 0 for n in n_hit]])
 
     return docs.select(docs[id_col].cast("long"), docs[text_col].cast("string")).mapInArrow(run, SCANNED)

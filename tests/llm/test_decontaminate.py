@@ -66,6 +66,24 @@ def test_clean_removes_spans_and_rejects_covered(spark, docs):
     assert out.where("text is null").count() == 1
 
 
+def test_items_without_id_are_hit_as_in_sql(spark, docs, tmp_path):
+    import duckdb
+
+    from repweave.llm.queries import OP7_SQL
+    item = [" ".join(f"{k}{i}" for i in range(12)) for k in "abc"]
+    bench = spark.createDataFrame([(None, item[0]), (None, item[1]), (7, item[2]), (None, None)], "item_id long, text string")
+    rest = " ".join(f"own{i}" for i in range(40))
+    df = docs([(1, f"{rest} {item[0]}"), (2, f"{item[0]} {rest} {item[1]} {item[2]}"), (3, rest), (4, item[2])], extra=False)
+    con = duckdb.connect()
+    for name, frame in (("benchmark", bench), ("documents", df)):
+        frame.coalesce(1).write.parquet(str(tmp_path / name))
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{tmp_path / name}/*.parquet')")
+    got = sorted(tuple(r) for r in D.scan(df, D.build(bench, block_words=3)).collect())
+    assert got == sorted(con.execute(OP7_SQL).fetchall())
+    assert [r[2:4] for r in got] == [(12, 1), (36, 2), (0, 0), (12, 1)]
+    assert D.clean(df, D.build(bench)).where("doc_id = 1").first()["text"].split() == rest.split()
+
+
 def test_empty_tables(spark, docs):
     none = spark.createDataFrame([], "item_id long, text string")
     assert D.scan(docs([(1, "a b")]), D.build(none)).first()["n_hit"] == 0
