@@ -29,7 +29,7 @@ from itertools import accumulate
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from repweave.llm.common import batch, bounded_batches, materialise, raw
@@ -73,16 +73,19 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp): fp is the fingerprint as a signed long."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
+                 carried: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, fp): fp is the fingerprint as a signed long; long columns ``carried`` follow."""
     bounded_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rb in batches:
             fps = np.array([fingerprint(t, shingle) for t in raw(rb.column(1))], dtype=np.uint64)
-            yield batch(PRINTS_ARROW, [rb.column(0), fps.view(np.int64)])
+            yield batch(schema, [rb.column(0), fps.view(np.int64), *rb.columns[2:]])
 
-    return docs.select(docs[id_col].cast("long"), docs[text_col].cast("string")).mapInArrow(run, PRINTS)
+    schema = pa.schema([*PRINTS_ARROW, *[(c, pa.int64()) for c in carried]])
+    return docs.select(docs[id_col].cast("long"), docs[text_col].cast("string"), *carried).mapInArrow(
+        run, ", ".join([PRINTS, *[f"{c} long" for c in carried]]))
 
 
 def pivot_table(fps: np.ndarray) -> np.ndarray:
@@ -217,15 +220,20 @@ def links_of(nodes: DataFrame, max_distance: int = MAX_DISTANCE, chunk: int = CH
     return sorted_cells.mapInArrow(run, LINKS)
 
 
+def _rooted(prints: DataFrame, max_distance: int) -> DataFrame:
+    """(fp, least, root): each fingerprint, its smallest id, and one fingerprint of its component."""
+    nodes = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
+    parent = connected_components(links_of(nodes, max_distance))
+    return nodes.join(parent.select(F.col("u").alias("fp"), F.col("v").alias("root")), "fp", "left").withColumn(
+        "root", F.coalesce("root", "fp"))
+
+
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
             max_distance: int = MAX_DISTANCE) -> DataFrame:
     """(doc_id, fp, component_id), one row per document row: component_id is the smallest
     id that can be reached over links."""
     prints = materialise(fingerprints(docs, id_col, text_col, shingle), "prints")
-    nodes = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
-    parent = connected_components(links_of(nodes, max_distance))
-    rooted = nodes.join(parent.select(F.col("u").alias("fp"), F.col("v").alias("root")), "fp", "left").withColumn(
-        "root", F.coalesce("root", "fp"))
+    rooted = _rooted(prints, max_distance)
     # the smallest id of a component, and back to its nodes; hot roots are split by Spark
     low = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     of_node = rooted.join(low, "root").select("fp", "component_id")
@@ -234,12 +242,18 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shi
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                 max_distance: int = MAX_DISTANCE) -> DataFrame:
-    """The documents, one of each component: that with the smallest id. Of rows that share
-    that id, the first by the order of their other columns stays. Rows with a NULL id stay."""
-    kept = classes(docs, id_col, text_col, shingle, max_distance).where("doc_id = component_id").select("doc_id").distinct()
-    rows = docs.where(F.col(id_col).isNotNull())
-    rows = rows.join(kept.withColumnRenamed("doc_id", "__kept"), F.col(id_col) == F.col("__kept"), "left_semi")
-    order = [F.col(f"`{c}`").asc_nulls_first() for c in docs.columns if c != id_col] or [F.col(id_col)]
-    first = rows.withColumn("__turn", F.row_number().over(Window.partitionBy(id_col).orderBy(*order))).where(
-        "__turn = 1").drop("__turn")
-    return first.unionByName(docs.where(F.col(id_col).isNull()))
+    """The documents, one of each component: that with the smallest id. Of rows of a component
+    that share that id, the one with the smallest hash of all columns stays, once. Rows are chosen
+    by component, so equal ids in different components lose nothing. Of a component's rows with
+    a NULL id, one stays beside that with the smallest id."""
+    # two hashes of all columns and of which are NULL name a row
+    cells = [x for c in docs.columns for x in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())]
+    rows = docs.withColumns({"__row": F.xxhash64(F.lit(1), *cells), "__row2": F.xxhash64(F.lit(2), *cells)})
+    prints = materialise(fingerprints(rows, id_col, text_col, shingle, ("__row", "__row2")), "prints")
+    least = F.min(F.struct("doc_id", "__row", "__row2")).alias("best")
+    of_print = prints.groupBy("fp", F.isnull("doc_id").alias("bare")).agg(least)
+    kept = (of_print.join(_rooted(prints, max_distance).select("fp", "root"), "fp").groupBy("root", "bare")
+            .agg(F.min("best").alias("best")).select("best.__row", "best.__row2"))
+    # equal rows meet in each task first, so many copies of one row reach the join as few
+    return rows.dropDuplicates(["__row", "__row2"]).join(kept, ["__row", "__row2"], "left_semi").select(
+        *[F.col(f"`{c}`") for c in docs.columns])
