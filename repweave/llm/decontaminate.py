@@ -6,7 +6,8 @@ is ``window`` consecutive item words (an item of fewer words is one window); wor
 any occurrence of a window are hit. Spans of hit words are taken out of a text; a document
 whose hit share exceeds ``max_coverage`` is rejected whole.
 
-Items are dealt to blocks by a hash, each block has an expected number of words, and its automaton
+Items are dealt to blocks by a hash of id and text, equal rows once, so that an id many rows
+have is spread (marks and items are united over blocks). Each block has an expected number of words, and its automaton
 is built by one task and written to the shared folder; a document task loads the automata
 it needs one by one. So neither the driver nor a broadcast holds the items, whatever their number.
 
@@ -180,7 +181,7 @@ def build(items: DataFrame, id_col: str = "item_id", text_col: str = "text", win
     rows = items.select(F.col(id_col).cast("string").alias("item"), F.col(text_col).cast("string").alias("body"))
     size = rows.agg(F.sum(F.length("body")).alias("n")).first()["n"] or 0
     blocks = max(1, -(-size // (5 * block_words)))
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("item"), F.lit(blocks)).cast("int"))
+    rows = rows.distinct().withColumn("block", F.pmod(F.xxhash64("item", "body"), F.lit(blocks)).cast("int"))
 
     def make(key, part):
         found = [(i if isinstance(i, str) else None, words_of((t or "").encode()))

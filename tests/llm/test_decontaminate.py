@@ -84,6 +84,15 @@ def test_items_without_id_are_hit_as_in_sql(spark, docs, tmp_path):
     assert D.clean(df, D.build(bench)).where("doc_id = 1").first()["text"].split() == rest.split()
 
 
+def test_one_id_is_dealt_to_many_blocks(spark, docs):
+    items = [(1, " ".join(f"w{k}x{i}" for i in range(12))) for k in range(60)] + [(2, "a b c")] * 40
+    paths = D.build(spark.createDataFrame(items, "item_id long, text string"), block_words=60)
+    sizes = [D._load(p).vocab for p in paths]
+    assert max(map(len, sizes)) < 240 and sum(map(len, sizes)) == 60 * 12 + 3
+    got = D.scan(docs([(i, t) for i, (_, t) in enumerate(items[:61])]), paths).collect()
+    assert all(r["n_hit"] == r["n_words"] and r["n_items"] == 1 for r in got)
+
+
 def test_empty_tables(spark, docs):
     none = spark.createDataFrame([], "item_id long, text string")
     assert D.scan(docs([(1, "a b")]), D.build(none)).first()["n_hit"] == 0
