@@ -14,10 +14,13 @@ from repweave.llm import (
     lz_fingerprint,
     packing,
     pii,
+    ranked_search,
     simhash,
+    site_style,
     toxicity,
     url_filter,
     warc,
+    whitening,
 )
 from repweave.llm.common import table
 
@@ -191,3 +194,37 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op10_packing")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@register("op11_html_text")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return site_style.extract(table(spark, sf_dir, "pages"))
+
+
+_TERMS = r"regexp_extract_all(" + _LOWER + r", '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+OP12_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS w FROM documents),
+c AS (SELECT count(*) AS n, CAST(sum(len(w)) AS BIGINT) AS l FROM d WHERE len(w) > 0),
+p AS (
+  SELECT r, any_value(doc_id) AS doc_id, t, count(*) AS tf, any_value(50 + ((50 * size * n) // l)) AS m
+  FROM (SELECT r, doc_id, len(w) AS size, unnest(w) AS t FROM d), c GROUP BY r, t),
+q AS (SELECT t, CAST(floor(1000 * ln((2 * any_value(n) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM p, c GROUP BY t),
+i AS (SELECT DISTINCT item_id, text, unnest({_TERMS}) AS t FROM benchmark),
+s AS (
+  SELECT item_id, text, any_value(doc_id) AS doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+  FROM i JOIN p USING (t) JOIN q USING (t) GROUP BY item_id, text, r)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM s WHERE score > 0)
+WHERE rank <= {ranked_search.TOP}
+"""
+
+
+@register("op12_ranked_search", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register("op13_whitening")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
