@@ -13,15 +13,24 @@ metros, nation, race groups and complements are roll-ups of that cube. The
 cube's size is bounded by the dimension domains (weeks x geographies x race
 groups x replicates), not by the number of respondents.
 
-Layout: replicates are rows (``rep`` 0..R, from ``posexplode`` of the weight
-array), metrics are columns (3 per metric). Every aggregate stays narrow
-enough for whole-stage codegen, and the cube never has 2 x 81 columns.
+The sums are built in two phases. A task takes respondents as they are, one row each, and adds
+weights x indicators as matrices per cell (``task_sums``); what it gives off is one row per cell and
+replicate. Spark then merges the tasks' rows with one grouped sum. So no respondent is
+ever copied 81 times, and the shuffle holds at most tasks x cube rows.
+
+Layout: replicates are rows (``rep`` 0..R), metrics are columns (3 per metric), narrow enough for
+whole-stage codegen. Counts do not depend on the replicate: they stand at ``rep`` 0, and are 0 elsewhere.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from repweave.functions.scalar import interval_label
 from repweave.operators.design import ReplicateDesign
@@ -59,30 +68,122 @@ def weight_array(design: ReplicateDesign) -> Column:
                     F.transform(F.col(design.repweights), lambda v: v * f))
 
 
-def replicate_rows(df: DataFrame, design: ReplicateDesign, metrics: list[str],
-                   keys: list[str]) -> DataFrame:
-    """(keys, metrics, rep, w): one row per respondent and replicate."""
-    return df.select(*[F.col(k) for k in keys],
-                     *[F.col(m).cast("double").alias(m) for m in metrics],
-                     F.posexplode(weight_array(design)).alias("rep", "w"))
-
-
-def stat_aggs(metrics: list[str]) -> list[Column]:
-    w = F.col("w")
-    out = []
-    for m in metrics:
-        x = F.col(m)
-        out += [F.count(x).alias(n_col(m)),
-                F.coalesce(F.sum(F.when(x.isNotNull(), w)), F.lit(0.0)).alias(sw_col(m)),
-                F.coalesce(F.sum(w * x), F.lit(0.0)).alias(swx_col(m))]
-    return out
+#: Cells whose sums a task holds before it gives them off: 20 kB each with 16 metrics and 81 weights.
+HELD_CELLS = 4096
+#: Cells given off in one Arrow batch.
+BATCH_CELLS = 64
+
+
+class CellSums:
+    """Sums of one task over one list of keys: per cell the counts, and per metric the vectors over replicates."""
+
+    def __init__(self, metrics: int, replicates: int):
+        self.number: dict[tuple, int] = {}
+        self.shape = metrics, replicates + 1
+        self._grow(64)
+
+    def _grow(self, size: int) -> None:
+        old = len(self.number)
+        n, sums = np.zeros((size, self.shape[0]), np.int64), np.zeros((size, 2, *self.shape))
+        if old:
+            n[:old], sums[:old] = self.n[:old], self.sums[:old]
+        self.n, self.sums = n, sums
+
+    def add(self, keys: list[pa.Array], weights: np.ndarray, values: np.ndarray, known: np.ndarray) -> None:
+        """Rows by cell: weights (rows x replicates), values and known (metrics x rows)."""
+        code = np.zeros(len(weights), dtype=np.int64)
+        levels = []
+        for k in keys:
+            coded = k.dictionary_encode("encode")
+            names = coded.dictionary.to_pylist()
+            code = code * len(names) + coded.indices.to_numpy()
+            levels.append(names)
+        order = np.argsort(code, kind="stable")
+        cells, starts = np.unique(code[order], return_index=True)
+        if len(self.number) + len(cells) > len(self.n):
+            self._grow(2 * (len(self.number) + len(cells)))
+        at = np.empty(len(cells), dtype=np.int64)
+        for i, c in enumerate(cells.tolist()):
+            cell = []
+            for names in reversed(levels):
+                c, place = divmod(c, len(names))
+                cell.append(names[place])
+            at[i] = self.number.setdefault(tuple(reversed(cell)), len(self.number))
+        weights = weights[order]
+        for m, (value, has) in enumerate(zip(values[:, order], known[:, order])):
+            # the same additions in the same order for both sums: a mean of ones is exactly one
+            self.n[at, m] += np.add.reduceat(has.astype(np.int64), starts)
+            self.sums[at, 0, m] += np.add.reduceat(weights * has[:, None], starts, axis=0)
+            self.sums[at, 1, m] += np.add.reduceat(weights * value[:, None], starts, axis=0)
+
+    def rows(self, schema: pa.Schema, names: list[str], number: int) -> Iterator[pa.RecordBatch]:
+        """One row per cell and replicate; keys that are not among ``names`` are NULL."""
+        cells = list(self.number)
+        metrics, reps = self.shape
+        for at in range(0, len(cells), BATCH_CELLS):
+            part = cells[at:at + BATCH_CELLS]
+            size = len(part) * reps
+            counts = np.zeros((len(part), reps, metrics), dtype=np.int64)
+            counts[:, 0] = self.n[at:at + len(part)]
+            sums = self.sums[at:at + len(part)]
+            made = {"_set": pa.array(np.full(size, number, dtype=np.int32)),
+                    "rep": pa.array(np.tile(np.arange(reps, dtype=np.int32), len(part)))}
+            for name, values in zip(names, zip(*part)):
+                made[name] = pa.array(values, type=schema.field(name).type).take(pa.array(np.repeat(np.arange(len(part)), reps)))
+            stats = [c for c in schema.names if c.startswith("n__")]
+            for m, c in enumerate(stats):
+                made[c] = pa.array(counts[:, :, m].ravel())
+                made[sw_col(c[3:])] = pa.array(sums[:, 0, m].ravel())
+                made[swx_col(c[3:])] = pa.array(sums[:, 1, m].ravel())
+            yield pa.RecordBatch.from_arrays(
+                [made[f.name] if f.name in made else pa.nulls(size, f.type) for f in schema], schema=schema)
+
+
+def task_sums(df: DataFrame, design: ReplicateDesign, metrics: list[str], keys: list[str],
+              sets: list[list[str]]) -> DataFrame:
+    """Each task's sums, by each of the lists of keys: (keys, _set, rep, stats), NULL in keys that are not of the
+    list. Respondents without replicate weights are left out."""
+    reps = design.n_replicates
+    rows = df.select(*[F.col(k) for k in keys], weight_array(design).alias("_w"),
+                     *[F.col(m).cast("double").alias(f"_x{i}") for i, m in enumerate(metrics)])
+    rows = rows.where(F.col("_w").isNotNull())
+    types = {f.name: f.dataType for f in rows.schema.fields}
+    schema = T.StructType([*[T.StructField(k, types[k]) for k in keys], T.StructField("_set", T.IntegerType()),
+                           T.StructField("rep", T.IntegerType()),
+                           *[T.StructField(c, T.LongType() if c.startswith("n__") else T.DoubleType())
+                             for c in stat_cols(metrics)]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark.sql.pandas.types import to_arrow_schema
+        arrow = to_arrow_schema(schema)
+        held = [CellSums(len(metrics), reps) for _ in sets]
+        for rb in batches:
+            if not rb.num_rows:
+                continue
+            w = rb.column(len(keys))
+            flat = w.flatten()
+            if len(flat) != rb.num_rows * (reps + 1):
+                raise ValueError(f"every row needs {reps} replicate weights")
+            weights = np.nan_to_num(flat.to_numpy(zero_copy_only=False), nan=0.0).reshape(-1, reps + 1) \
+                if flat.null_count else flat.to_numpy().reshape(-1, reps + 1)
+            known = np.array([rb.column(len(keys) + 1 + m).is_valid().to_numpy(zero_copy_only=False) for m in range(len(metrics))])
+            values = np.array([rb.column(len(keys) + 1 + m).fill_null(0.0).to_numpy() for m in range(len(metrics))])
+            for i, (cells, names) in enumerate(zip(held, sets)):
+                cells.add([rb.column(keys.index(k)) for k in names], weights, values, known)
+                if len(cells.number) > HELD_CELLS:
+                    yield from cells.rows(arrow, names, i)
+                    held[i] = CellSums(len(metrics), reps)
+        for i, (cells, names) in enumerate(zip(held, sets)):
+            yield from cells.rows(arrow, names, i)
+
+    return rows.mapInArrow(run, schema)
 
 
 def sufficient_stats(df: DataFrame, design: ReplicateDesign, metrics: list[str],
                      keys: list[str]) -> DataFrame:
     """Cube at grain (keys, rep) with n/sw/swx per metric."""
-    rows = replicate_rows(df, design, metrics, keys)
-    return rows.groupBy(*keys, "rep").agg(*stat_aggs(metrics))
+    parts = task_sums(df, design, metrics, keys, [keys])
+    return parts.groupBy(*keys, "rep").agg(*[F.sum(c).alias(c) for c in stat_cols(metrics)])
 
 
 def geo_week_cube(df: DataFrame, design: ReplicateDesign, metrics: list[str],
@@ -90,23 +191,20 @@ def geo_week_cube(df: DataFrame, design: ReplicateDesign, metrics: list[str],
                   week_col: str = "week", race_col: str = "race") -> DataFrame:
     """Respondent rows -> (week, geo_type, geography, race, rep, stats).
 
-    One aggregation over two grouping sets, (week, state, race) and
-    (week, metro, race): the cube is bounded by states + metros, never by
-    their product. Rows outside any listed metro form a NULL-geography metro
-    bucket that only feeds complements.
+    One scan for two lists of keys, (week, state, race) and (week, metro, race): the cube is
+    bounded by states + metros, never by their product. Rows outside any listed metro form a
+    NULL-geography metro bucket that only feeds complements.
     """
-    keys = [week_col, state_col, metro_col, race_col]
-    rows = replicate_rows(df, design, metrics, keys)
-    sets = [[week_col, state_col, race_col, "rep"],
-            [week_col, metro_col, race_col, "rep"]]
-    g = rows.groupingSets(sets, week_col, state_col, metro_col, race_col, "rep").agg(
-        F.grouping(state_col).alias("_gs"), *stat_aggs(metrics))
-    is_state = F.col("_gs") == 0
-    return g.select(
-        F.col(week_col).alias("week"),
-        F.when(is_state, F.lit("state")).otherwise(F.lit("msa")).alias("geo_type"),
-        F.when(is_state, F.col(state_col)).otherwise(F.col(metro_col)).alias("geography"),
-        F.col(race_col).alias("race"), "rep", *stat_cols(metrics))
+    rows = df.select(F.col(week_col).alias("week"), F.col(state_col).cast("string").alias("_state"),
+                     F.col(metro_col).cast("string").alias("_metro"), F.col(race_col).alias("race"),
+                     design.weight, design.repweights, *metrics)
+    parts = task_sums(rows, design, metrics, ["week", "_state", "_metro", "race"],
+                      [["week", "_state", "race"], ["week", "_metro", "race"]])
+    is_state = F.col("_set") == 0
+    parts = parts.select("week", F.when(is_state, "state").otherwise("msa").alias("geo_type"),
+                         F.when(is_state, F.col("_state")).otherwise(F.col("_metro")).alias("geography"),
+                         "race", "rep", *stat_cols(metrics))
+    return rollup(parts, ["week", "geo_type", "geography", "race", "rep"], metrics)
 
 
 def rollup(cube: DataFrame, keys: list[str], metrics: list[str] | None = None) -> DataFrame:

@@ -114,7 +114,7 @@ def finish_one_sided(df: DataFrame, design: ReplicateDesign, keys: list[str],
         "n": lambda m: F.col(n_col(m)),
         "th": lambda m: F.try_divide(F.col(swx_col(m)), F.col(sw_col(m))),
     })
-    t = _collect_reps(long.where(F.col("n") > 0), keys, ["n"], ["th"])
+    t = _collect_reps(long, keys, ["n"], ["th"]).where(F.col("n") > 0)
     return t.select(*keys, "metric",
                     F.element_at("th", 1).alias("mean"),
                     (F.lit(design.se_multiplier)

@@ -483,8 +483,8 @@ def svy_glm_q(spark, sf_dir):
                                 (F.col(f"a_n__{m}") + F.col(f"b_n__{m}")).alias("n"),
                                 (a_sw + b_sw).alias("s"), a_sw.alias("sx"),
                                 (a_swx + b_swx).alias("sy"), a_sw.alias("sxx"), a_swx.alias("sxy")))
-    long = sides.select(*keys, "rep", F.inline(F.array(*structs))).where(F.col("n") > 0)
-    return fit_from_sums(long, ROLLING, [*keys, "metric"])
+    long = sides.select(*keys, "rep", F.inline(F.array(*structs)))
+    return fit_from_sums(long, ROLLING, [*keys, "metric"]).where(F.col("n") > 0)
 
 
 def check_glm(spark, sf_dir):
@@ -821,10 +821,10 @@ register("check_published", _check_published_sql())(check_published)
 @register("incremental_weeks", _sql(f"""
 , r as (select week, state, cbsa_title, race, inc_loss as x, rep, ({O.rep_weight_sql()}) * 0.5 as w
         from est cross join range(0, {K.N_REPLICATES + 1}) t(rep)),
-c as (select week, 'state' as geo_type, state as geography, race, rep, count(x) as n,
+c as (select week, 'state' as geo_type, state as geography, race, rep, count(x) filter (rep = 0) as n,
              sum(case when x is not null then w end) as sw, sum(w * x) as swx from r group by all
       union all
-      select week, 'msa', cbsa_title, race, rep, count(x), sum(case when x is not null then w end), sum(w * x)
+      select week, 'msa', cbsa_title, race, rep, count(x) filter (rep = 0), sum(case when x is not null then w end), sum(w * x)
       from r group by week, cbsa_title, race, rep)
 select week, geo_type, cast(rep as int) as rep, count(*) as cube_rows, cast(sum(n) as bigint) as n,
        round(coalesce(sum(sw), 0), 9) as sw, round(coalesce(sum(swx), 0), 9) as swx
