@@ -100,11 +100,12 @@ def estimate(df: DataFrame, design: ReplicateDesign = ROLLING,
     geos = (gc.where(~F.col("by_race") & F.col("geo_type").isin("state", "msa")
                      & F.col("geography").isNotNull() & (F.col("rep") == 0))
             .select("geo_type", "geography").distinct())
-    geo_est = E.race_vs_rest(gc, design).where(F.col("geo_type") != "national") \
-        .unionByName(E.geo_vs_rest(gc, design, null_geo))
+    # states, metros and the nation in one pass; both tables below read it
+    race = materialize(E.race_vs_rest(gc, design), "race")
+    geo_est = race.where(F.col("geo_type") != "national").unionByName(E.geo_vs_rest(gc, design, null_geo))
     geo = fill_grid(_grid(geos, n, metrics, K.RACE_INDICATORS), geo_est, keys)
     us = gc.sparkSession.createDataFrame([("national", "US")], "geo_type string, geography string")
-    nat_est = E.race_vs_rest(gc, design).where(F.col("geo_type") == "national")
+    nat_est = race.where(F.col("geo_type") == "national")
     national = fill_grid(_grid(us, n, metrics, K.RACE_GROUPS), nat_est, keys)
     return Estimates(geo=geo, national=national, us_total=E.us_total(gc, design), n_weeks=n, cube=gc)
 
