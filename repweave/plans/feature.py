@@ -67,11 +67,10 @@ def geo_cube_of(df: DataFrame, design: ReplicateDesign = ROLLING,
     return gc, n
 
 
-def _grid(geos: DataFrame, n_weeks: int, metrics: list[str],
+def _grid(geos: DataFrame, starts: list[int], metrics: list[str],
           races: list[str]) -> DataFrame:
     """Metric x race x geography x interval, generated by exploding literal
     arrays on the (small, distinct) geography list -- no cross join."""
-    starts = list(range(1, n_weeks))
     return (geos
             .withColumn("interval_start", F.explode(F.array(*[F.lit(s) for s in starts])))
             .withColumn("metric", F.explode(F.array(*[F.lit(m) for m in metrics])))
@@ -91,25 +90,44 @@ def fill_grid(grid: DataFrame, est: DataFrame, keys: list[str]) -> DataFrame:
     })
 
 
-def estimate(df: DataFrame, design: ReplicateDesign = ROLLING,
-             metrics: list[str] = K.METRICS, n_weeks: int | None = None,
-             null_geo: str = "keep") -> Estimates:
-    """A13 + A14 + A10 on estimation-input rows (see plans.prepare.estimation_input)."""
-    gc, n = geo_cube_of(df, design, metrics, n_weeks)
+def estimate_from_geo_cube(gc: DataFrame, n: int, design: ReplicateDesign, metrics: list[str], null_geo: str = "keep",
+                           geos: DataFrame | None = None, intervals: list[int] | None = None) -> Estimates:
+    """The estimates of a materialised geo cube, for the whole grid or some of its intervals; ``geos``
+    (geo_type, geography) are the grid's places, those of the cube if not given."""
     keys = ["interval_start", "metric", "geo_type", "geography", "race_indicator"]
-    geos = (gc.where(~F.col("by_race") & F.col("geo_type").isin("state", "msa")
-                     & F.col("geography").isNotNull() & (F.col("rep") == 0))
-            .select("geo_type", "geography").distinct())
+    if geos is None:
+        geos = (gc.where(~F.col("by_race") & F.col("geo_type").isin("state", "msa")
+                         & F.col("geography").isNotNull() & (F.col("rep") == 0))
+                .select("geo_type", "geography").distinct())
+    starts = intervals if intervals is not None else list(range(1, n))
     # states, metros and the nation in one pass; both tables below read it
     race = materialize(E.race_vs_rest(gc, design), "race")
     geo_est = race.where(F.col("geo_type") != "national").unionByName(E.geo_vs_rest(gc, design, null_geo))
-    geo = fill_grid(_grid(geos, n, metrics, K.RACE_INDICATORS), geo_est, keys)
+    geo = fill_grid(_grid(geos, starts, metrics, K.RACE_INDICATORS), geo_est, keys)
     us = gc.sparkSession.createDataFrame([("national", "US")], "geo_type string, geography string")
     nat_est = race.where(F.col("geo_type") == "national")
-    national = fill_grid(_grid(us, n, metrics, K.RACE_GROUPS), nat_est, keys)
+    national = fill_grid(_grid(us, starts, metrics, K.RACE_GROUPS), nat_est, keys)
     return Estimates(geo=geo, national=national, us_total=E.us_total(gc, design), n_weeks=n, cube=gc)
 
 
+def estimate(df: DataFrame, design: ReplicateDesign = ROLLING,
+             metrics: list[str] = K.METRICS, n_weeks: int | None = None,
+             null_geo: str = "keep") -> Estimates:
+    """A13 + A14 + A10 on estimation-input rows (see plans.prepare.estimation_input)."""
+    gc, n = geo_cube_of(df, design, metrics, n_weeks)
+    return estimate_from_geo_cube(gc, n, design, metrics, null_geo)
+
+
+def estimate_cube(wcube: DataFrame, n_weeks: int, design: ReplicateDesign = ROLLING, null_geo: str = "keep",
+                  geos: DataFrame | None = None, intervals: list[int] | None = None) -> Estimates:
+    """The same from a stored week cube, as far as ``intervals`` go."""
+    from repweave.operators.cube import metrics_of
+    gc = E.geo_cube_from_weeks(wcube, n_weeks)
+    if intervals is not None:
+        gc = gc.where(F.col("interval_start").isin(intervals))
+    return estimate_from_geo_cube(materialize(gc, "geo-cube"), n_weeks, design, metrics_of(wcube), null_geo, geos, intervals)
+
+
 def date_labels(spark: SparkSession) -> DataFrame:
     """Interval -> published date range (fixed 11 rows)."""
     return spark.createDataFrame(K.INTERVAL_DATES, "week_num string, date_int string")
@@ -119,7 +137,7 @@ FEATURE_COLS = ["metric", "race_var", "week_num", "geography", "mean", "se", "ge
                 "moe_95", "moe_95_lb", "moe_95_ub", "sigdiff", "date_int"]
 
 
-def feature_table(est: Estimates, sort: bool = True) -> DataFrame:
+def feature_table(est: Estimates, sort: bool = True, keep_interval: bool = False) -> DataFrame:
     """The published table."""
     def two_sided(d: DataFrame) -> DataFrame:
         return (d.withColumns(margins(F.col("mean"), F.col("se")))
@@ -138,4 +156,4 @@ def feature_table(est: Estimates, sort: bool = True) -> DataFrame:
     out = out.select(*cols)
     if sort:
         out = out.orderBy("metric", "race_var", "geography", "interval_start")
-    return out.drop("interval_start")
+    return out if keep_interval else out.drop("interval_start")

@@ -336,13 +336,13 @@ register("contrast_race_us", O.estimates_sql(["us_race"]))(_contrast(
 FEATURE_DOUBLES = ["mean", "se", "moe_95", "moe_95_lb", "moe_95_ub"]
 
 
-def _feature_sql(final: str) -> str:
+def _feature_sql(final: str, metrics: list[str] = K.METRICS) -> str:
     fams = ["state_race", "msa_race", "us_race", "state_total", "msa_total"]
     two = " union all ".join(
         f"select metric, race_indicator as race_var, week_num, geography, mean, se, geo_type, "
         f"diff_mean, diff_se from {n}_out" for n in fams)
     dates = ", ".join(f"({O._sq(a)}, {O._sq(b)})" for a, b in K.INTERVAL_DATES)
-    return ("with " + O.families_sql(fams, cube=True) + "," + O.us_total_ctes(cube=True) + f""",
+    return ("with " + O.families_sql(fams, metrics, cube=True) + "," + O.us_total_ctes(metrics, cube=True) + f""",
 rows2 as ({two}),
 feat as (
   select metric, race_var, week_num, geography, mean, se, geo_type,
@@ -830,23 +830,51 @@ select week, geo_type, cast(rep as int) as rep, count(*) as cube_rows, cast(sum(
        round(coalesce(sum(sw), 0), 9) as sw, round(coalesce(sum(swx), 0), 9) as swx
 from c group by week, geo_type, rep"""))
 def incremental_weeks(spark, sf_dir):
-    """All but the latest week and a part of it are delivered, then the rest of the latest
-    week, then that rest again. Every replicate of the stored cube counts each row once."""
+    """A delivery with weeks that it has no more when it is delivered again, the latest week in two parts, one
+    of them twice, and the last weeks by files, read by two checkpoints. Each row counts once."""
     import uuid
     from repweave.session import checkpoint_dir
-    from repweave.streaming.incremental import deliver, stored_cube
-    store = f"{checkpoint_dir(spark).rstrip('/')}/repweave-incremental-{uuid.uuid4().hex}"
+    from repweave.streaming.incremental import deliver, refresh_stream, stored_cube
+    base = f"{checkpoint_dir(spark).rstrip('/')}/repweave-incremental-{uuid.uuid4().hex}"
+    store = f"{base}/store"
     ei = est_input(spark, sf_dir)
     n = current_week(T.raw_microdata(spark, sf_dir).select("week"))
     late = (F.col("week") == n) & (F.col("rrace") > 2)
+    early = F.col("week") < n - 1
     deliver(ei.where(~late), store, "first")
+    deliver(ei.where(early), store, "first")
     for _ in range(2):
         deliver(ei.where(late), store, "rest")
+    ei.where(~early & ~late).coalesce(2).write.parquet(f"{base}/drops")
+    for checkpoint in ("one", "two"):
+        refresh_stream(spark, f"{base}/drops", ei.schema, store, f"{base}/{checkpoint}", lambda df: df).awaitTermination()
     return (stored_cube(spark, store).groupBy("week", "geo_type", "rep")
             .agg(F.count(F.lit(1)).alias("cube_rows"), F.sum("n__inc_loss").alias("n"),
                  F.sum("sw__inc_loss").alias("sw"), F.sum("swx__inc_loss").alias("swx")))
 
 
+REFRESHED = ["inc_loss", "food_insufficient"]
+
+
+@register("refresh_estimates", _feature_sql(
+    "select " + O.rounded(FT.FEATURE_COLS, FEATURE_DOUBLES) + " from ft", REFRESHED))
+def refresh_estimates_q(spark, sf_dir):
+    """A feature table of two metrics, estimated from the store without the latest week and a part of
+    the week before, then brought up to date: only the intervals of those weeks are estimated again."""
+    import uuid
+    from repweave.session import checkpoint_dir
+    from repweave.streaming.incremental import deliver, refresh_estimates
+    base = f"{checkpoint_dir(spark).rstrip('/')}/repweave-refresh-{uuid.uuid4().hex}"
+    ei = est_input(spark, sf_dir)
+    n = current_week(T.raw_microdata(spark, sf_dir).select("week"))
+    late = (F.col("week") == n) | (F.col("week") == n - 1) & (F.col("rrace") > 2)
+    deliver(ei.where(~late), f"{base}/store", "first", metrics=REFRESHED)
+    refresh_estimates(spark, f"{base}/store", f"{base}/table")
+    deliver(ei.where(late), f"{base}/store", "rest", metrics=REFRESHED)
+    refresh_estimates(spark, f"{base}/store", f"{base}/table")
+    return spark.read.parquet(f"{base}/table").select(*FT.FEATURE_COLS)
+
+
 _ANY = " union all ".join(f"select week, '{m}' as metric from est where {m} is not null" for m in K.METRICS)
 
 
