@@ -86,13 +86,23 @@ def read_back(formatted: Column) -> Column:
         lambda x: F.struct(read_role(F.substring_index(b, "\n", 1)).alias("role"), unescape(x).alias("text")))))
 
 
-def digests(formatted: DataFrame, id_col: str = "conv_id", learnt_role: str = LEARNT_ROLE) -> DataFrame:
-    """What the formatted strings hold, read back from them."""
+def under_mask(formatted: Column, runs: Column) -> Column:
+    """The text under the loss mask, unescaped: each masked run is cut out of the string by its running offset."""
+    spans = F.aggregate(
+        runs, F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<at:bigint,chars:bigint>>").alias("spans")),
+        lambda acc, r: F.struct((acc["at"] + r["chars"]).alias("at"), F.when(r["in_loss"], F.array_append(
+            acc["spans"], F.struct(acc["at"].alias("at"), r["chars"].alias("chars")))).otherwise(acc["spans"]).alias("spans")),
+        lambda acc: acc["spans"])
+    return F.array_join(F.transform(spans, lambda s: unescape(
+        F.substr(formatted, (s["at"] + 1).cast("int"), s["chars"].cast("int")))), "")
+
+
+def digests(formatted: DataFrame, id_col: str = "conv_id") -> DataFrame:
+    """What the formatted strings hold, read back from them: the turns, and the text under the loss mask."""
     turns = formatted.withColumn("turns", read_back(F.col("formatted")))
     told = F.array_join(F.transform("turns", lambda t: F.concat(
         F.coalesce(t["role"], F.lit("")), F.lit("\n"), t["text"], F.lit("\n"))), "")
-    loss = F.array_join(F.transform(F.filter("turns", lambda t: t["role"] == learnt_role), lambda t: t["text"]), "")
-    return turns.withColumn("loss", loss).select(
+    return turns.withColumn("loss", under_mask(F.col("formatted"), F.col("loss_runs"))).select(
         id_col, F.size("turns").cast("long").alias("n_turns"), F.sha2(told, 256).alias("turns_sha256"),
         F.char_length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
         F.char_length("formatted").cast("long").alias("formatted_chars"), "n_blocks")

@@ -9,6 +9,7 @@ import uuid
 import pyarrow as pa
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from repweave.session import checkpoint_dir
 
@@ -74,6 +75,34 @@ def texts(column: pa.Array | pa.ChunkedArray) -> list[str]:
     return [x or "" for x in column.to_pylist()]
 
 
+def column_index(schema: pa.Schema, name: str) -> int:
+    """The place of a column, found as Spark finds it: exactly, or else in any case."""
+    at = schema.get_field_index(name)
+    return at if at >= 0 else [n.lower() for n in schema.names].index(name.lower())
+
+
+def hashable(df: DataFrame) -> list:
+    """All columns of a frame and which of them are NULL, as expressions that can be hashed (maps as JSON)."""
+    cells = []
+    for c, kind in df.dtypes:
+        cell = F.col(f"`{c}`")
+        cells += [F.to_json(F.struct(cell)) if "map<" in kind or "variant" in kind else cell, cell.isNull()]
+    return cells
+
+
+def relengthened(rb: pa.RecordBatch, text_col: str, chars_col: str | None, changed: dict[int, str]) -> pa.RecordBatch:
+    """The batch with some texts replaced, and ``chars_col`` of those rows alone."""
+    if not changed:
+        return rb
+    for name, value in ((text_col, lambda t: t), (chars_col, len)):
+        if name:
+            values = rb.column(column_index(rb.schema, name)).to_pylist()
+            for i, t in changed.items():
+                values[i] = value(t)
+            rb = replaced(rb, name, values)
+    return rb
+
+
 def batch(schema: pa.Schema, columns: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [c if isinstance(c, (pa.Array, pa.ChunkedArray)) else pa.array(c, type=f.type)
@@ -82,7 +111,7 @@ def batch(schema: pa.Schema, columns: list) -> pa.RecordBatch:
 
 def replaced(rb: pa.RecordBatch, name: str, values: list) -> pa.RecordBatch:
     """The batch with one column's values replaced, all other columns as they came."""
-    i = rb.schema.get_field_index(name)
+    i = column_index(rb.schema, name)
     columns = list(rb.columns)
     columns[i] = pa.array(values, type=rb.schema.field(i).type)
     return pa.RecordBatch.from_arrays(columns, schema=rb.schema)

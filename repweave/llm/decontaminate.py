@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from repweave.llm.common import batch, bounded_batches, raw, read_file, replaced, shared_path, write_file
+from repweave.llm.common import batch, bounded_batches, column_index, raw, read_file, relengthened, shared_path, write_file
 
 WINDOW = 10
 MAX_COVERAGE = 0.5
@@ -263,23 +263,19 @@ def remove_spans(text: bytes, mask: np.ndarray) -> bytes:
 def clean(docs: DataFrame, paths: list[str], text_col: str = "text", chars_col: str | None = None,
           max_coverage: float = MAX_COVERAGE) -> DataFrame:
     """The documents without contaminated spans; those with a larger hit share than
-    ``max_coverage`` go. All columns stay; ``chars_col`` gets the new length."""
+    ``max_coverage`` go. All columns stay; ``chars_col`` gets the new length where a text changed."""
     bounded_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rb in batches:
-            values = rb.column(rb.schema.get_field_index(text_col)).to_pylist()
-            keep, changed = [], False
+            values = rb.column(column_index(rb.schema, text_col)).to_pylist()
+            keep, changed = [], {}
             for i, (n, mask, _) in enumerate(_judge([(v or "").encode() for v in values], paths)):
                 share = 0.0 if mask is None else mask.sum() / n
                 keep.append(share <= max_coverage)
                 if mask is not None and keep[-1]:
-                    values[i] = remove_spans(values[i].encode(), mask).decode()
-                    changed = True
-            if changed:
-                rb = replaced(rb, text_col, values)
-                if chars_col:
-                    rb = replaced(rb, chars_col, [None if v is None else len(v) for v in values])
+                    changed[i] = remove_spans(values[i].encode(), mask).decode()
+            rb = relengthened(rb, text_col, chars_col, changed)
             yield rb if all(keep) else rb.filter(pa.array(keep))
 
     return docs.mapInArrow(run, docs.schema)

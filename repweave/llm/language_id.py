@@ -13,8 +13,7 @@ A class for no known language has a uniform likelihood over trigrams. A document
 if that class wins or no language reaches ``min_confidence``.
 
 The trigram model is fitted on a bounded sample: about ``sample`` rows for each declared
-language, chosen by a hash of the id. Each language that ``MIN_ROWS`` rows declare (in small tables
-``MIN_SHARE`` of the rows that declare one, if that is less) has a model, if its sample has
+language, chosen by a hash of the id. Each language that ``MIN_ROWS`` rows declare has a model, if its sample has
 letters. Counts for hosts and suffixes cover all rows.
 
 A row that declares a language without a model is not rejected for that: the class for no
@@ -42,7 +41,7 @@ BUCKETS = 1 << 15
 EFFECTIVE = 64
 SAMPLE = 1500
 #: Rows that declare a language with a model: so many, or this share of a small table.
-MIN_ROWS, MIN_SHARE = 20, 0.005
+MIN_ROWS = 20
 DECLARED_RIGHT = 0.9
 UNKNOWN_PRIOR = 0.01
 HOST_WEIGHT, SUFFIX_WEIGHT = 20.0, 50.0
@@ -68,9 +67,8 @@ def trigrams(text: str) -> np.ndarray:
 
 def _declared_languages(rows: DataFrame) -> dict[str, int]:
     counts = rows.where(F.col("declared").isNotNull()).groupBy("declared").agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg(F.sum("n").alias("n")).first()["n"] or 0
     # a row per language with a model reaches the driver
-    return {r["declared"]: r["n"] for r in counts.where(F.col("n") >= F.lit(min(MIN_ROWS, MIN_SHARE * total))).collect()}
+    return {r["declared"]: r["n"] for r in counts.where(F.col("n") >= MIN_ROWS).collect()}
 
 
 def fit(rows: DataFrame, sample: int = SAMPLE) -> tuple[list[str], np.ndarray]:
@@ -115,12 +113,12 @@ def identify(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", decl
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("body"),
                      F.lower(pick(declared)).alias("declared"), F.coalesce(F.lower(pick(host)), F.lit("")).alias("host"),
                      F.coalesce(F.lower(pick(suffix)), F.lit("")).alias("suffix"),
-                     (F.lit(None) if key is None else key).cast("long").alias("key"))
+                     (F.lit(None) if key is None else key).cast("string").alias("key"))
     languages, logp = fit(rows, sample)
     k = len(languages)
     unknown = -float(np.log(BUCKETS))
     fields = [("id", pa.int64()), ("declared", pa.string()), ("host", pa.string()), ("suffix", pa.string()),
-              ("key", pa.int64()), ("guess", pa.int32()), ("evidence", pa.list_(pa.float64()))]
+              ("key", pa.string()), ("guess", pa.int32()), ("evidence", pa.list_(pa.float64()))]
     schema = pa.schema(fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,7 +139,7 @@ def identify(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", decl
                  pa.array(guess, pa.int32()), pa.array(evidence, pa.list_(pa.float64()))], schema=schema)
 
     scored = materialise(rows.select("id", "body", "declared", "host", "suffix", "key").mapInArrow(
-        run, "id long, declared string, host string, suffix string, key long, guess int, evidence array<double>"),
+        run, "id long, declared string, host string, suffix string, key string, guess int, evidence array<double>"),
         "language")
     if not k:
         alone = F.col("evidence").isNotNull() & F.col("declared").isNotNull()
@@ -198,12 +196,15 @@ def identify(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", decl
 def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", declared_col: str = "lang",
                     host_col: str = "source") -> DataFrame:
     """The documents whose language is identified, with all their columns. Rows are told
-    apart by a hash of what the verdict rests on, so equal rows share it."""
-    key = F.xxhash64(id_col, text_col, declared_col, host_col)
+    apart by two hashes of what the verdict rests on, so equal rows share it."""
+    parts = [x for c in (id_col, text_col, declared_col, host_col) for x in (docs[c], docs[c].isNull())]
+    key = F.concat_ws("-", F.xxhash64(F.lit(1), *parts), F.xxhash64(F.lit(2), *parts))
     host = F.col(host_col)
     verdict = identify(docs, id_col, text_col, F.col(declared_col), host, suffix_of(host), key=key)
-    gone = verdict.where("rejected").select(F.col("key").alias("__gone")).distinct()
-    return docs.join(gone, key == F.col("__gone"), "left_anti")
+    gone = verdict.where("rejected").select("key").distinct()
+    # the columns stand in a struct, so no name can clash
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), key.alias("key"))
+    return rows.join(gone, "key", "left_anti").select("doc.*")
 
 
 def suffix_of(host: Column) -> Column:

@@ -22,6 +22,7 @@ id and the text column are read, so other columns never clash.
 from __future__ import annotations
 
 import heapq
+import json
 import os
 import re
 import zlib
@@ -52,14 +53,27 @@ _ODD = re.compile(r"[^\t-\r -&(-~À-ÖØ-öø-ÿ]")
 _RUN = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9\s]+")
 
 
+# FIXED VALUES: the normaliser and pre-tokeniser, as tokenizer files write them, that cut as the patterns above do.
+RUN_SPEC = (
+    {"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+         "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]})
+
+
 class WordTokenizer:
-    """Token ids of whole texts as little-endian 32-bit bytes, by a tokenizer whose
-    pre-tokeniser never joins across ASCII white space; the ids of runs and words are remembered."""
+    """Token ids of whole texts as little-endian 32-bit bytes. With a tokenizer of ``RUN_SPEC`` the ids of
+    runs and words are remembered; any other one is given whole texts."""
 
     def __init__(self, path: str, cache_words: int = CACHE_WORDS):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        # the cut into remembered runs is exact for this normaliser and pre-tokeniser alone; others get whole texts
+        spec = json.loads(self.tokenizer.to_str())
+        self.by_runs = (spec["normalizer"], spec["pre_tokenizer"]) == RUN_SPEC
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         vocab = self.tokenizer.get_vocab()
         self.ends_word = np.zeros(max(vocab.values()) + 1, dtype=bool)
@@ -98,6 +112,8 @@ class WordTokenizer:
 
     def ids(self, many: list[str]) -> list[bytes]:
         """The ids of each text, without special tokens added."""
+        if not self.by_runs:
+            return self._encode(many)
         out: list[bytes] = [b""] * len(many)
         plain, other = [], []
         for i, x in enumerate(many):

@@ -25,7 +25,7 @@ from itertools import repeat
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from repweave.llm.common import batch, bounded_batches, replaced, texts
+from repweave.llm.common import batch, bounded_batches, column_index, relengthened, texts
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -379,12 +379,8 @@ def redact(docs: DataFrame, text_col: str = "text", chars_col: str | None = None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rb in batches:
-            values = rb.column(rb.schema.get_field_index(text_col)).to_pylist()
+            values = rb.column(column_index(rb.schema, text_col)).to_pylist()
             new = [v if v is None else redacted(v) for v in values]
-            if new != values:
-                rb = replaced(rb, text_col, new)
-                if chars_col:
-                    rb = replaced(rb, chars_col, [None if v is None else len(v) for v in new])
-            yield rb
+            yield relengthened(rb, text_col, chars_col, {i: n for i, (n, v) in enumerate(zip(new, values)) if n != v})
 
     return docs.mapInArrow(run, docs.schema)

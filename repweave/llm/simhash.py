@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from repweave.llm.common import batch, bounded_batches, materialise, raw
+from repweave.llm.common import batch, bounded_batches, hashable, materialise, raw
 from repweave.llm.components import connected_components
 
 SHINGLE = 3
@@ -242,18 +242,16 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shi
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                 max_distance: int = MAX_DISTANCE) -> DataFrame:
-    """The documents, one of each component: that with the smallest id. Of rows of a component
+    """The documents, one of each component: that with the smallest id, NULL ids last. Of rows of a component
     that share that id, the one with the smallest hash of all columns stays, once. Rows are chosen
-    by component, so equal ids in different components lose nothing. Of a component's rows with
-    a NULL id, one stays beside that with the smallest id."""
-    # two hashes of all columns and of which are NULL name a row
-    cells = [x for c in docs.columns for x in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())]
-    rows = docs.withColumns({"__row": F.xxhash64(F.lit(1), *cells), "__row2": F.xxhash64(F.lit(2), *cells)})
-    prints = materialise(fingerprints(rows, id_col, text_col, shingle, ("__row", "__row2")), "prints")
-    least = F.min(F.struct("doc_id", "__row", "__row2")).alias("best")
-    of_print = prints.groupBy("fp", F.isnull("doc_id").alias("bare")).agg(least)
-    kept = (of_print.join(_rooted(prints, max_distance).select("fp", "root"), "fp").groupBy("root", "bare")
-            .agg(F.min("best").alias("best")).select("best.__row", "best.__row2"))
+    by component, so equal ids in different components lose nothing."""
+    # the columns stand in a struct, so no name can clash; two hashes of all of them name a row
+    cells = hashable(docs)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), docs[id_col].alias("id"),
+                       docs[text_col].alias("body"), F.xxhash64(F.lit(1), *cells).alias("row1"), F.xxhash64(F.lit(2), *cells).alias("row2"))
+    prints = materialise(fingerprints(rows, "id", "body", shingle, ("row1", "row2")), "prints")
+    of_print = prints.groupBy("fp").agg(F.min(F.struct(F.isnull("doc_id").alias("bare"), "doc_id", "row1", "row2")).alias("best"))
+    kept = (of_print.join(_rooted(prints, max_distance).select("fp", "root"), "fp").groupBy("root")
+            .agg(F.min("best").alias("best")).select("best.row1", "best.row2"))
     # equal rows meet in each task first, so many copies of one row reach the join as few
-    return rows.dropDuplicates(["__row", "__row2"]).join(kept, ["__row", "__row2"], "left_semi").select(
-        *[F.col(f"`{c}`") for c in docs.columns])
+    return rows.select("doc", "row1", "row2").dropDuplicates(["row1", "row2"]).join(kept, ["row1", "row2"], "left_semi").select("doc.*")

@@ -6,7 +6,7 @@ how long a negation still reaches, one what was insulted or threatened and wheth
 in the clause. Their product is compiled once to one table; at a clause end it puts out the
 clause's pattern (threat at a target, insult at a target, threat, insult, reported, negated)
 or nothing. A document's score is a logistic function of how often each pattern
-matched (at most ``REPEATS`` count), so matched clauses are scored, not words.
+matched (by doublings: once, three times, seven times, ...), so matched clauses are scored, not words.
 
 Insult words come from a fixed list and from labels: word beginnings and whole words that
 stand in toxic documents far more than in others (likelihood ratio and lift), so that inflected
@@ -36,7 +36,6 @@ from repweave.llm.common import batch, bounded_batches, materialise, texts
 
 FOLDS = 5
 SAMPLE = 20_000
-REPEATS = 3
 BEGINNINGS = range(4, 8)
 MIN_EVIDENCE, MIN_LIFT, MIN_DOCS = 25.0, 20.0, 3
 CACHED_WORDS = 500_000
@@ -243,9 +242,9 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             yield batch(schema, [rb.column(0), [match(t, symbols) for t in texts(rb.column(1))]])
 
     matched = materialise(rows.mapInArrow(run, "id long, clauses array<int>"), "clauses")
-    capped = [F.least(F.col("clauses")[i], F.lit(REPEATS)).alias(f"c{i}") for i in range(len(PATTERNS))]
-    # a row per combination of counts: at most (REPEATS + 1) ** 6
-    cells = (matched.select("id", *capped).join(known.groupBy("id").agg(F.max("toxic").alias("toxic")), "id")
+    # how often a pattern matched counts by doublings, so there are few combinations of them
+    doublings = [F.floor(F.log2(1.0 + F.col("clauses")[i])).cast("int").alias(f"c{i}") for i in range(len(PATTERNS))]
+    cells = (matched.select("id", *doublings).join(known.groupBy("id").agg(F.max("toxic").alias("toxic")), "id")
              .groupBy(*[f"c{i}" for i in range(len(PATTERNS))])
              .agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("toxic")).collect())
     weights = PRIOR
@@ -254,7 +253,7 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                               np.array([c["toxic"] for c in cells], float))
     z = F.lit(float(weights[0]))
     for i in range(len(PATTERNS)):
-        z = z + float(weights[i + 1]) * F.least(F.col("clauses")[i], F.lit(REPEATS))
+        z = z + float(weights[i + 1]) * doublings[i]
     value = F.round(1 / (1 + F.exp(-z)), 9)
     return matched.select(F.col("id").alias("doc_id"), held_out(F.col("id")).alias("held_out"), value.alias("score"),
                           (value >= 0.5).cast("int").alias("predicted"), "clauses")

@@ -129,10 +129,14 @@ def build(keys: DataFrame, shard_keys: int = SHARD_KEYS) -> tuple[str, int]:
     spark = keys.sparkSession
     folder = shared_path(spark, "cascade")
     shards = max(1, -(-keys.count() // shard_keys))
-    dealt = keys.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)).cast("int"))
+    dealt = keys.select("key", "listed", F.pmod(F.xxhash64("key"), F.lit(shards)).cast("int").alias("shard"))
+    # a row without key in every shard: a shard without keys has a file, too, and a missing file is an error
+    empty = spark.range(shards).select(F.lit(None).cast("string").alias("key"), F.lit(False).alias("listed"), F.col("id").cast("int").alias("shard"))
+    dealt = dealt.unionByName(empty)
 
     def make(number, part):
         import pandas as pd
+        part = part[part["key"].notna()]
         hashes = np.array([key_hash(k) for k in part["key"]], dtype=np.uint64)
         listed = part["listed"].to_numpy(dtype=bool)
         inside, outside = np.unique(hashes[listed]), np.unique(hashes[~listed])
@@ -153,10 +157,7 @@ def _shard(path: str) -> list[Bloom]:
     if path in _SHARDS:
         _SHARDS.move_to_end(path)
     else:
-        try:
-            _SHARDS[path] = pickle.loads(read_file(path))
-        except FileNotFoundError:  # no key fell into that shard
-            _SHARDS[path] = []
+        _SHARDS[path] = pickle.loads(read_file(path))
         while len(_SHARDS) > HELD_SHARDS:
             _SHARDS.popitem(last=False)
     return _SHARDS[path]

@@ -205,6 +205,10 @@ def write(pages: DataFrame, folder: str | None = None, id_col: str = "page_id",
     return materialise(typed.mapInArrow(run, INDEX), "warc-index")
 
 
+#: Compressed bytes that one task reads back.
+READ_BYTES = 128 << 20
+
+
 def read(archives: DataFrame, archive_col: str = "archive") -> DataFrame:
     """All records of the archives named in a frame. Payloads of responses are digested and
     held against their header; a revisit's size and digest are those of its response."""
@@ -232,7 +236,11 @@ def read(archives: DataFrame, archive_col: str = "archive") -> DataFrame:
                                 _page_id(header["WARC-Refers-To"]) if kind == "revisit" else None, path, frame, offset))
                 yield batch(RECORDS_ARROW, [list(c) for c in zip(*out, strict=True)])
 
-    dealt = listed.mapInArrow(frames, "archive string, frame int, at long, size long").repartition("archive", "frame")
+    table = materialise(listed.mapInArrow(frames, "archive string, frame int, at long, size long"), "warc-frames")
+    size = table.agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes")).first()
+    # a stated number of tasks: adaptive execution would merge the tiny rows that name large frames
+    tasks = max(1, min(size["n"], table.sparkSession.sparkContext.defaultParallelism), -(-(size["bytes"] or 0) // READ_BYTES))
+    dealt = table.repartition(tasks, "archive", "frame")
     found = materialise(dealt.mapInArrow(records, RECORDS), "warc-records")
     sizes = (found.where("record_type = 'response' and page_id is not null").groupBy("page_id", "payload_digest")
              .agg(F.max("payload_bytes").alias("size"))

@@ -65,3 +65,12 @@ def test_long_conversation(spark):
     d = chat.digests(chat.format_conversations(rows)).first()
     assert d["n_turns"] == 5000 and d["loss_sha256"] == hashlib.sha256(
         "".join(f"t{i}" for i in range(5000) if i % 3).encode()).hexdigest()
+
+
+def test_loss_text_comes_from_the_mask(spark):
+    made = chat.format_conversations(frame(spark, [(1, 0, "user", "asked"), (1, 1, "assistant", "told")]))
+    assert "in_loss" in chat.digests(made)._jdf.queryExecution().optimizedPlan().toString()
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    assert chat.digests(made).first()["loss_sha256"] == sha("told")
+    turned = made.withColumn("loss_runs", F.transform("loss_runs", lambda r: F.struct(r["chars"], (~r["in_loss"]).alias("in_loss"))))
+    assert chat.digests(turned).first()["loss_sha256"] != sha("told")

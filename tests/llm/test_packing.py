@@ -99,3 +99,13 @@ def test_registered_query_is_whole_and_little_padded(spark, tokenizer):
             for r in spark.read.parquet(f"{SF001}/documents.parquet").collect()}
     fill = check_pieces(got, want, 4096)
     assert sum(4096 - n for n in fill if n & (n - 1)) <= 0.05 * sum(fill)
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_ids_of_any_tokenizer_are_its_own(name):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    texts = ["Hello World  Again", "it's 12 o'clock\n\tNow", "\u00c4rger \u4e2d\u6587 e\u0301", ""]
+    plain = Tokenizer.from_file(public_tokenizers.path(name))
+    got = packing.WordTokenizer(public_tokenizers.path(name)).ids(texts)
+    assert [np.frombuffer(g, dtype="<u4").tolist() for g in got] == [plain.encode(t, add_special_tokens=False).ids for t in texts]

@@ -47,3 +47,26 @@ def test_empty_table(spark, docs, tmp_path):
     spark.createDataFrame([], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     docs([(1, "a")]).limit(0).write.parquet(str(tmp_path / "documents.parquet"))
     assert C.run(spark, str(tmp_path)).count() == 0
+
+
+def test_any_columns_pass_the_stages(spark, docs, tmp_path):
+    from pyspark.sql import functions as F
+    df, item = planted(docs)
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    clash = {c: F.concat(F.lit(f"{c} of "), F.col("doc_id").cast("string")) for c in
+             ("__gone", "__row", "__row2", "row1", "row2", "doc", "body", "key", "id", "KEY2", "root", "best", "a b")}
+    df = df.drop("key", "id", "body").withColumns(clash).withColumn("tags", F.create_map(F.lit("x"), F.col("doc_id"))).withColumnRenamed("text", "Text")
+    now = df
+    for _, stage in C.STAGES[:-1]:
+        now = stage(spark, now, str(tmp_path))
+        assert now.columns == df.columns
+        for r in now.select("doc_id", "tags", *[f"`{c}`" for c in clash]).collect():
+            assert r["tags"] == {"x": r["doc_id"]} and all(r[c] == f"{c} of {r['doc_id']}" for c in clash)
+    assert now.count() > 55
+
+
+def test_lengths_change_with_their_own_text_alone(spark):
+    from repweave.llm import pii
+    df = spark.createDataFrame([(1, "plain", 99), (2, "mail jo@example.com now", 99)], "doc_id long, text string, n_chars long").coalesce(1)
+    got = {r["doc_id"]: (r["text"], r["n_chars"]) for r in pii.redact(df, chars_col="n_chars").collect()}
+    assert got[1] == ("plain", 99) and got[2][1] == len(got[2][0]) != 99

@@ -55,6 +55,12 @@ def test_verdicts_equal_brute_force(spark, shard_keys):
     assert U.judge(pages.limit(0), folder, shards).count() == 0
 
 
+def test_a_lost_shard_is_an_error(spark):
+    pages = spark.createDataFrame([(1, "http://casino-x.net/")], "page_id long, url string")
+    with pytest.raises(Exception, match="FileNotFoundError"):
+        U.judge(pages, "/tmp/no-such-folder", 1).collect()
+
+
 def test_empty_list_and_universe(spark):
     none = spark.createDataFrame([], "page_id long, url string")
     folder, shards = U.build(U.listed_by_words(U.universe(none)))

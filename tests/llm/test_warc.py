@@ -63,3 +63,12 @@ def test_round_trip(spark):
 
 def test_empty_table(spark):
     assert warc.read(warc.write(pages(spark, some_pages()).limit(0))).count() == 0
+
+
+def test_small_frames_are_read_by_more_than_one_task(spark):
+    rows = [(i, "http://a/b", f"<p>{i} " + "".join(random.Random(i).choices("abcdefgh", k=900)) + "</p>") for i in range(240)]
+    index = warc.write(pages(spark, rows), frame_bytes=9_000)
+    assert index.select("archive", "frame").distinct().count() >= 24
+    found = warc.read(index)
+    assert found.count() == 240
+    assert len({f for f in found.inputFiles()}) > 1
