@@ -10,8 +10,10 @@ With theta_r(g) = swx_r / sw_r over group g (r = 0 full sample, 1..R replicates)
 
 Group 1 / group 0 are "in the cell" / "its complement". Complements are sums
 over the *other* classes (never total minus self), so exact 0 and 1 means stay
-exact. When either side has no non-NULL values the fixed empty-cell row is
-returned (mean NULL, se 0, other NULL, other_se 0, diff 0, diff_se 0).
+exact. A cell that cannot be estimated gives the fixed default row (mean NULL, se 0, other NULL,
+other_se 0, diff 0, diff_se 0, counts 0), and ``status`` says why: ``empty`` (a side has no
+non-NULL values), ``zero_weight`` (a side's weights sum to 0) or ``non_finite`` (a value or an
+error is not a finite number); else it is ``ok``.
 """
 
 from __future__ import annotations
@@ -88,21 +90,28 @@ def _finish_sides(long: DataFrame, design: ReplicateDesign, keys: list[str]) ->
     t = _collect_reps(long, keys, ["n1", "n0"], ["th1", "th0"])
     t = t.withColumn("d", F.zip_with("th0", "th1", lambda a, b: a - b))
     m = F.lit(design.se_multiplier)
-    empty = (F.coalesce("n1", F.lit(0)) == 0) | (F.coalesce("n0", F.lit(0)) == 0)
+    finite = lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False))
+    parts = [F.element_at("th1", 1), F.element_at("th0", 1), *[replicate_var(F.col(c), design) for c in ("th1", "th0", "d")]]
+    t = t.withColumns({f"_p{i}": p for i, p in enumerate(parts)})
+    no_rows = (F.coalesce("n1", F.lit(0)) == 0) | (F.coalesce("n0", F.lit(0)) == 0)
+    t = t.withColumn("status", F.when(no_rows, "empty").when(F.isnull("_p0") | F.isnull("_p1"), "zero_weight")
+                     .when(~(finite("_p0") & finite("_p1") & finite("_p2") & finite("_p3") & finite("_p4")), "non_finite")
+                     .otherwise("ok"))
+    empty = F.col("status") != "ok"
     zero = F.lit(0.0)
     null = F.lit(None).cast("double")
     est = {
-        "mean": F.when(empty, null).otherwise(F.element_at("th1", 1)),
-        "se": F.when(empty, zero).otherwise(m * F.sqrt(replicate_var(F.col("th1"), design))),
-        "other_mean": F.when(empty, null).otherwise(F.element_at("th0", 1)),
-        "other_se": F.when(empty, zero).otherwise(F.sqrt(replicate_var(F.col("th0"), design))),
+        "mean": F.when(empty, null).otherwise(F.col("_p0")),
+        "se": F.when(empty, zero).otherwise(m * F.sqrt("_p2")),
+        "other_mean": F.when(empty, null).otherwise(F.col("_p1")),
+        "other_se": F.when(empty, zero).otherwise(F.sqrt("_p3")),
         "diff_mean": F.when(empty, zero).otherwise(F.element_at("d", 1)),
-        "diff_se": F.when(empty, zero).otherwise(m * F.sqrt(replicate_var(F.col("d"), design))),
+        "diff_se": F.when(empty, zero).otherwise(m * F.sqrt("_p4")),
     }
-    # the empty-cell row carries zero counts on both sides
+    # the default row carries zero counts on both sides
     return t.select(*keys, "metric", *[v.alias(k) for k, v in est.items()],
                     F.when(empty, 0).otherwise(F.col("n1")).cast("bigint").alias("n1"),
-                    F.when(empty, 0).otherwise(F.col("n0")).cast("bigint").alias("n0"))
+                    F.when(empty, 0).otherwise(F.col("n0")).cast("bigint").alias("n0"), "status")
 
 
 def finish_one_sided(df: DataFrame, design: ReplicateDesign, keys: list[str],

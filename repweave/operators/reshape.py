@@ -3,7 +3,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from repweave.functions.scalar import clean_name
@@ -87,6 +87,67 @@ def sample_rows(df: DataFrame, n: int, seed: int, key_cols: list[str]) -> DataFr
     return df.withColumn("_h", h).orderBy("_h", *key_cols).limit(n).drop("_h")
 
 
+def sample_with_replacement(df: DataFrame, n: int, seed: int, key_cols: list[str], bucket_rows: int = 100_000) -> DataFrame:
+    """O3: n draws with replacement: the rows drawn, with their ``multiplicity``; these sum to exactly n.
+
+    Draw d takes the row whose place is a hash of seed and d, modulo the number of rows; a row's place is
+    its rank by the MD5 of seed and keys. Ranks come from the counts of hash ranges (one pass) and the rank
+    inside a range, so the table is never sorted as a whole, and only ranges with a draw are ranked. The
+    result does not depend on the partitioning. An empty table gives no rows.
+    """
+    spark = df.sparkSession
+    h = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(c) for c in key_cols]))
+    total = df.count()
+    if total == 0:
+        return df.withColumn("multiplicity", F.lit(0).cast("bigint")).limit(0)
+    buckets = max(1, -(-total // bucket_rows))
+    # hash ranges in order: the first 32 bits, scaled
+    bucket = F.floor(F.conv(F.substring("_h", 1, 8), 16, 10).cast("bigint") * F.lit(buckets) / F.lit(1 << 32)).cast("int")
+    hashed = df.withColumn("_h", h).withColumn("_b", bucket)
+    sizes = {r["_b"]: r["count"] for r in hashed.groupBy("_b").count().collect()}
+    ranges, at = [], 0
+    for b in sorted(sizes):
+        ranges.append((b, at, at + sizes[b]))
+        at += sizes[b]
+    place = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), F.lit("draw"), F.col("id"))), 1, 12), 16, 10).cast("bigint")
+    draws = spark.range(1, n + 1).select((place % F.lit(total)).alias("_place")).groupBy("_place").agg(
+        F.count(F.lit(1)).alias("multiplicity"))
+    # a place finds its range over cells of equal width: a range lies in few of them
+    cell = lambda c: F.floor(F.col(c) / F.lit(bucket_rows))
+    bounds = spark.createDataFrame(ranges, "_b int, _from bigint, _to bigint").withColumn(
+        "_cell", F.explode(F.sequence(cell("_from"), F.floor((F.col("_to") - 1) / F.lit(bucket_rows)))))
+    drawn = draws.withColumn("_cell", cell("_place")).join(bounds, "_cell").where(
+        (F.col("_place") >= F.col("_from")) & (F.col("_place") < F.col("_to")))
+    drawn = drawn.select("_b", (F.col("_place") - F.col("_from") + 1).alias("_rank"), "multiplicity")
+    hit = hashed.join(drawn.select("_b").distinct(), "_b", "left_semi")
+    ranked = hit.withColumn("_rank", F.row_number().over(Window.partitionBy("_b").orderBy("_h", *key_cols)))
+    return ranked.join(drawn, ["_b", "_rank"]).select(*df.columns, "multiplicity")
+
+
+def bucket_digests(df: DataFrame, keys: list[str], buckets: int) -> DataFrame:
+    """(bucket, rows, digest): order-free digests of all columns, per bucket of the keys' hash."""
+    return _dealt(df, keys, buckets).groupBy("_bucket").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(F.xxhash64(*[F.col(c) for c in df.columns]).cast("decimal(38,0)")).alias("digest"))
+
+
+def _dealt(df: DataFrame, keys: list[str], buckets: int) -> DataFrame:
+    return df.withColumn("_bucket", F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int"))
+
+
+def frame_diff_by_digest(a: DataFrame, b: DataFrame, keys: list[str], tol: float = 1.5e-8, buckets: int = 4096) -> DataFrame:
+    """C9 for large outputs: ``frame_diff``, where only the rows of buckets whose digests differ are joined. Equal
+    frames shuffle at most ``buckets`` digests per task, and no row. Columns are those of ``a``."""
+    b = b.select(*a.columns)
+    da = bucket_digests(a, keys, buckets)
+    db = bucket_digests(b, keys, buckets).select(F.col("_bucket").alias("_other"), F.col("rows").alias("r2"), F.col("digest").alias("d2"))
+    apart = da.join(db, F.col("_bucket") == F.col("_other"), "full").where(
+        ~(F.col("rows").eqNullSafe(F.col("r2")) & F.col("digest").eqNullSafe(F.col("d2"))))
+    # at most one number per bucket
+    numbers = [r[0] for r in apart.select(F.coalesce("_bucket", "_other")).collect()]
+    only = lambda df: _dealt(df, keys, buckets).where(F.col("_bucket").isin(numbers)).drop("_bucket")
+    return frame_diff(only(a), only(b), keys, tol) if numbers else frame_diff(a.limit(0), b.limit(0), keys, tol)
+
+
 def frame_diff(a: DataFrame, b: DataFrame, keys: list[str], tol: float = 1.5e-8) -> DataFrame:
     """Keyed comparison of two frames (empty = equal).
 

@@ -87,6 +87,7 @@ def fill_grid(grid: DataFrame, est: DataFrame, keys: list[str]) -> DataFrame:
         "diff_mean": F.coalesce("diff_mean", zero), "diff_se": F.coalesce("diff_se", zero),
         "n1": F.coalesce("n1", F.lit(0).cast("bigint")),
         "n0": F.coalesce("n0", F.lit(0).cast("bigint")),
+        "status": F.coalesce("status", F.lit("empty")),
     })
 
 

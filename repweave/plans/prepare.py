@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from repweave.constants import DRIFT_COLUMNS, METRO_AREAS, N_REPLICATES
 from repweave.functions import recode
 from repweave.functions.scalar import week_label
-from repweave.operators.joins import left_lookup
+from repweave.operators.joins import JoinGuards, left_lookup
 from repweave.sources import testdata
 
 
@@ -40,23 +40,26 @@ def repweights_array(repw: DataFrame, n: int = N_REPLICATES) -> DataFrame:
 
 
 def enrich(df: DataFrame, states: DataFrame, metros: DataFrame,
-           repw: DataFrame, metro_rows: int | None = None) -> DataFrame:
+           repw: DataFrame, metro_rows: int | None = None, guards: JoinGuards | None = None) -> DataFrame:
     """State names, metro names, replicate weights (all left joins). ``metro_rows``
-    is the size of a literal metro table, which then needs no counting job."""
-    out = left_lookup(df, states, "est_st", "state_code", max_rows=10_000)
-    out = left_lookup(out, metros, "est_msa", "cbsa_code", max_rows=10_000, known_rows=metro_rows)
+    is the size of a literal metro table, which then needs no counting job. With ``guards`` the job
+    counts the rows of each join as it runs."""
+    before = guards.before if guards else lambda d, name: d
+    after = guards.after if guards else lambda d, name: d
+    out = after(left_lookup(before(df, "states"), states, "est_st", "state_code", max_rows=10_000), "states")
+    out = after(left_lookup(before(out, "metros"), metros, "est_msa", "cbsa_code", max_rows=10_000, known_rows=metro_rows), "metros")
     # Both sides grow with the data -> shuffle (sort-merge) join on
     # (week, scram); never a broadcast, whatever a small test file suggests.
-    return out.join(repweights_array(repw).hint("merge"), ["week", "scram"], "left")
+    return after(before(out, "weights").join(repweights_array(repw).hint("merge"), ["week", "scram"], "left"), "weights")
 
 
-def prepare(spark: SparkSession, sf_dir: str) -> DataFrame:
+def prepare(spark: SparkSession, sf_dir: str, guards: JoinGuards | None = None) -> DataFrame:
     """Prepared microdata: inputs + indicators + geography names + ``repw``."""
     raw = testdata.raw_microdata(spark, sf_dir)
     return enrich(recode_microdata(raw),
                   testdata.state_table(spark, sf_dir),
                   testdata.metro_table(spark),
-                  testdata.raw_repweights(spark, sf_dir), metro_rows=len(METRO_AREAS))
+                  testdata.raw_repweights(spark, sf_dir), metro_rows=len(METRO_AREAS), guards=guards)
 
 
 def estimation_input(prepared: DataFrame) -> DataFrame:

@@ -1019,3 +1019,86 @@ def hh_size_by_state_race(spark, sf_dir):
     from repweave.operators.reshape import group_mean
     d = survey_rows(spark, sf_dir).dropDuplicates(["scram", "week"])
     return group_mean(d, ["week", "state", "hisp_rrace"], "thhld_numper").orderBy("week", "mean")
+
+
+# ------------------------------------------------ covariance, guards, samples --
+
+_COV_SQL = "with " + O.prepared_ctes() + "," + O.cube_ctes(K.METRICS) + """,
+th as (select interval_start, race, metric, rep, sum(swx) / nullif(sum(sw), 0) as t from lng_state
+       group by interval_start, race, metric, rep),
+off as (select a.interval_start, a.race, a.metric, a.rep, a.t - b.t as d from th a join th b
+        on a.interval_start = b.interval_start and a.metric = b.metric and a.race is not distinct from b.race
+       and b.rep = 0 where a.rep > 0),
+cov as (select x.interval_start, x.metric, x.race as group_i, y.race as group_j, coalesce(sum(x.d * y.d), 0) / 80 as cov
+        from off x join off y using (interval_start, metric, rep) group by all)"""
+
+
+def _race_matrix(spark, sf_dir):
+    from repweave.operators.covariance import group_matrix, group_replicates
+    from repweave.operators.cube import sufficient_stats, to_intervals
+    wc = FT.materialize(sufficient_stats(est_input(spark, sf_dir), ROLLING, K.METRICS, ["week", "race"]), "race-cube")
+    cube = to_intervals(wc, current_week(wc))
+    return group_matrix(group_replicates(cube, ROLLING, ["week_num"], "race"), ROLLING, ["week_num"])
+
+
+@register("race_covariance", _COV_SQL + """
+select 'wk' || interval_start || '_' || (interval_start + 1) as week_num, metric, group_i, group_j, round(cov, 9) as cov from cov""")
+def race_covariance(spark, sf_dir):
+    """A4: covariances of the race groups' national estimates, per interval and metric."""
+    from repweave.operators.covariance import covariances
+    return covariances(_race_matrix(spark, sf_dir), ["week_num"])
+
+
+#: One group against the average of two others.
+_CONTRAST = {"black": 1.0, "white": -0.5, "hispanic": -0.5}
+_COEF = "case {c} " + " ".join(f"when '{g}' then {a}" for g, a in _CONTRAST.items()) + " else 0 end"
+
+
+@register("contrast_any", _COV_SQL + f""",
+se as (select interval_start, metric, 2 * sqrt(greatest(sum(cov * {_COEF.format(c='group_i')} * {_COEF.format(c='group_j')}), 0)) as se
+       from cov group by interval_start, metric),
+mean as (select interval_start, metric, sum(t * {_COEF.format(c='race')}) as m, count(*) filter (race in {tuple(_CONTRAST)}) as k
+         from th where rep = 0 group by interval_start, metric)
+select 'wk' || interval_start || '_' || (interval_start + 1) as week_num, metric,
+       case when k = {len(_CONTRAST)} then round(m, 9) end as estimate, case when k = {len(_CONTRAST)} then round(se, 9) end as se
+from mean join se using (interval_start, metric)""")
+def contrast_any(spark, sf_dir):
+    """A contrast of three groups, its error from the covariance matrix."""
+    from repweave.operators.covariance import contrast
+    return contrast(_race_matrix(spark, sf_dir), ROLLING, ["week_num"], _CONTRAST)
+
+
+@register("join_guards_observed", _sql("""
+, n as (select count(*) as n from rec)
+select name, n as rows_in, n as rows_out, true as ok from n, (values ('states'), ('metros'), ('weights')) t(name)"""))
+def join_guards_observed(spark, sf_dir):
+    """Prepared microdata is written; its job counts the rows around each of its joins as it runs."""
+    from repweave.operators.joins import JoinGuards
+    guards = JoinGuards()
+    FT.materialize(P.prepare(spark, sf_dir, guards), "prepared")
+    guards.check()
+    return spark.createDataFrame(guards.report(), "name string, rows_in long, rows_out long, ok boolean")
+
+
+@register("sample_with_replacement", _sql("""
+, placed as (select scram, week, row_number() over (order by md5('42|' || scram || '|' || week), scram, week) - 1 as place from rec),
+drawn as (select cast('0x' || substr(md5('42|draw|' || d), 1, 12) as bigint) % (select count(*) from rec) as place
+          from range(1, 5001) t(d))
+select scram, week, count(*) as multiplicity from drawn join placed using (place) group by scram, week"""))
+def sample_with_replacement_q(spark, sf_dir):
+    """O3: 5,000 draws with replacement from all respondents."""
+    from repweave.operators.reshape import sample_with_replacement
+    rows = recoded(spark, sf_dir).select("scram", "week")
+    return sample_with_replacement(rows, 5000, 42, ["scram", "week"], bucket_rows=2000)
+
+
+@register("frame_diff_by_digest", _sql("""
+select scram, week, 'both' as side from est where o_orderkey % 997 = 0 and pweight is not null
+union all select scram, week, 'left_only' from est where o_orderkey % 991 = 0 and o_orderkey % 997 <> 0"""))
+def frame_diff_by_digest_q(spark, sf_dir):
+    """Two outputs with planted changes and missing rows; only the buckets that differ are joined."""
+    from repweave.operators.reshape import frame_diff_by_digest
+    a = est_input(spark, sf_dir).select("o_orderkey", "scram", "week", "pweight", "race", "state", *K.METRICS)
+    changed = F.when(F.col("o_orderkey") % 997 == 0, F.col("pweight") + 1).otherwise(F.col("pweight"))
+    b = a.withColumn("pweight", changed).where((F.col("o_orderkey") % 991 != 0) | (F.col("o_orderkey") % 997 == 0))
+    return frame_diff_by_digest(a.drop("o_orderkey"), b.drop("o_orderkey"), ["scram", "week"])
