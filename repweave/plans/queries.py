@@ -1102,3 +1102,90 @@ def frame_diff_by_digest_q(spark, sf_dir):
     changed = F.when(F.col("o_orderkey") % 997 == 0, F.col("pweight") + 1).otherwise(F.col("pweight"))
     b = a.withColumn("pweight", changed).where((F.col("o_orderkey") % 991 != 0) | (F.col("o_orderkey") % 997 == 0))
     return frame_diff_by_digest(a.drop("o_orderkey"), b.drop("o_orderkey"), ["scram", "week"])
+
+
+# ------------------------------------------------------- cell files, bundles --
+
+def cell_files(spark, sf_dir):
+    """A published table as headerless files, one per week and sheet, with six title lines; read back by line
+    number and width, then normalised."""
+    import uuid
+    from repweave.operators.published import SPECS, cell_table, normalise, positional
+    from repweave.session import checkpoint_dir
+    from repweave.sources.cells import line_of, read_cells, write_cell_files
+    spec = SPECS["health2b"]
+    path = f"{checkpoint_dir(spark).rstrip('/')}/repweave-cells-{uuid.uuid4().hex}"
+    made = positional(cell_table(survey_rows(spark, sf_dir), spec), spec)
+    line = F.concat_ws(",", line_of([F.col("variable")]), F.array_join(
+        F.transform("cells", lambda c: F.coalesce(c.cast("string"), F.lit(""))), ","))
+    titles = ["Table of households", "Source: survey", "", "Select characteristics,Total", "(in persons)", '"a, b",,']
+    write_cell_files(made, path, ["file", "sheet"], "row_idx", line, titles)
+    read = read_cells(spark, path, skip=len(titles)).select(
+        F.lit(spec.name).alias("table"), "file", "sheet", F.get("cells", F.lit(0)).alias("variable"), F.col("line").alias("row_idx"),
+        F.transform(F.slice("cells", F.lit(2), F.size("cells")), lambda c: c.cast("double")).alias("cells"))
+    return normalise(read, spec)
+
+
+def _register_cell_files():
+    from repweave.operators.published import SPECS
+    register("cell_files", _normalise_sql(SPECS["health2b"]))(cell_files)
+
+
+_register_cell_files()
+
+
+@register("metro_code_file", SQL["enrich_metro"])
+def metro_code_file(spark, sf_dir):
+    """The metro codes are a headerless file with three title lines and a note below, read by line number and
+    width, and joined to the respondents."""
+    import uuid
+    from repweave.operators.joins import left_lookup
+    from repweave.session import checkpoint_dir
+    from repweave.sources.cells import line_of, read_cells, write_cell_files
+    path = f"{checkpoint_dir(spark).rstrip('/')}/repweave-metro-{uuid.uuid4().hex}"
+    made = T.metro_table(spark).withColumns({"list": F.lit("metro"), "at": F.col("cbsa_code").cast("int")})
+    note = spark.createDataFrame([("Note: codes of 2020", None, None, "metro", 10_000)], made.schema)
+    line = F.when(F.col("csa_title").isNull(), F.col("cbsa_code")).otherwise(line_of([F.col("cbsa_code"), F.col("csa_title"), F.col("cbsa_title")]))
+    write_cell_files(made.unionByName(note), path, ["list"], "at", line, ["List of metro areas", "", "Code,Combined area,Title"])
+    cells = read_cells(spark, path, skip=3).where(F.size("cells") == 3)
+    metros = cells.select(*[F.get("cells", F.lit(i)).alias(c) for i, c in enumerate(["cbsa_code", "csa_title", "cbsa_title"])])
+    rows = P.recode_microdata(T.raw_microdata(spark, sf_dir))
+    named = left_lookup(rows, metros, "est_msa", "cbsa_code", max_rows=10_000)
+    return named.groupBy("est_msa", "cbsa_title", "csa_title").agg(F.count(F.lit(1)).alias("n"))
+
+
+_CHECK = "cast(coalesce(sum(cast('0x' || substr(md5(concat_ws('|', {cells})), 1, 8) as bigint)), 0) as bigint) as checksum"
+
+
+def _checksum_sql(cols: list[str], doubles: list[str]) -> str:
+    cells = ", ".join(f"coalesce(cast({f'cast(round({c} * 1e6) as bigint)' if c in doubles else c} as varchar), '~')" for c in cols)
+    return _CHECK.format(cells=cells)
+
+
+_MICRO = ["scram", "week", "state", "cbsa_title", "race", "pweight", *REFRESHED]
+
+
+@register("publish_dated", _feature_sql(f"""
+, l as (select 'feature_table' as name, count(*) as rows, {_checksum_sql(FT.FEATURE_COLS, FEATURE_DOUBLES)} from ft
+        union all select 'microdata', count(*), {_checksum_sql(_MICRO, ["pweight", *REFRESHED])} from est)
+select d as date, name, cast(rows as bigint) as rows, checksum from l, (values ('2020-10-14'), ('latest')) t(d)
+union all select '2020-10-14', 'feature_csv', count(*), {_checksum_sql(FT.FEATURE_COLS, FEATURE_DOUBLES)} from ft
+union all select 'latest', 'feature_csv', count(*), {_checksum_sql(FT.FEATURE_COLS, FEATURE_DOUBLES)} from ft""", REFRESHED))
+def publish_dated(spark, sf_dir):
+    """Microdata, feature table and its CSV form published under a date and as the latest, after an earlier
+    bundle of half the rows; rows and checksums of the values that readers get."""
+    import uuid
+    from repweave.session import checkpoint_dir
+    from repweave.sources import bundle as B
+    base = f"{checkpoint_dir(spark).rstrip('/')}/repweave-dated-{uuid.uuid4().hex}"
+    ei = est_input(spark, sf_dir)
+    micro = ei.select(*_MICRO)
+    B.publish_bundle({"microdata": micro.where("week < 6")}, base, "2020-09-30")
+    table = FT.feature_table(FT.estimate(ei, metrics=REFRESHED))
+    B.publish_bundle({"microdata": micro, "feature_table": table, "feature_csv": table}, base, "2020-10-14", {"feature_csv": "csv"})
+    out = None
+    for label, date in (("2020-10-14", "2020-10-14"), ("latest", None)):
+        for name in ("microdata", "feature_table", "feature_csv"):
+            row = B.value_checksum(B.open_table(spark, base, name, date)).select(F.lit(label).alias("date"), F.lit(name).alias("name"), "rows", "checksum")
+            out = row if out is None else out.unionByName(row)
+    return out

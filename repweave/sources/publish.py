@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import re
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -78,7 +78,8 @@ def write_microdata(df: DataFrame, path: str) -> None:
 def write_bucketed(df: DataFrame, path: str, keys: list[str], buckets: int) -> DataFrame:
     """S10 for joins: a table bucketed and sorted on ``keys`` below ``path``, so that tables of one
     bucketing meet without a shuffle. Rows are dealt to buckets first: one file per bucket."""
-    name = "bucketed_" + re.sub(r"\W", "_", path.rstrip("/").rpartition("/")[2])
+    # the whole path makes the name, so that no two folders share a table
+    name = "bucketed_" + hashlib.md5(path.rstrip("/").encode()).hexdigest()
     (df.repartition(buckets, *keys).write.mode("overwrite").format("parquet").option("path", path)
      .bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name))
     return df.sparkSession.table(name)
