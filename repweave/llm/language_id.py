@@ -40,7 +40,7 @@ from repweave.llm.common import bounded_batches, materialise, texts
 BUCKETS = 1 << 15
 EFFECTIVE = 64
 SAMPLE = 1500
-#: Rows that declare a language with a model: so many, or this share of a small table.
+#: A language that at least so many rows declare has a model.
 MIN_ROWS = 20
 DECLARED_RIGHT = 0.9
 UNKNOWN_PRIOR = 0.01
