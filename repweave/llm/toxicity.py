@@ -39,6 +39,8 @@ SAMPLE = 20_000
 BEGINNINGS = range(4, 8)
 MIN_EVIDENCE, MIN_LIFT, MIN_DOCS = 25.0, 20.0, 3
 CACHED_WORDS = 500_000
+#: Beginnings that a task counts at once.
+HELD_PARTS = 1_000_000
 
 # Word classes of the grammar in four languages
 INSULTS = {"idiot", "idiots", "moron", "morons", "stupid", "scum", "loser", "losers", "pathetic", "worthless", "trash",
@@ -141,21 +143,36 @@ def beginnings(text: str) -> set[str]:
     return {w[:n] for w in words for n in BEGINNINGS if n <= len(w)} | {w + "$" for w in words}
 
 
-def _document_counts(docs: DataFrame, among: frozenset[str] | None) -> DataFrame:
-    """(part, n): in how many documents a beginning stands; partial counts per task first."""
-    schema = pa.schema([("part", pa.string()), ("n", pa.int64())])
+def document_counts(docs: DataFrame) -> DataFrame:
+    """(part, t, f): in how many toxic and in how many other documents a beginning stands; docs: (toxic, body).
+    Partial counts per task first."""
+    schema = pa.schema([("part", pa.string()), ("t", pa.int64()), ("f", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: Counter[str] = Counter()
+        total: tuple[Counter[str], Counter[str]] = Counter(), Counter()
+
+        def put() -> pa.RecordBatch:
+            parts = list(total[0].keys() | total[1].keys())
+            out = batch(schema, [parts, [total[1][p] for p in parts], [total[0][p] for p in parts]])
+            for c in total:
+                c.clear()
+            return out
+
         for rb in batches:
-            for t in texts(rb.column(0)):
-                total.update(beginnings(t) if among is None else beginnings(t) & among)
-            if len(total) > 1_000_000:
-                yield batch(schema, [list(total), list(total.values())])
-                total.clear()
-        yield batch(schema, [list(total), list(total.values())])
+            for toxic, t in zip(rb.column(0).to_pylist(), texts(rb.column(1)), strict=True):
+                total[toxic].update(beginnings(t))
+            if len(total[0]) + len(total[1]) > HELD_PARTS:
+                yield put()
+        yield put()
+
+    return docs.mapInArrow(run, "part string, t long, f long").groupBy("part").agg(
+        F.sum("t").alias("t"), F.sum("f").alias("f"))
 
-    return docs.mapInArrow(run, "part string, n long").groupBy("part").agg(F.sum("n").alias("n"))
+
+def _lifted(t, f, n_toxic: float, n_other: float) -> tuple:
+    """Whether a beginning stands in enough toxic documents, and in far more of them than of others:
+    numbers or columns alike."""
+    return t >= max(MIN_DOCS, 0.002 * n_toxic), t / n_toxic >= MIN_LIFT * ((f + 0.5) / (n_other + 1))
 
 
 def choose(toxic: dict[str, int], other: dict[str, int], n_toxic: int, n_other: int) -> frozenset[str]:
@@ -163,8 +180,7 @@ def choose(toxic: dict[str, int], other: dict[str, int], n_toxic: int, n_other:
     ratio and lift; the shortest one that does, or the whole word if it has nearly all the cases."""
     def tells(part: str) -> bool:
         t, f = toxic.get(part, 0), other.get(part, 0)
-        p, q = t / n_toxic, (f + 0.5) / (n_other + 1)
-        if t < max(MIN_DOCS, 0.002 * n_toxic) or p < MIN_LIFT * q:
+        if not all(_lifted(t, f, n_toxic, n_other)):
             return False
         e = (t + f) / (n_toxic + n_other)
         g = 2 * (t * math.log(t / (n_toxic * e)) + (f * math.log(f / (n_other * e)) if f else 0))
@@ -193,22 +209,21 @@ def held_out(doc_id: Column) -> Column:
 
 
 def learn_words(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> frozenset[str]:
-    """Insult words from a bounded sample of training labels. docs: (id, body); labels: (id, toxic)."""
+    """Insult words from a bounded sample of training labels. docs: (id, body); labels: (id, toxic).
+
+    Both classes are counted in one pass, and only beginnings with enough lift leave the cluster:
+    the driver gets these few, never the words of the sample."""
     counts = {r["toxic"]: r["n"] for r in labels.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts.get(0) or not counts.get(1):
         return frozenset()
-    found = []
-    for toxic in (1, 0):
-        share = min(1.0, sample / counts[toxic])
-        # a set of about `sample` ids, small enough to broadcast whatever the tables' size
-        ids = labels.where((F.col("toxic") == toxic) & (
-            F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < F.lit(int(share * (1 << 20))))).select("id").distinct()
-        among = frozenset(found[0][0]) if found else None
-        got = _document_counts(docs.join(F.broadcast(ids), "id", "left_semi").select("body"), among)
-        got = got.where(F.col("n") >= MIN_DOCS) if toxic else got
-        found.append(({r["part"]: r["n"] for r in got.collect()}, share * counts[toxic]))
-    (t, n_toxic), (o, n_other) = found
-    return choose(t, o, n_toxic, n_other)
+    share = [min(1.0, sample / counts[toxic]) for toxic in (0, 1)]
+    n_other, n_toxic = (s * counts[toxic] for toxic, s in enumerate(share))
+    below = F.when(F.col("toxic") == 1, int(share[1] * (1 << 20))).otherwise(int(share[0] * (1 << 20)))
+    # about `sample` ids of each class, small enough to broadcast whatever the tables' size
+    drawn = labels.where(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < below).select("id", "toxic").distinct()
+    enough, lift = _lifted(F.col("t"), F.col("f"), n_toxic, n_other)
+    found = document_counts(docs.join(F.broadcast(drawn), "id").select("toxic", "body")).where(enough & lift).collect()
+    return choose({r["part"]: r["t"] for r in found}, {r["part"]: r["f"] for r in found}, n_toxic, n_other)
 
 
 def fit_weights(rows: np.ndarray, n: np.ndarray, toxic: np.ndarray, ridge: float = 1.0) -> np.ndarray:

@@ -1,6 +1,8 @@
 """Toxicity: the grammar on clauses, learning only from training rows, held-out accuracy."""
 
+import random
 import zlib
+from collections import Counter
 
 from pyspark.sql import functions as F
 
@@ -23,6 +25,56 @@ def test_clauses():
     assert patterns("plughs", ["plugh$"]) == {}
 
 
+def brute_patterns(text, learnt):
+    """The grammar as plain rules on each clause, without transducers."""
+    out, clause = Counter(), []
+    for word in [*T._TOKEN.findall(text.lower()), "."]:
+        if word[0].isalpha():
+            clause.append(word.replace("’", "'"))
+            continue
+        insult = lambda w: w in T.INSULTS or w + "$" in learnt or any(w[:n] in learnt for n in T.BEGINNINGS if n <= len(w))  # noqa: B023, E731
+        negated = lambda i: any(w in T.NEGATIONS and not insult(w) for w in clause[max(0, i - 3):i])  # noqa: B023, E731
+        bad = [(i, "insult") for i, w in enumerate(clause) if insult(w)]
+        bad += [(i, "threat") for i, w in enumerate(clause) if w in T.THREATS and not insult(w)]
+        plain = {kind for i, kind in bad if not negated(i)}
+        target = any(w in T.TARGETS and not insult(w) for w in clause)
+        if bad:
+            kind = "threat" if "threat" in plain else "insult"
+            out["reported" if any(w in T.REPORTS and not insult(w) for w in clause)
+                else kind + "_target" * target if plain else "negated"] += 1
+        clause = []
+    return dict(out)
+
+
+def test_transducers_equal_plain_rules():
+    rng = random.Random(11)
+    some = lambda words: sorted(words)[:4]
+    words = [*some(T.INSULTS), *some(T.THREATS), *some(T.TARGETS), *some(T.NEGATIONS), *some(T.REPORTS), "grumpfen", "Grumpf",
+             "plugh", "plughs", "isn’t", "tree", "green", "é", "x1y", "42"]
+    for _ in range(3000):
+        text = "".join(rng.choice(words) + rng.choice([" ", " ", " ", " ", ". ", "!\n", ", "]) for _ in range(rng.randint(0, 25)))
+        assert patterns(text, ["grum", "plugh$"]) == brute_patterns(text, {"grum", "plugh$"}), text
+
+
+def test_document_counts_equal_brute_force(spark):
+    rng = random.Random(5)
+    words = ["grumpfen", "grumpf", "trees", "Tree", "a", "été", "isn't"]
+    rows = [(rng.randint(0, 1), " ".join(rng.choices(words, k=rng.randint(0, 6)))) for _ in range(200)] + [(1, None)]
+    got = {r["part"]: (r["t"], r["f"]) for r in T.document_counts(spark.createDataFrame(rows, "toxic int, body string")).collect()}
+    want = [Counter(p for toxic, t in rows if toxic == k for p in T.beginnings(t or "")) for k in (0, 1)]
+    assert got == {p: (want[1][p], want[0][p]) for p in want[0].keys() | want[1].keys()}
+
+
+def test_the_driver_gets_only_telling_words(spark, monkeypatch):
+    rows, labels = made(spark)
+    seen = []
+    whole = T.choose
+    monkeypatch.setattr(T, "choose", lambda t, f, *n: seen.extend(t) or whole(t, f, *n))
+    known = labels.select(F.col("doc_id").alias("id"), "toxic")
+    learnt = T.learn_words(spark.createDataFrame(rows, "id long, body string"), known)
+    assert seen and all(p.startswith("grum") for p in seen) and learnt
+
+
 def made(spark, n=600):
     rows, labels = [], []
     for i in range(n):
