@@ -9,9 +9,12 @@ carried as a row of the pivot table. By the triangle inequality two fingerprints
 bits have pivot distances that differ by at most d in every coordinate: pairs with a larger
 coordinate difference are discarded, survivors are verified by their exact distance.
 
-The pivot table thins out pairs but does not find them, so pairs come from an exact cover:
+A pivot table alone would have to look at all nodes, so nodes first meet in an exact cover:
 among 4 blocks of 16 bits at least one is equal for pairs within 3 bits, and among the 4
 twelfths of the other 48 bits again one; the 16 keys of 28 bits meet each such pair at least once.
+Within a key the pivot table finds the pairs: nodes stand in the order of their distance to the first
+reference, and a sweep forms only pairs within ``max_distance`` of each other there; the other
+coordinates then discard most of these, before any fingerprints are compared.
 Keys with many nodes (large groups of near copies) are split into chunks and their chunk
 pairs are dealt to many tasks. A task compares in blocks and gives out only a spanning
 forest of the links it finds, never all pairs of a group. Nothing is capped.
@@ -94,12 +97,13 @@ def pivot_table(fps: np.ndarray) -> np.ndarray:
 
 
 def _with_pivots(nodes: DataFrame) -> DataFrame:
+    """(fp, near, pivots): all distances as bytes, and the first of them to sort by."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("fp", pa.int64()), ("pivots", pa.binary())])
+        schema = pa.schema([("fp", pa.int64()), ("near", pa.int8()), ("pivots", pa.binary())])
         for rb in batches:
-            near = pivot_table(rb.column(0).to_numpy(zero_copy_only=False))
-            yield batch(schema, [rb.column(0), [x.tobytes() for x in near]])
-    return nodes.select("fp").mapInArrow(run, "fp long, pivots binary")
+            distances = pivot_table(rb.column(0).to_numpy(zero_copy_only=False))
+            yield batch(schema, [rb.column(0), distances[:, 0], [x.tobytes() for x in distances]])
+    return nodes.select("fp").mapInArrow(run, "fp long, near byte, pivots binary")
 
 
 def _keys(fp) -> list:
@@ -160,14 +164,16 @@ class _Links:
 
 def compare(cells: np.ndarray, chunk: np.ndarray, whole: np.ndarray, fps: np.ndarray, pivots: np.ndarray,
             max_distance: int, links: _Links) -> None:
-    """Compare the rows of each cell (equal values of ``cells`` stand together): neighbours
-    at distance 1, 2, ... of the order, as long as they share a cell. In a cell of two
-    chunks (``whole`` is false) only rows of different chunks are compared."""
+    """Compare the rows of each cell (equal values of ``cells`` stand together, by rising distance
+    to the first reference): neighbours 1, 2, ... places apart, as long as they share a cell and
+    the sweep's window of ``max_distance``. In a cell of two chunks (``whole`` is false) only rows
+    of different chunks are compared."""
     at = np.arange(len(cells) - 1)
     step = 1
     while len(at):
         at = at[at + step < len(cells)]
-        at = at[cells[at] == cells[at + step]]
+        # once a row's neighbour is out of reach, so are all further ones
+        at = at[(cells[at] == cells[at + step]) & (pivots[at + step, 0] - pivots[at, 0] <= max_distance)]
         for s in range(0, len(at), 1 << 18):
             p = at[s:s + (1 << 18)]
             p = p[whole[p] | (chunk[p] != chunk[p + step])]
@@ -191,8 +197,8 @@ def links_of(nodes: DataFrame, max_distance: int = MAX_DISTANCE, chunk: int = CH
     dealt = (keyed.join(large, "key", "left").withColumn("m", F.coalesce("m", F.lit(1)))
              .withColumn("c", F.pmod(F.xxhash64("fp"), F.col("m")).cast("int"))
              .withColumn("o", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
-             .select("key", F.least("c", "o").alias("i"), F.greatest("c", "o").alias("j"), "c", "fp", "pivots"))
-    sorted_cells = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+             .select("key", F.least("c", "o").alias("i"), F.greatest("c", "o").alias("j"), "c", "fp", "pivots", "near"))
+    sorted_cells = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "near").drop("near")
     size = len(PIVOTS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

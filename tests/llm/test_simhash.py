@@ -83,6 +83,25 @@ def test_pivot_filter_never_discards_a_link():
     assert (c <= d).all()
 
 
+def test_sweep_forms_only_pairs_near_a_reference():
+    fps = np.array(sorted(set(clusters(6, 60, 10, 3))), dtype=np.uint64)
+    table = S.pivot_table(fps)
+    by = np.argsort(table[:, 0], kind="stable")
+    fps, table = fps[by], table[by]
+    links, formed = S._Links(), []
+    links.add = lambda u, v: formed.extend(zip(u.tolist(), v.tolist()))
+    one = np.zeros(len(fps), dtype=np.int64)
+    S.compare(one, one, one == 0, fps, table, 3, links)
+    signed = fps.view(np.int64).tolist()
+    d = np.bitwise_count(fps[:, None] ^ fps[None, :])
+    assert sorted(formed) == sorted((signed[i], signed[j]) for i, j in zip(*np.nonzero(np.triu(d <= 3, 1))))
+    # a row whose first coordinate is out of order is not met: the order, not the other checks, forms the pairs
+    far = np.array([5, 60, 5], dtype=np.int8)[:, None].repeat(16, axis=1)
+    formed.clear()
+    S.compare(one[:3], one[:3], one[:3] == 0, np.zeros(3, dtype=np.uint64), far, 3, links)
+    assert formed == []
+
+
 def test_long_chain_is_one_component(spark):
     rows = [(i, i + 1) for i in range(300)] + [(1000, 2000), (5, 5)]
     got = {r["u"]: r["v"] for r in connected_components(spark.createDataFrame(rows, "u long, v long")).collect()}
