@@ -5,6 +5,9 @@ from __future__ import annotations
 import json
 import os
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 from pyarrow import fs as pafs
@@ -26,9 +29,29 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+_MADE: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
+
+@contextmanager
+def scratch() -> Iterator[list[str]]:
+    """Lists the shared folders that are named inside, in their order, and deletes at the end those still listed."""
+    made: list[str] = []
+    token = _MADE.set(made)
+    try:
+        yield made
+    finally:
+        _MADE.reset(token)
+        for path in made:
+            delete_folder(path)
+
+
 def shared_path(spark: SparkSession, tag: str) -> str:
     """A new folder name below the cluster's shared checkpoint folder."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/repweave-llm/{tag}-{uuid.uuid4().hex}"
+    path = f"{checkpoint_dir(spark).rstrip('/')}/repweave-llm/{tag}-{uuid.uuid4().hex}"
+    made = _MADE.get()
+    if made is not None:
+        made.append(path)
+    return path
 
 
 def materialise(df: DataFrame, tag: str) -> DataFrame:
@@ -59,6 +82,13 @@ def write_file(path: str, data: bytes) -> None:
     files.move(part, name)
 
 
+def delete_folder(path: str) -> None:
+    """Delete a shared folder, if it was written at all."""
+    files, name = open_fs(path)
+    if files.get_file_info(name).type == pafs.FileType.Directory:
+        files.delete_dir(name)
+
+
 def read_file(path: str) -> bytes:
     files, name = open_fs(path)
     with files.open_input_file(name) as f:

@@ -37,6 +37,26 @@ def test_stages_take_effect(spark, docs, tmp_path):
     assert {r["doc_id"] for r in packed} == set(seen["personal_data"])
 
 
+def test_only_the_last_table_stays(spark, docs, tmp_path, monkeypatch):
+    from repweave.llm import common
+    df, item = planted(docs)
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    df.write.parquet(str(tmp_path / "documents.parquet"))
+    folder = tmp_path / "shared"
+    monkeypatch.setattr(common, "checkpoint_dir", lambda spark: str(folder))
+    out = C.run(spark, str(tmp_path))
+    left = [p.name for p in (folder / "repweave-llm").iterdir()]
+    assert len(left) == 1 and left[0].startswith("pipeline-packing-") and out.count() > 0
+    # a failed stage leaves nothing of its own behind, and the folder of others alone
+    (folder / "repweave-llm" / "other").mkdir()
+    monkeypatch.setattr(C, "STAGES", [C.STAGES[0], ("broken", lambda *a: 1 / 0)])
+    try:
+        C.run(spark, str(tmp_path))
+    except ZeroDivisionError:
+        pass
+    assert {p.name for p in (folder / "repweave-llm").iterdir()} == {left[0], "other"}
+
+
 def test_registered():
     import __spark_entry__ as E
     assert E.queries()["pipeline"] is C.run and 4 <= len(C.STAGES) <= 5
