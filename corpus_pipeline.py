@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from repweave.llm import decontaminate, language_id, packing, pii, simhash
-from repweave.llm.common import materialise, table
+from repweave.llm.common import materialise, scratch, table
 from repweave.llm.queries import tokenizer_path
 
 
@@ -51,7 +51,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """All stages. A stage's own table is deleted once its successor is written, as are the tables and
+    files that a stage makes on its way; only the last table stays, which the result reads."""
+    docs, before = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES:
-        docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with scratch() as made:
+            made += before
+            docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
+            before = [made.pop()]
     return docs
