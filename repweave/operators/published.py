@@ -16,6 +16,8 @@ generic DataFrame function over any spec.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Window
@@ -45,6 +47,21 @@ class TableSpec:
     extra: dict = field(default_factory=dict)
     optional: tuple[str, ...] = ()          # columns that files before ``optional_from`` lack
     optional_from: int = K.DRIFT_FIRST_WEEK
+    file_names: dict[int, str] = field(default_factory=dict)  # weeks whose file has a name of its own
+
+    def file(self, week):
+        """The file name of a week (a column)."""
+        name = F.concat(F.lit(self.name + "_wk"), week.cast("string"), F.lit(".xlsx"))
+        for w, own in self.file_names.items():
+            name = F.when(week == w, own).otherwise(name)
+        return name
+
+    def week_num(self, file):
+        """The week label of a file name (a column)."""
+        label = extract_or_null(file, r"_(.*?)\.xlsx")
+        for w, own in self.file_names.items():
+            label = F.when(file == own, f"wk{w}").otherwise(label)
+        return label
 
     def layouts(self) -> dict[int, list[str]]:
         """The column names of a file by its number of value columns."""
@@ -175,7 +192,7 @@ SPECS: dict[str, TableSpec] = {s.name: s for s in [
                  "perc_down": "(down_several_days + down_half_days + down_nearly_every_day) / nullif("
                               " down_not_at_all + down_several_days + down_half_days"
                               " + down_nearly_every_day, 0)"},
-        keep=["total_down", "total_answered", "perc_down"]),
+        keep=["total_down", "total_answered", "perc_down"], file_names={2: "health2b_wk2-full.xlsx"}),
     TableSpec(
         name="health3", universe="tbirth_year >= 1956",
         counts={"total_insured": "uninsured = 0", "private": "uninsured = 0 and insured_public = 0",
@@ -242,45 +259,93 @@ def _race_label_row(label_col: str):
     return order
 
 
-def cell_table(rows: DataFrame, spec: TableSpec) -> DataFrame:
-    """Published cell table of one spec, from recoded respondent rows with
-    ``state``, ``cbsa_title`` and ``hisp_rrace``.
-
-    One aggregation over six grouping sets: (US | state | metro) x
-    (Total row | race rows); counts are weighted sums, zero -> NULL.
-    """
-    src = rows.where(F.expr(spec.universe) & (F.col("week") >= spec.first_week))
+def _by_sheet(src: DataFrame, aggs: list) -> DataFrame:
+    """(week, sheet, variable, aggregates): one aggregation over six grouping sets,
+    (US | state | metro) x (Total row | race rows)."""
     sheet_of_metro = F.create_map(*[x for title, _, sheet in K.METRO_AREAS
                                     for x in (F.lit(title), F.lit(sheet))])
     src = src.withColumn("metro_sheet", F.element_at(sheet_of_metro, F.col("cbsa_title")))
     sets = [["week", "state", "hisp_rrace"], ["week", "metro_sheet", "hisp_rrace"],
             ["week", "hisp_rrace"], ["week", "state"], ["week", "metro_sheet"], ["week"]]
-    aggs = [F.nullif(F.sum(F.when(F.expr(pred), F.col("pweight"))), F.lit(0.0)).alias(c)
-            for c, pred in spec.counts.items()]
     g = src.groupingSets(sets, "week", "state", "metro_sheet", "hisp_rrace").agg(
         F.grouping("state").alias("_gs"), F.grouping("metro_sheet").alias("_gm"),
         F.grouping("hisp_rrace").alias("_gr"), *aggs)
     sheet = (F.when(F.col("_gs") == 0, F.col("state"))
              .when(F.col("_gm") == 0, F.col("metro_sheet")).otherwise(F.lit("US")))
     variable = F.when(F.col("_gr") == 1, F.lit("Total")).otherwise(F.col("hisp_rrace"))
-    body = (g.where(sheet.isNotNull() & variable.isNotNull())
-            .select(F.lit(spec.name).alias("table"),
-                    F.concat(F.lit(spec.name + "_wk"), F.col("week").cast("string"),
-                             F.lit(".xlsx")).alias("file"),
-                    sheet.alias("sheet"), variable.alias("variable"), *spec.counts.keys()))
+    return (g.where(sheet.isNotNull() & variable.isNotNull())
+            .withColumns({"sheet": sheet, "variable": variable})
+            .drop("state", "metro_sheet", "hisp_rrace", "_gs", "_gm", "_gr"))
+
+
+def _with_headers(body: DataFrame) -> DataFrame:
+    """The rows with their place on the sheet; a header row stands behind each Total row: one
+    more row out of the same pass."""
     order = F.when(F.col("variable") == "Total", F.lit(0)).otherwise(_race_label_row("variable"))
-    # the header row stands behind each Total row: one more row out of the same pass
-    rows = body.withColumn("row_idx", F.explode(F.when(order == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(order))))
+    return body.withColumn("row_idx", F.explode(F.when(order == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(order))))
+
+
+def _count(pred):
+    return F.nullif(F.sum(F.when(pred, F.col("pweight"))), F.lit(0.0))
+
+
+def cell_table(rows: DataFrame, spec: TableSpec) -> DataFrame:
+    """Published cell table of one spec, from recoded respondent rows with
+    ``state``, ``cbsa_title`` and ``hisp_rrace``; counts are weighted sums, zero -> NULL."""
+    src = rows.where(F.expr(spec.universe) & (F.col("week") >= spec.first_week))
+    body = _by_sheet(src, [_count(F.expr(pred)).alias(c) for c, pred in spec.counts.items()])
+    rows = _with_headers(body.withColumns({"table": F.lit(spec.name), "file": spec.file(F.col("week"))}))
     head = F.col("row_idx") == 1
     return rows.select("table", "file", "sheet", F.when(head, HEADER_LABEL).otherwise(F.col("variable")).alias("variable"),
                        *[F.when(~head, F.col(c)).alias(c) for c in spec.counts], "row_idx")
 
 
+#: Sums of one aggregation; beyond 100 columns Spark leaves generated code.
+PASS_SUMS = 90
+
+
+def _passes(specs: Iterable[TableSpec], most: int) -> list[list[TableSpec]]:
+    out, held = [[]], 0
+    for s in specs:
+        if held and held + len(s.counts) + 1 > most:
+            out.append([])
+            held = 0
+        out[-1].append(s)
+        held += len(s.counts) + 1
+    return out
+
+
+def cell_tables(rows: DataFrame, specs: Iterable[TableSpec], most: int = PASS_SUMS) -> DataFrame:
+    """The cell tables of several specs as one mixed table of positional cells (table, file, sheet,
+    variable, row_idx, cells): the respondents are read and grouped once for all specs whose sums fit
+    ``most``, not once per spec. A row stands where a spec's universe has respondents."""
+    out = None
+    for part in _passes(specs, most):
+        aggs, tables = [], []
+        for s in part:
+            here = F.expr(s.universe) & (F.col("week") >= s.first_week)
+            aggs.append(F.max(F.when(here, F.lit(True))).alias(f"{s.name}__has"))
+            aggs += [_count(here & F.expr(pred)).alias(f"{s.name}__{c}") for c, pred in s.counts.items()]
+            cells = {w: F.array(*[F.col(f"{s.name}__{c}").cast("double") for c in names]) for w, names in s.layouts().items()}
+            wide, narrow = cells[max(cells)], cells[min(cells)]
+            tables.append(F.when(F.col(f"{s.name}__has"), F.struct(
+                F.lit(s.name).alias("table"), s.file(F.col("week")).alias("file"),
+                F.when(F.col("week") < s.optional_from, narrow).otherwise(wide).alias("cells"))))
+        body = _by_sheet(rows, aggs).select("sheet", "variable", F.explode(F.array_compact(F.array(*tables))).alias("t"))
+        got = _with_headers(body.select("t.table", "t.file", "sheet", "variable", "t.cells"))
+        empty = F.transform("cells", lambda _: F.lit(None).cast("double"))
+        head = F.col("row_idx") == 1
+        got = got.select("table", "file", "sheet", F.when(head, HEADER_LABEL).otherwise(F.col("variable")).alias("variable"),
+                         "row_idx", F.when(head, empty).otherwise(F.col("cells")).alias("cells"))
+        out = got if out is None else out.unionByName(got)
+    return out
+
+
 def positional(cells: DataFrame, spec: TableSpec) -> DataFrame:
     """The cells as a file has them: an array c1..cN per row, without names. Files of weeks
     before ``spec.optional_from`` lack the optional columns and so are narrower."""
     wide, narrow = list(spec.counts), [c for c in spec.counts if c not in spec.optional]
-    week = F.regexp_extract("file", r"_wk(\d+)\.", 1).cast("int")
+    week = F.regexp_extract("file", r"_wk(\d+)", 1).cast("int")
     values = lambda names: F.array(*[F.col(n).cast("double") for n in names])
     cell = values(wide) if not spec.optional else F.when(week < spec.optional_from, values(narrow)).otherwise(values(wide))
     return cells.select("table", "file", "sheet", "variable", "row_idx", cell.alias("cells"))
@@ -317,13 +382,46 @@ def normalise(cells: DataFrame, spec: TableSpec) -> DataFrame:
     w = Window.partitionBy("file", "sheet").orderBy("row_idx")
     d = d.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") > 1)          # F7
     d = d.withColumns({k: F.expr(v) for k, v in spec.derived.items()})
+    return d.select("variable", _geography().alias("geography"), *spec.keep,
+                    spec.week_num(F.col("file")).alias("week_num"),                 # E5
+                    race_short_name(F.col("variable")).alias("race_var"))           # P46
+
+
+def _geography():
+    """The geography of a sheet, metro sheets by their full titles."""
     metro_title = F.create_map(*[x for title, _, sheet in K.METRO_AREAS
                                  for x in (F.lit(sheet), F.lit(title))])
-    geography = F.when(F.col("sheet").contains("Metro_Area"),                       # J11
-                       F.element_at(metro_title, F.col("sheet"))).otherwise(F.col("sheet"))
-    return d.select("variable", geography.alias("geography"), *spec.keep,
-                    extract_or_null(F.col("file"), r"_(.*?)\.xlsx").alias("week_num"),  # E5
-                    race_short_name(F.col("variable")).alias("race_var"))           # P46
+    return F.when(F.col("sheet").contains("Metro_Area"),
+                  F.element_at(metro_title, F.col("sheet"))).otherwise(F.col("sheet"))
+
+
+def dispatch(cells: DataFrame, specs: dict[str, TableSpec] | None = None) -> DataFrame:
+    """A mixed table of positional cells, each row normalised by the spec that its ``table`` names, in one
+    pass: (table, variable, geography, week_num, race_var, measure, value), a row per kept measure.
+
+    A table without a spec, or a width that its spec has no layout for, is an error."""
+    specs = SPECS if specs is None else specs
+    table, width = F.col("table"), F.size("cells")
+    is_of = {s.name: table == s.name for s in specs.values()}
+    known, week_num, kept = F.lit(False), F.lit(None).cast("string"), None
+    for s in specs.values():
+        week_num = F.when(is_of[s.name], s.week_num(F.col("file"))).otherwise(week_num)
+        for n, layout in s.layouts().items():
+            here = is_of[s.name] & (width == n)
+            known = known | here
+            # an expression's names are places of this layout; a column it lacks counts 0
+            place = {c: f"coalesce(get(cells, {layout.index(c)}), 0D)" if c in layout else "0D" for c in s.counts}
+            value = lambda k: F.expr(re.sub(r"\w+", lambda m: place.get(m[0], m[0]), s.derived.get(k, k)))  # noqa: B023, E731
+            measures = F.array(*[F.struct(F.lit(k).alias("measure"), value(k).cast("double").alias("value")) for k in s.keep])
+            kept = F.when(here, measures) if kept is None else kept.when(here, measures)
+    checked = F.when(F.coalesce(known, F.lit(False)), F.col("cells")).otherwise(
+        F.raise_error(F.concat(F.lit("no layout for "), F.coalesce("file", "table", F.lit("NULL")))).cast("array<double>"))
+    d = cells.withColumn("cells", checked).where(F.col("variable").contains("Hispanic"))          # F6
+    w = Window.partitionBy("table", "file", "sheet").orderBy("row_idx")
+    d = d.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") > 1)                       # F7
+    return (d.select("table", "variable", _geography().alias("geography"), week_num.alias("week_num"),
+                     race_short_name(F.col("variable")).alias("race_var"), F.explode(kept).alias("_m"))
+            .select("table", "variable", "geography", "week_num", "race_var", "_m.measure", "_m.value"))
 
 
 # ------------------------------------------------------------------ checks ---
@@ -344,6 +442,24 @@ def published_means(norm: DataFrame, crosswalk: DataFrame, num: str, den: str,
                     F.try_divide(F.col("sum_num"), F.col("sum_den")).alias("published_mean"), "n_weeks")
 
 
+def published_means_of(measures: DataFrame, crosswalk: DataFrame,
+                       parts: list[tuple[TableSpec, str, str, str]]) -> DataFrame:
+    """``published_means`` of many metrics in one join and one aggregation, from dispatched measures;
+    parts: (spec, metric, numerator, denominator)."""
+    uses = None
+    for what, at in (("num", 2), ("den", 3)):
+        for p in parts:
+            use = F.when((F.col("table") == p[0].name) & (F.col("measure") == p[at]),
+                         F.struct(F.lit(p[1]).alias("metric"), F.lit(what).alias("what")))
+            uses = [use] if uses is None else [*uses, use]
+    d = measures.withColumn("_u", F.explode(F.array_compact(F.array(*uses))))
+    j = d.join(F.broadcast(crosswalk.select("week_num", "week_int")), "week_num", "left")  # two rows a week at most
+    g = j.groupBy(F.coalesce("week_int", "week_num").alias("week_num"), "geography", "race_var", F.col("_u.metric").alias("metric")).agg(
+        *[F.sum(F.when(F.col("_u.what") == w, F.col("value"))).alias(w) for w in ("num", "den")],
+        F.countDistinct("week_num").alias("n_weeks"))
+    return g.select("week_num", "geography", "race_var", "metric", F.try_divide("num", "den").alias("published_mean"), "n_weeks")
+
+
 def check_against_published(estimates: DataFrame, published: DataFrame,
                             tol: float = K.QC_TOLERANCE, digits: int = 4) -> DataFrame:
     """Our means vs published ratios; both, rounded to 4 digits, are within tol.

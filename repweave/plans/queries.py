@@ -720,6 +720,38 @@ def _register_normalisers():
 _register_normalisers()
 
 
+def _normalise_all_sql() -> str:
+    from repweave.operators.published import SPECS
+    each = ", ".join(f"n_{name} as ({_normalise_sql(spec)})" for name, spec in SPECS.items())
+    return f"with {each} " + " union all ".join(
+        f"""select '{name}' as "table", variable, geography, week_num, race_var, '{k}' as measure, cast({k} as double) as value
+from n_{name}""" for name, spec in SPECS.items() for k in spec.keep)
+
+
+def normalise_all(spark, sf_dir):
+    """All fourteen published tables from one mixed cell table, each row by the spec that its table names."""
+    from repweave.operators.published import SPECS, cell_tables, dispatch
+    return dispatch(cell_tables(survey_rows(spark, sf_dir), SPECS.values()))
+
+
+register("normalise_all", _normalise_all_sql())(normalise_all)
+
+
+_RACE_XWALK_SQL = ", ".join(f"({O._sq(label)}, '{name}')" for label, name in T.RACE_CROSSWALK)
+
+
+@register("race_label_join", _sql(f"""
+, x(label, race_var) as (values {_RACE_XWALK_SQL})
+select week, hisp_rrace, race_var, count(*) as n, round(sum(pweight), 6) as weight
+from rec left join x on hisp_rrace = label group by all"""))
+def race_label_join(spark, sf_dir):
+    """Short race names joined to respondents by their label; labels without a name stay."""
+    from repweave.operators.joins import left_lookup
+    named = left_lookup(recoded(spark, sf_dir), T.race_table(spark), "hisp_rrace", "label", known_rows=len(T.RACE_CROSSWALK))
+    return named.groupBy("week", "hisp_rrace", "race_var").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.sum("pweight"), 6).alias("weight"))
+
+
 def _published_parts():
     """(spec, metric, numerator, denominator) of every published metric that is checked."""
     from repweave.operators.published import SPECS
@@ -800,16 +832,11 @@ from j"""
 def check_published(spark, sf_dir):
     """Food, rent not paid, income loss (2 metrics), stimulus and housing-confidence
     estimates vs the pooled published ratios (4 digits, +-0.002); every cell of either side."""
-    from repweave.operators.published import cell_table, check_against_published, normalise, published_means
-    rows = survey_rows(spark, sf_dir)
-    est = _estimates(spark, sf_dir)
-    xw = crosswalk(spark, est.n_weeks)
-    pubs, metrics = None, []
-    for spec, metric, num, den in _published_parts():
-        pm = published_means(normalise(cell_table(rows, spec), spec), xw, num, den, metric)
-        pubs = pm if pubs is None else pubs.unionByName(pm)
-        metrics.append(metric)
-    ft = FT.feature_table(est, sort=False).where(F.col("metric").isin(metrics))
+    from repweave.operators.published import cell_tables, check_against_published, dispatch, published_means_of
+    est, parts = _estimates(spark, sf_dir), _published_parts()
+    measures = dispatch(cell_tables(survey_rows(spark, sf_dir), {p[0].name: p[0] for p in parts}.values()))
+    pubs = published_means_of(measures, crosswalk(spark, est.n_weeks), parts)
+    ft = FT.feature_table(est, sort=False).where(F.col("metric").isin([p[1] for p in parts]))
     return check_against_published(ft, pubs)
 
 

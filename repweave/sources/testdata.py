@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from repweave import constants as K
 from repweave.constants import METRO_AREAS, N_REPLICATES
 
 PRIME = 1000003
@@ -140,6 +141,16 @@ def state_table(spark: SparkSession, sf_dir: str) -> DataFrame:
             )
 
 
+#: Race labels and their short names.
+RACE_CROSSWALK = [(K.RACE_LABEL_WHITE, "white"), (K.RACE_LABEL_BLACK, "black"), (K.RACE_LABEL_ASIAN, "asian"),
+                  (K.RACE_LABEL_HISPANIC, "hispanic"), (K.RACE_LABEL_OTHER, "other")]
+
+
+def race_table(spark: SparkSession) -> DataFrame:
+    """(label, race_var)."""
+    return spark.createDataFrame(RACE_CROSSWALK, "label string, race_var string")
+
+
 def metro_table(spark: SparkSession) -> DataFrame:
     """Metro code table: codes 0..14 in the fixed order of METRO_AREAS.
 

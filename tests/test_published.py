@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from conftest import SF001
 from repweave.operators.intervals import crosswalk
-from repweave.operators.published import (SPECS, cell_table, check_against_published,
-                                          normalise, published_means)
+from repweave.operators.published import (PASS_SUMS, SPECS, _passes, cell_table, cell_tables, check_against_published, dispatch,
+                                          normalise, positional, published_means, published_means_of)
 from repweave.plans import feature as FT
 from repweave.plans import prepare as P
 from repweave.plans import queries as Q
@@ -72,3 +72,49 @@ def test_weeks_outside_every_interval_stay(spark):
     got = {(r["week_num"], r["published_mean"], r["n_weeks"])
            for r in published_means(norm, crosswalk(spark, 3), "n", "d", "m").collect()}
     assert got == {("wk1_2", 0.5, 1), ("wk99", 0.75, 1)}
+
+
+def _long(norm, spec):
+    keys = ("variable", "geography", "week_num", "race_var")
+    return {(spec.name, *[r[k] for k in keys], m): None if r[m] is None else round(r[m], 6)
+            for r in norm.collect() for m in spec.keep}
+
+
+def test_mixed_cells_are_dispatched_by_table(spark):
+    # health2b has a file name of its own, housing1b and stimulus1 a first week or two widths
+    specs = [SPECS[n] for n in ("health2b", "housing1b", "stimulus1", "educ2")]
+    rows = Q.survey_rows(spark, SF001).where("week in (1, 2, 3, 9)").cache()
+    mixed = cell_tables(rows, specs, most=20).cache()
+    got = {(r["table"], r["variable"], r["geography"], r["week_num"], r["race_var"], r["measure"]):
+           None if r["value"] is None else round(r["value"], 6) for r in dispatch(mixed).collect()}
+    want = {}
+    for s in specs:
+        want |= _long(normalise(positional(cell_table(rows, s), s), s), s)
+    assert got == want and len({k[0] for k in got}) == 4
+    assert {k[3] for k in got if k[0] == "health2b"} == {"wk1", "wk2", "wk3", "wk9"}
+    files = {r["file"] for r in mixed.where("table = 'health2b'").select("file").distinct().collect()}
+    assert files == {"health2b_wk1.xlsx", "health2b_wk2-full.xlsx", "health2b_wk3.xlsx", "health2b_wk9.xlsx"}
+
+
+def test_one_aggregation_per_pass():
+    parts = _passes(SPECS.values(), PASS_SUMS)
+    assert [s for p in parts for s in p] == list(SPECS.values())
+    assert all(sum(len(s.counts) + 1 for s in p) <= PASS_SUMS for p in parts) and len(parts) < 4
+
+
+@pytest.mark.parametrize("table,width", [("nosuch", 6), ("food2b", 5), (None, 6)])
+def test_unknown_tables_and_widths_are_errors(spark, table, width):
+    cells = spark.createDataFrame([(table, "x_wk1.xlsx", "US", "White alone, not Hispanic", i, [1.0] * width) for i in (1, 2)],
+                                  "table string, file string, sheet string, variable string, row_idx int, cells array<double>")
+    with pytest.raises(Exception, match="no layout for x_wk1.xlsx"):
+        dispatch(cells).collect()
+
+
+def test_means_of_many_metrics_equal_single_ones(spark, parts):
+    spec, cells, _, xw = parts
+    one = published_means(normalise(cells, spec), xw, spec.numerator, spec.denominator, spec.metric)
+    many = published_means_of(dispatch(positional(cells, spec)), xw, [(spec, spec.metric, spec.numerator, spec.denominator)])
+    rows = lambda d: sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r)
+                            for r in d.select("week_num", "geography", "race_var", "metric", "published_mean", "n_weeks")
+                            .fillna(-1.0).collect())
+    assert rows(many) == rows(one)
