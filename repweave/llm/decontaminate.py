@@ -8,8 +8,8 @@ whose hit share exceeds ``max_coverage`` is rejected whole.
 
 Items are dealt to blocks by a hash of id and text, equal rows once, so that an id many rows
 have is spread (marks and items are united over blocks). Each block has an expected number of words, and its automaton
-is built by one task and written to the shared folder; a document task loads the automata
-it needs one by one. So neither the driver nor a broadcast holds the items, whatever their number.
+is built by one task and written to the shared folder; a document task loads them one by one, each once
+for ``HELD_ROWS`` bytes of its rows. So neither the driver nor a broadcast holds the items, whatever their number.
 
 Only runs of words whose neighbours also stand next to each other in some item are streamed: where a
 pair of words is in no item the match length is at most one, so a start from the root gives
@@ -27,7 +27,7 @@ import hashlib
 import io
 import pickle
 from collections.abc import Iterator
-from itertools import repeat
+from itertools import islice, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -196,8 +196,9 @@ def build(items: DataFrame, id_col: str = "item_id", text_col: str = "text", win
     return sorted(r["path"] for r in rows.groupBy("block").applyInPandas(make, "path string").collect())
 
 
-#: Automata that a worker holds at once.
+#: Automata that a worker holds at once, and bytes of rows that wait while more blocks than these take turns.
 HELD_BLOCKS = 2
+HELD_ROWS = 64 << 20
 _LOADED: dict[str, SuffixAutomaton] = {}
 
 
@@ -210,15 +211,17 @@ def _load(path: str) -> SuffixAutomaton:
 
 
 def _judge(many: list[bytes], paths: list[str]) -> Iterator[tuple[int, np.ndarray | None, set[str | None]]]:
-    """For each text: its words, the hit words as a mask (None: none) and the items found."""
-    split = [words_of(t) for t in many]
+    """For each text: its words, the hit words as a mask (None: none) and the items found. The
+    blocks stand outermost; the words are held where few blocks read them, else cut again for each."""
+    held = [words_of(t) for t in many] if len(paths) <= HELD_BLOCKS else None
+    split = lambda: held or map(words_of, many)
     marks: list[list[tuple[int, int]]] = [[] for _ in many]
     found: list[set[str | None]] = [set() for _ in many]
     for path in paths:
         automaton = _load(path)
-        for ws, m, f in zip(split, marks, found):
+        for ws, m, f in zip(split(), marks, found):
             automaton.scan(ws, m, f)
-    for ws, m, f in zip(split, marks, found):
+    for ws, m, f in zip(split(), marks, found):
         if not m:
             yield len(ws), None, f
             continue
@@ -229,21 +232,38 @@ def _judge(many: list[bytes], paths: list[str]) -> Iterator[tuple[int, np.ndarra
         yield len(ws), np.cumsum(steps[:-1]) > 0, f
 
 
+def judged(batches: Iterator[pa.RecordBatch], text_col: str, paths: list[str]) -> Iterator[tuple[pa.RecordBatch, list]]:
+    """Each batch with the judgements of its texts. Where there are more blocks than a worker holds, ``HELD_ROWS``
+    bytes of batches are judged together, so each automaton is loaded once for all of them."""
+    def together(group: list[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list]]:
+        many = [t for rb in group for t in raw(rb.column(column_index(rb.schema, text_col)))]
+        each = _judge(many, paths)
+        for rb in group:
+            yield rb, list(islice(each, rb.num_rows))
+
+    group, size = [], 0
+    for rb in batches:
+        group.append(rb)
+        size += rb.nbytes
+        if len(paths) <= HELD_BLOCKS or size >= HELD_ROWS:
+            yield from together(group)
+            group, size = [], 0
+    yield from together(group)
+
+
 def scan(docs: DataFrame, paths: list[str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Words, hit words and items per document."""
     bounded_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rb in batches:
-            n_words, n_hit, n_items, shas = [], [], [], []
-            for n, mask, f in _judge(raw(rb.column(1)), paths):
-                n_words.append(n)
-                n_hit.append(0 if mask is None else int(mask.sum()))
-                n_items.append(len(f))
-                shas.append(hashlib.sha256(",".join(sorted(f - {None})).encode()).hexdigest())
-            yield batch(SCANNED_ARROW, [rb.column(0), n_words, n_hit, n_items, shas, [n > 0 for n in n_hit]])
+        for rb, found in judged(batches, "body", paths):
+            n_hit = [0 if mask is None else int(mask.sum()) for _, mask, _ in found]
+            shas = [hashlib.sha256(",".join(sorted(f - {None})).encode()).hexdigest() for _, _, f in found]
+            yield batch(SCANNED_ARROW, [rb.column(0), [n for n, _, _ in found], n_hit, [len(f) for _, _, f in found], shas,
+                                        [n > 0 for n in n_hit]])
 
-    return docs.select(docs[id_col].cast("long"), docs[text_col].cast("string")).mapInArrow(run, SCANNED)
+    return docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].cast("string").alias("body")).mapInArrow(
+        run, SCANNED)
 
 
 def remove_spans(text: bytes, mask: np.ndarray) -> bytes:
@@ -267,14 +287,14 @@ def clean(docs: DataFrame, paths: list[str], text_col: str = "text", chars_col:
     bounded_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rb in batches:
-            values = rb.column(column_index(rb.schema, text_col)).to_pylist()
+        for rb, found in judged(batches, text_col, paths):
+            values = rb.column(column_index(rb.schema, text_col))
             keep, changed = [], {}
-            for i, (n, mask, _) in enumerate(_judge([(v or "").encode() for v in values], paths)):
+            for i, (n, mask, _) in enumerate(found):
                 share = 0.0 if mask is None else mask.sum() / n
                 keep.append(share <= max_coverage)
                 if mask is not None and keep[-1]:
-                    changed[i] = remove_spans(values[i].encode(), mask).decode()
+                    changed[i] = remove_spans(values[i].as_py().encode(), mask).decode()
             rb = relengthened(rb, text_col, chars_col, changed)
             yield rb if all(keep) else rb.filter(pa.array(keep))
 

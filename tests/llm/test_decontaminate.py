@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+import pyarrow as pa
 import pytest
 
 from repweave.llm import decontaminate as D
@@ -97,3 +98,21 @@ def test_empty_tables(spark, docs):
     none = spark.createDataFrame([], "item_id long, text string")
     assert D.scan(docs([(1, "a b")]), D.build(none)).first()["n_hit"] == 0
     assert D.scan(docs([(1, "a b")]).limit(0), D.build(none)).count() == 0
+
+
+def test_each_automaton_is_loaded_once_for_all_batches_a_task_holds(spark, monkeypatch):
+    items, texts = corpus(7, 60, [10, 12, 30])
+    paths = D.build(spark.createDataFrame(items, "item_id long, text string"), block_words=5)
+    assert len(paths) >= 8
+    loads = []
+    whole = D.read_file
+    monkeypatch.setattr(D, "read_file", lambda path: loads.append(path) or whole(path))
+    monkeypatch.setattr(D, "_LOADED", {})
+    batches = [pa.RecordBatch.from_pydict({"Text": pa.array(texts[i:i + 5], pa.string())}) for i in range(0, len(texts), 5)]
+    got = [x for _, found in D.judged(iter(batches), "text", paths) for x in found]
+    assert sorted(loads) == paths
+    want = [brute(items, t or "")[:2] for t in texts]
+    assert [(n, 0 if mask is None else mask.sum()) for n, mask, _ in got] == want
+    monkeypatch.setattr(D, "HELD_ROWS", 1)
+    assert [len(found) for _, found in D.judged(iter(batches), "text", paths)] == [rb.num_rows for rb in batches]
+    assert len(loads) > 2 * len(paths) and not list(D.judged(iter(()), "text", paths))
