@@ -28,6 +28,8 @@ from repweave.llm.common import batch, bounded_batches, texts
 
 PIECE = 8
 SKETCH = 64
+#: Characters of a text that place its row among rows of one id, and keys per range that choose the ranges.
+START, SAMPLED = 64, 20
 CACHED_PIECES = 500_000
 _MASK = (1 << 64) - 1
 
@@ -101,45 +103,53 @@ def edited(text: str, following: str) -> str:
     return text[:len(text) - n] + following[:n]
 
 
-def _above(cuts: list[int], k: Column) -> Column:
-    """How many of the falling cuts are above k: among every n-th first, then among the n
+def _cuts_up_to(cuts: list[str], key: Column) -> Column:
+    """How many of the rising cuts the key has reached: among every n-th first, then among the n
     that follow, so that many ranges cost a row little."""
     if not cuts:
         return F.lit(0)
     step = max(1, math.isqrt(len(cuts)))
-    lit = lambda xs: F.array(*[F.lit(x).cast("long") for x in xs])
-    block = F.size(F.filter(lit(cuts[::step]), lambda c: k < c))
+    lit = lambda xs: F.array(*[F.lit(x) for x in xs])
+    block = F.size(F.filter(lit(cuts[::step]), lambda c: c <= key))
     inside = F.slice(lit(cuts), (block - 1) * step + 1, F.lit(step))
-    return F.when(block == 0, 0).otherwise((block - 1) * step + F.size(F.filter(inside, lambda c: k < c)))
+    return F.when(block == 0, 0).otherwise((block - 1) * step + F.size(F.filter(inside, lambda c: c <= key)))
+
+
+def _order_key(k: Column, body: Column) -> Column:
+    """A string that rises as the id falls and, for one id, as the text's first characters rise, NULL first."""
+    falling = F.bitwise_not(k).bitwiseXOR(F.lit(-(1 << 63)))
+    return F.concat(F.lpad(F.hex(falling), 16, "0"),
+                    F.when(body.isNull(), "").otherwise(F.concat(F.lit("!"), F.substring(body, 1, START))))
 
 
 def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Each document against its edited text and the next document by falling id.
 
-    Rows are dealt to ranges of ids and sorted within, so the text is shuffled once; the first
-    row of each range also goes to the range before, as what follows that range's last row.
-    The driver holds one id per range."""
+    Rows are dealt to ranges of (id, first ``START`` characters) and sorted within, so the text is shuffled once
+    and rows that share an id are spread by their texts; only rows alike in both meet in one range. The
+    first row of each range, and it alone, also goes to the range before, as what follows that range's last row.
+    The driver holds ``SAMPLED`` and two keys per range."""
     spark = docs.sparkSession
     bounded_batches(spark)
-    lowest = -(1 << 63)
     rows = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].cast("string").alias("body")).withColumn(
-        "k", F.coalesce("id", F.lit(lowest)))
+        "k", F.coalesce("id", F.lit(-(1 << 63))))
+    rows = rows.withColumn("key", _order_key(F.col("k"), F.col("body")))
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cuts = rows.agg(F.percentile_approx("k", [i / ranges for i in range(1, ranges)] or [0.5], 10 * ranges)
-                    .alias("c")).first()["c"] or []
-    cuts = sorted(set(cuts), reverse=True)
-    part = _above(cuts, F.col("k"))
-    rows = rows.withColumn("part", part)
-    heads = sorted((r["part"], r["k"]) for r in rows.groupBy("part").agg(F.max("k").alias("k")).collect())
+    share = min(1.0, SAMPLED * ranges / max(1, docs.count()))
+    drawn = sorted(r["key"] for r in rows.select("key").sample(share, seed=8).collect())
+    cuts = sorted({drawn[i * len(drawn) // ranges] for i in range(1, ranges)}) if drawn else []
+    rows = rows.withColumn("part", _cuts_up_to(cuts, F.col("key")))
+    heads = sorted((r["part"], r["key"]) for r in rows.groupBy("part").agg(F.min("key").alias("key")).collect())
     if not heads:
         return rows.mapInArrow(lambda batches: iter(()), COMPARED)
-    ids = F.array(*[F.lit(k).cast("long") for _, k in heads])
-    before = F.array(*[F.lit(heads[i - 1][0]) for i in range(len(heads))])
-    goes = F.get(before, (F.array_position(ids, F.col("k")) - 1).cast("int"))
-    here = F.struct(F.col("part").alias("p"), F.lit(0).alias("foreign"))
-    dealt = rows.withColumn("to", F.explode(F.when(
-        F.array_contains(ids, F.col("k")), F.array(here, F.struct(goes.alias("p"), F.lit(1).alias("foreign"))))
-        .otherwise(F.array(here)))).select("to.p", "to.foreign", "k", "body", "id")
+    first = dict(heads)
+    before = {part: heads[i - 1][0] for i, (part, _) in enumerate(heads)}
+    of_part = lambda of: F.get(F.array(*[F.lit(of.get(i)) for i in range(len(cuts) + 1)]), F.col("part"))
+    # rows of one key all have a text or all have none, so the smallest is the first
+    followers = (rows.where(F.col("key") == of_part(first)).groupBy("part").agg(F.min("body").alias("body"))
+                 .select(of_part(before).alias("p"), F.lit(1).alias("foreign"), F.lit(None).cast("long").alias("k"), "body",
+                         F.lit(None).cast("long").alias("id")))
+    dealt = rows.select(F.col("part").alias("p"), F.lit(0).alias("foreign"), "k", "body", "id").unionAll(followers)
     dealt = dealt.repartitionById(len(cuts) + 1, F.col("p")).sortWithinPartitions(
         "p", "foreign", F.col("k").desc(), F.col("body").asc_nulls_first())
 
@@ -148,8 +158,6 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
         for rb in batches:
             out = []
             for p, foreign, body, i in zip(*(rb.column(c).to_pylist() for c in (0, 1, 3, 4)), strict=True):
-                if foreign and (last is None or last[0] != p):
-                    continue  # a range's first follower was taken already
                 body = body or ""
                 sketch = signature(body)
                 if last is not None and last[0] == p:

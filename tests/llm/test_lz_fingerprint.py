@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from repweave.llm import lz_fingerprint as L
 
@@ -72,3 +73,16 @@ def test_empty_table_and_equal_texts(spark, docs):
     assert L.with_next(docs([(1, "a")]).limit(0)).count() == 0
     got = {r["doc_id"]: r["fingerprint"] for r in L.fingerprints(docs([(1, "a b"), (2, "a b"), (3, "c"), (4, None)])).collect()}
     assert got[1] == got[2] != got[3] and got[4] == ""
+
+
+def test_rows_of_one_id_are_spread_and_one_row_is_handed_over(spark, docs):
+    rng = random.Random(4)
+    rows = [(None if i % 3 else i, f"{rng.random()} text {i}") for i in range(400)] + [(None, "same")] * 30
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 8)
+    try:
+        got = L.with_next(docs(rows))
+        sizes = [r["n"] for r in got.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert sum(sizes) == len(rows) and max(sizes) < len(rows) / 3
