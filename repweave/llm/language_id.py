@@ -12,6 +12,7 @@ Four kinds of evidence meet in one posterior per document:
 A class for no known language has a uniform likelihood over trigrams. A document is rejected
 if that class wins or no language reaches ``min_confidence``.
 
+Declared codes are folded to their primary part, so that en and en-US are one language.
 The trigram model is fitted on a bounded sample: about ``sample`` rows for each declared
 language, chosen by a hash of the id. Each language that ``MIN_ROWS`` rows declare has a model, if its sample has
 letters. Counts for hosts and suffixes cover all rows.
@@ -46,8 +47,10 @@ DECLARED_RIGHT = 0.9
 UNKNOWN_PRIOR = 0.01
 HOST_WEIGHT, SUFFIX_WEIGHT = 20.0, 50.0
 MIN_CONFIDENCE = 0.5
-#: Places that a host's rows are dealt to when they meet its prior.
-SALTS = 32
+#: Places that the rows of a host with more than ``HOT_SHARE`` of all rows are dealt to when they meet its prior.
+SALTS, HOT_SHARE = 32, 1 / 64
+#: Trigrams that are looked up at once, for each language.
+GATHERED = 1 << 16
 
 #: Letters (and all beyond ASCII) stay, all else is a blank.
 LETTERS = bytes(b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -65,6 +68,12 @@ def trigrams(text: str) -> np.ndarray:
     return code
 
 
+def primary(code: Column) -> Column:
+    """The primary part of a language code in lower case (en-US: en); other names as they are."""
+    code = F.lower(code)
+    return F.coalesce(F.nullif(F.regexp_extract(code, "^([a-z]{2,3})[-_]", 1), F.lit("")), code)
+
+
 def _declared_languages(rows: DataFrame) -> dict[str, int]:
     counts = rows.where(F.col("declared").isNotNull()).groupBy("declared").agg(F.count(F.lit(1)).alias("n"))
     # a row per language with a model reaches the driver
@@ -111,71 +120,83 @@ def identify(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", decl
     none = F.lit(None).cast("string")
     pick = lambda c: none if c is None else F.when(c != "", c.cast("string"))
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("body"),
-                     F.lower(pick(declared)).alias("declared"), F.coalesce(F.lower(pick(host)), F.lit("")).alias("host"),
+                     primary(pick(declared)).alias("declared"), F.coalesce(F.lower(pick(host)), F.lit("")).alias("host"),
                      F.coalesce(F.lower(pick(suffix)), F.lit("")).alias("suffix"),
                      (F.lit(None) if key is None else key).cast("string").alias("key"))
     languages, logp = fit(rows, sample)
     k = len(languages)
     unknown = -float(np.log(BUCKETS))
     fields = [("id", pa.int64()), ("declared", pa.string()), ("host", pa.string()), ("suffix", pa.string()),
-              ("key", pa.string()), ("guess", pa.int32()), ("evidence", pa.list_(pa.float64()))]
+              ("key", pa.string()), ("said", pa.int32()), ("guess", pa.int32()), ("evidence", pa.list_(pa.float64()))]
     schema = pa.schema(fields)
+    place = {x: i for i, x in enumerate(languages)} | {None: None}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rb in batches:
             guess, evidence = [], []
+            said = [place.get(x, -1) for x in rb.column(2).to_pylist()]
             for t in texts(rb.column(1)):
                 code = trigrams(t)
                 if len(code):
-                    mean = [float(p[code].sum(dtype=np.float64)) / len(code) for p in logp] + [unknown]
-                    weight = min(len(code), EFFECTIVE)
-                    evidence.append([weight * m for m in mean])
+                    total = sum(logp.take(code[i:i + GATHERED], axis=1).sum(axis=1, dtype=np.float64)
+                                for i in range(0, len(code), GATHERED))
+                    mean = np.append(total / len(code), unknown)
+                    evidence.append(min(len(code), EFFECTIVE) * mean)
                     guess.append(int(np.argmax(mean)))
                 else:
                     evidence.append(None)
                     guess.append(k)
             yield pa.RecordBatch.from_arrays(
                 [rb.column(0), rb.column(2), rb.column(3), rb.column(4), rb.column(5),
-                 pa.array(guess, pa.int32()), pa.array(evidence, pa.list_(pa.float64()))], schema=schema)
+                 pa.array(said, pa.int32()), pa.array(guess, pa.int32()), pa.array(evidence, pa.list_(pa.float64()))], schema=schema)
 
     scored = materialise(rows.select("id", "body", "declared", "host", "suffix", "key").mapInArrow(
-        run, "id long, declared string, host string, suffix string, key string, guess int, evidence array<double>"),
+        run, "id long, declared string, host string, suffix string, key string, said int, guess int, "
+        "evidence array<double>"),
         "language")
     if not k:
         alone = F.col("evidence").isNotNull() & F.col("declared").isNotNull()
         return scored.select("id", "declared", F.when(alone, F.col("declared")).alias("lang"),
                              F.when(alone, 1.0).otherwise(0.0).alias("confidence"), (~alone).alias("rejected"), "key")
 
-    # grouped counts of the text's own verdicts: a row per host, rolled up to suffix and all
-    tally = [F.sum((F.col("guess") == i).cast("long")).alias(f"n{i}") for i in range(k)]
-    hosts = scored.groupBy("suffix", "host").agg(*tally)
-    add = [F.sum(f"n{i}").alias(f"n{i}") for i in range(k)]
-    suffixes = hosts.groupBy("suffix").agg(*add)
-    every = suffixes.agg(*add).first()
-    total = sum(every[i] or 0 for i in range(k))
-    base = [((every[i] or 0) + 1) / (total + k) for i in range(k)]
-
-    def smooth(rows: DataFrame, weight: float, towards: list[Column], name: str, keys: list[str]) -> DataFrame:
-        n = sum((F.col(f"n{i}") for i in range(1, k)), F.col("n0"))
-        return rows.select(*keys, F.array(*[(F.col(f"n{i}") + weight * towards[i]) / (n + weight)
-                                            for i in range(k)]).alias(name))
-
-    of_suffix = smooth(suffixes, SUFFIX_WEIGHT, [F.lit(b) for b in base], "s", ["suffix"])
-    of_host = smooth(hosts.join(of_suffix, "suffix"), HOST_WEIGHT, [F.col("s")[i] for i in range(k)], "prior",
-                     ["suffix", "host"])
+    # grouped counts of the text's own verdicts, a row per host and verdict (k: none), rolled up to suffix and all
+    tally = materialise(scored.groupBy("suffix", "host", "guess").agg(F.count(F.lit(1)).alias("n")), "hosts")
+    every = {r["guess"]: r["n"] for r in tally.groupBy("guess").agg(F.sum("n").alias("n")).collect()}
+    n_rows, total = sum(every.values()), sum(n for g, n in every.items() if g < k)
+    base = F.array(*[F.lit((every.get(i, 0) + 1) / (total + k)) for i in range(k)])
+
+    def counted(rows: DataFrame, *keys: str) -> DataFrame:
+        of = F.col("guess") < k
+        return rows.groupBy(*keys).agg(F.coalesce(F.sum(F.when(of, F.col("n"))), F.lit(0)).alias("n"), F.sum("n").alias("all"),
+                                       F.map_from_entries(F.collect_list(F.when(of, F.struct("guess", "n")))).alias("of"))
+
+    def smooth(weight: float, towards: Column) -> Column:
+        return F.transform(towards, lambda x, i: (F.coalesce(F.try_element_at("of", i), F.lit(0)) + weight * x)
+                           / (F.col("n") + weight))
+
+    of_suffix = counted(tally.groupBy("suffix", "guess").agg(F.sum("n").alias("n")), "suffix").select(
+        "suffix", smooth(SUFFIX_WEIGHT, base).alias("s"))
+    of_host = counted(tally, "suffix", "host").join(of_suffix, "suffix").select(
+        "suffix", "host", smooth(HOST_WEIGHT, F.col("s")).alias("prior"))
     names = F.array(*[F.lit(x) for x in languages])
     # declared, but without a model: the last class stands for it
-    bare = F.col("declared").isNotNull() & ~F.col("declared").isin(languages)
-    same = [F.when(F.col("declared") == x, np.log(DECLARED_RIGHT)).when(
-        F.col("declared").isNull(), 0.0).when(bare, np.log((1 - DECLARED_RIGHT) / k)).otherwise(
-        np.log((1 - DECLARED_RIGHT) / max(k - 1, 1))) for x in languages]
-    spread = F.when(F.col("declared").isNull(), 0.0).when(bare, np.log(DECLARED_RIGHT)).otherwise(np.log(1 / k))
-    parts = [F.col("evidence")[i] + F.log(F.col("prior")[i] * (1 - UNKNOWN_PRIOR)) + same[i] for i in range(k)]
-    parts.append(F.col("evidence")[k] + F.log(F.lit(UNKNOWN_PRIOR)) + spread)
-    # a host may hold a third of all rows: its rows meet copies of its prior in SALTS places
-    spread_hosts = of_host.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salted = scored.withColumn("salt", F.pmod(F.xxhash64("id", "key"), F.lit(SALTS)).cast("int"))
-    post = (salted.join(spread_hosts, ["suffix", "host", "salt"], "left").withColumn("p", F.array(*parts))
+    bare = F.coalesce(F.col("said") == -1, F.lit(False))
+    same = lambda i: F.when(F.col("said").isNull(), 0.0).when(F.col("said") == i, np.log(DECLARED_RIGHT)).when(
+        bare, np.log((1 - DECLARED_RIGHT) / k)).otherwise(np.log((1 - DECLARED_RIGHT) / max(k - 1, 1)))
+    spread = F.when(F.col("said").isNull(), 0.0).when(bare, np.log(DECLARED_RIGHT)).otherwise(np.log(1 / k))
+    parts = F.concat(
+        F.transform(F.slice("evidence", 1, k), lambda e, i: e + F.log(F.get("prior", i) * (1 - UNKNOWN_PRIOR)) + same(i)),
+        F.array(F.get("evidence", F.lit(k)) + F.log(F.lit(UNKNOWN_PRIOR)) + spread))
+    # a host may hold a third of all rows: the rows of such a host, of which there are 1 / HOT_SHARE at most, meet
+    # copies of its prior in SALTS places
+    where = F.concat_ws("/", "host", "suffix")
+    hot = where.isin([r["w"] for r in tally.groupBy(where.alias("w")).agg(F.sum("n").alias("n")).where(
+        F.col("n") > HOT_SHARE * n_rows).collect()])
+    spread_hosts = of_host.withColumn("salt", F.explode(F.when(hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(
+        F.array(F.lit(0)))))
+    salted = scored.withColumn("salt", F.when(hot, F.pmod(F.xxhash64("id", "key", "evidence"), F.lit(SALTS)).cast("int"))
+                               .otherwise(0))
+    post = (salted.join(spread_hosts, ["suffix", "host", "salt"], "left").withColumn("p", parts)
             .withColumn("top", F.array_max("p"))
             .withColumn("at", F.array_position("p", F.col("top")).cast("int"))
             .withColumn("confidence", F.when(F.col("evidence").isNull(), 0.0).otherwise(

@@ -107,3 +107,25 @@ def test_page_evidence(spark):
     one, two = G.page_columns(page).withColumn("suffix", G.suffix_of(F.col("host"))).collect()
     assert one["text"].split() == ["Hallo", "Welt"] and (one["declared"], one["host"], one["suffix"]) == ("de", "x.example.de", "de")
     assert two["text"] is None
+
+
+def test_codes_fold_to_their_primary_part(spark, docs):
+    rows = [(i, t, {"en": ["en", "en-US", "EN_gb"][i // 3 % 3], "fr": "fr", "de": "de-x-old"}[k], h) for i, t, k, h in rows_of(8)]
+    got = verdicts(docs(rows))
+    assert {r["lang"] for r in got.values()} == {"en", "fr", "de"} == {r["declared"] for r in got.values()}
+
+
+def test_the_plan_does_not_grow_with_languages(spark, docs):
+    rng = random.Random(9)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows, size = [], {}
+    for n in (2, 60):
+        words = {f"l{j:02d}": ["".join(rng.choices(letters, k=6)) for _ in range(12)] for j in range(n)}
+        rows = [(i, " ".join(rng.choices(words[k], k=30)), k, f"hot.{k}" if i % 3 else "hot") for i in range(n * 25)
+                for k in [f"l{i % n:02d}"]]
+        host = F.col("source")
+        out = G.identify(docs(rows), declared=F.col("lang"), host=host, suffix=G.suffix_of(host))
+        size[n] = out._jdf.queryExecution().optimizedPlan().toString().count("evidence")
+        got = {r["id"]: r["lang"] for r in out.collect()}
+        assert sum(got[i] == k for i, _, k, _ in rows) == len(rows)
+    assert size[2] == size[60]
