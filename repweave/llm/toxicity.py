@@ -8,14 +8,14 @@ clause's pattern (threat at a target, insult at a target, threat, insult, report
 or nothing. A document's score is a logistic function of how often each pattern
 matched (by doublings: once, three times, seven times, ...), so matched clauses are scored, not words.
 
-Insult words come from a fixed list and from labels: word beginnings and whole words that
+Insult and threat words come from fixed lists and from labels: word beginnings and whole words that
 stand in toxic documents far more than in others (likelihood ratio and lift), so that inflected
-forms match. They are learnt on a bounded sample of the training labels (``SAMPLE`` rows of each class,
+forms match; those that mostly stand between an intent and a target ("will ... you") are threats. They are learnt on a bounded sample of the training labels (``SAMPLE`` rows of each class,
 chosen by a hash of the id). The pattern weights are fitted on all training labels, from one row
 per combination of pattern counts. Rows with crc32(id) mod ``FOLDS`` = 0 are never learnt from.
 
 Defined cases: NULL or empty texts match nothing and get the score of no match; NULL ids are held out
-from learning (they have no label); repeated rows are each scored; an empty label table leaves the
+from learning (they have no label); an id labelled both ways counts as toxic for the weights; repeated rows are each scored; an empty label table leaves the
 prior weights; an empty table gives no rows; lang, source and id are no input of a score.
 """
 
@@ -38,15 +38,21 @@ FOLDS = 5
 SAMPLE = 20_000
 BEGINNINGS = range(4, 8)
 MIN_EVIDENCE, MIN_LIFT, MIN_DOCS = 25.0, 20.0, 3
+FRAMED = 0.5
 CACHED_WORDS = 500_000
 #: Beginnings that a task counts at once.
 HELD_PARTS = 1_000_000
 
-# Word classes of the grammar in four languages
+# Word classes of the grammar in four languages; intents are what a threat word follows
 INSULTS = {"idiot", "idiots", "moron", "morons", "stupid", "scum", "loser", "losers", "pathetic", "worthless", "trash",
            "disgusting", "imbecile", "imbécile", "connard", "connasse", "salaud", "dummkopf", "arschloch", "trottel",
            "abschaum", "idioten", "estúpido", "estúpida", "imbécil", "gilipollas", "cabrón"}
-THREATS = {"kill", "murder", "strangle", "stab", "tuer", "töten", "umbringen", "matar"}
+THREATS = {"kill", "kills", "killed", "killing", "murder", "murders", "murdered", "murdering", "strangle", "strangles",
+           "strangled", "strangling", "stab", "stabs", "stabbed", "stabbing", "shoot", "shoots", "shooting", "behead",
+           "slaughter", "tuer", "tuerai", "poignarder", "étrangler", "töten", "töte", "umbringen", "erschießen", "erwürgen",
+           "matar", "mataré", "apuñalar", "asesinar"}
+INTENTS = {"will", "gonna", "going", "shall", "should", "must", "i'll", "we'll", "they'll", "hope", "werde", "werden", "wird",
+           "soll", "sollte", "vais", "va", "allons", "voy", "vamos"}
 TARGETS = {"you", "your", "he", "she", "they", "them", "tu", "toi", "vous", "votre", "du", "dich", "ihr", "euch", "tú",
            "usted", "ustedes", "vosotros"}
 NEGATIONS = {"not", "never", "no", "don't", "isn't", "aren't", "won't", "ne", "pas", "jamais", "nicht", "kein", "keine",
@@ -101,12 +107,17 @@ def compose() -> tuple[list[list[int]], list[int]]:
 NEXT, SAYS = compose()
 
 
+def known(word: str, learnt: frozenset[str]) -> bool:
+    """Whether a word, or one of its beginnings, was learnt."""
+    return word + "$" in learnt or any(word[:n] in learnt for n in BEGINNINGS if n <= len(word))
+
+
 class Symbols(dict):
     """Word to symbol, remembered."""
 
-    def __init__(self, learnt: frozenset[str]):
+    def __init__(self, learnt: frozenset[str], threats: frozenset[str] = frozenset()):
         super().__init__()
-        self.learnt = learnt
+        self.learnt, self.threats = learnt, threats
 
     def __missing__(self, word: str) -> int:
         if len(self) > CACHED_WORDS:
@@ -114,9 +125,10 @@ class Symbols(dict):
         plain = word.replace("’", "'")
         if not word[0].isalpha():
             out = END
-        elif plain in INSULTS or plain + "$" in self.learnt or any(plain[:n] in self.learnt for n in BEGINNINGS
-                                                                   if n <= len(plain)):
+        elif plain in INSULTS or known(plain, self.learnt):
             out = INSULT
+        elif known(plain, self.threats):
+            out = THREAT
         else:
             out = next((c for c, words in ((THREAT, THREATS), (TARGET, TARGETS), (NEGATION, NEGATIONS),
                                            (REPORT, REPORTS)) if plain in words), OTHER)
@@ -137,23 +149,42 @@ def match(text: str, symbols: Symbols) -> list[int]:
     return out
 
 
+def parts(words: set[str]) -> set[str]:
+    """The beginnings of words, and whole words marked by $."""
+    words = {w for w in words if w[0].isalpha() and len(w) >= BEGINNINGS[0]}
+    return {w[:n] for w in words for n in BEGINNINGS if n <= len(w)} | {w + "$" for w in words}
+
+
 def beginnings(text: str) -> set[str]:
     """The beginnings of a text's words, and whole words marked by $."""
-    words = {w for w in _TOKEN.findall(text.lower()) if w[0].isalpha() and len(w) >= BEGINNINGS[0]}
-    return {w[:n] for w in words for n in BEGINNINGS if n <= len(w)} | {w + "$" for w in words}
+    return parts(set(_TOKEN.findall(text.lower())))
+
+
+def framed(text: str) -> set[str]:
+    """The words that stand where a threat stands: at most one word after an intent, at most one before a target
+    ("will florp you", "gonna really florp them"), in one clause."""
+    words = [w.replace("’", "'") for w in _TOKEN.findall(text.lower())]
+    out = set()
+    for i in (i for i, w in enumerate(words) if w in INTENTS):
+        for at in (i + 1, i + 2):
+            near = words[i + 1:at + 3]
+            end = next((n for n, w in enumerate(near) if not w[0].isalpha()), len(near))
+            if at - i - 1 < end and any(w in TARGETS for w in near[at - i:end]):
+                out.add(words[at])
+    return out - TARGETS - INTENTS
 
 
 def document_counts(docs: DataFrame) -> DataFrame:
-    """(part, t, f): in how many toxic and in how many other documents a beginning stands; docs: (toxic, body).
-    Partial counts per task first."""
-    schema = pa.schema([("part", pa.string()), ("t", pa.int64()), ("f", pa.int64())])
+    """(part, t, f, h): in how many toxic and in how many other documents a beginning stands, and in how many toxic
+    ones where a threat stands; docs: (toxic, body). Partial counts per task first."""
+    schema = pa.schema([("part", pa.string()), ("t", pa.int64()), ("f", pa.int64()), ("h", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: tuple[Counter[str], Counter[str]] = Counter(), Counter()
+        total: tuple[Counter[str], Counter[str], Counter[str]] = Counter(), Counter(), Counter()
 
         def put() -> pa.RecordBatch:
-            parts = list(total[0].keys() | total[1].keys())
-            out = batch(schema, [parts, [total[1][p] for p in parts], [total[0][p] for p in parts]])
+            found = list(total[0].keys() | total[1].keys() | total[2].keys())
+            out = batch(schema, [found, *([total[c][p] for p in found] for c in (1, 0, 2))])
             for c in total:
                 c.clear()
             return out
@@ -161,12 +192,14 @@ def document_counts(docs: DataFrame) -> DataFrame:
         for rb in batches:
             for toxic, t in zip(rb.column(0).to_pylist(), texts(rb.column(1)), strict=True):
                 total[toxic].update(beginnings(t))
+                if toxic:
+                    total[2].update(parts(framed(t)))
             if len(total[0]) + len(total[1]) > HELD_PARTS:
                 yield put()
         yield put()
 
-    return docs.mapInArrow(run, "part string, t long, f long").groupBy("part").agg(
-        F.sum("t").alias("t"), F.sum("f").alias("f"))
+    return docs.mapInArrow(run, "part string, t long, f long, h long").groupBy("part").agg(
+        F.sum("t").alias("t"), F.sum("f").alias("f"), F.sum("h").alias("h"))
 
 
 def _lifted(t, f, n_toxic: float, n_other: float) -> tuple:
@@ -208,14 +241,15 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % FOLDS == 0, F.lit(True))
 
 
-def learn_words(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> frozenset[str]:
-    """Insult words from a bounded sample of training labels. docs: (id, body); labels: (id, toxic).
+def learn_words(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[frozenset[str], frozenset[str]]:
+    """Insult and threat words from a bounded sample of training labels. docs: (id, body); labels: (id, toxic).
+    A telling word that stands where a threat does in ``FRAMED`` of its toxic documents is a threat, all others are insults.
 
     Both classes are counted in one pass, and only beginnings with enough lift leave the cluster:
     the driver gets these few, never the words of the sample."""
     counts = {r["toxic"]: r["n"] for r in labels.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts.get(0) or not counts.get(1):
-        return frozenset()
+        return frozenset(), frozenset()
     share = [min(1.0, sample / counts[toxic]) for toxic in (0, 1)]
     n_other, n_toxic = (s * counts[toxic] for toxic, s in enumerate(share))
     below = F.when(F.col("toxic") == 1, int(share[1] * (1 << 20))).otherwise(int(share[0] * (1 << 20)))
@@ -223,7 +257,9 @@ def learn_words(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> fro
     drawn = labels.where(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < below).select("id", "toxic").distinct()
     enough, lift = _lifted(F.col("t"), F.col("f"), n_toxic, n_other)
     found = document_counts(docs.join(F.broadcast(drawn), "id").select("toxic", "body")).where(enough & lift).collect()
-    return choose({r["part"]: r["t"] for r in found}, {r["part"]: r["f"] for r in found}, n_toxic, n_other)
+    told = choose({r["part"]: r["t"] for r in found}, {r["part"]: r["f"] for r in found}, n_toxic, n_other)
+    threats = frozenset(r["part"] for r in found if r["part"] in told and r["h"] >= max(MIN_DOCS, FRAMED * r["t"]))
+    return told - threats, threats
 
 
 def fit_weights(rows: np.ndarray, n: np.ndarray, toxic: np.ndarray, ridge: float = 1.0) -> np.ndarray:
@@ -246,20 +282,20 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """(doc_id, held_out, score, predicted, clauses): clauses are the matches per pattern."""
     bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("body"))
-    known = labels.select(F.col(label_id).cast("long").alias("id"), F.col(label_col).cast("int").alias("toxic")).where(
+    labelled = labels.select(F.col(label_id).cast("long").alias("id"), F.col(label_col).cast("int").alias("toxic")).where(
         F.col("toxic").isin(0, 1) & ~held_out(F.col("id")))
-    learnt = learn_words(rows, known, sample)
+    insults, threats = learn_words(rows, labelled, sample)
     schema = pa.schema([("id", pa.int64()), ("clauses", pa.list_(pa.int32()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        symbols = Symbols(learnt)
+        symbols = Symbols(insults, threats)
         for rb in batches:
             yield batch(schema, [rb.column(0), [match(t, symbols) for t in texts(rb.column(1))]])
 
     matched = materialise(rows.mapInArrow(run, "id long, clauses array<int>"), "clauses")
     # how often a pattern matched counts by doublings, so there are few combinations of them
     doublings = [F.floor(F.log2(1.0 + F.col("clauses")[i])).cast("int").alias(f"c{i}") for i in range(len(PATTERNS))]
-    cells = (matched.select("id", *doublings).join(known.groupBy("id").agg(F.max("toxic").alias("toxic")), "id")
+    cells = (matched.select("id", *doublings).join(labelled.groupBy("id").agg(F.max("toxic").alias("toxic")), "id")
              .groupBy(*[f"c{i}" for i in range(len(PATTERNS))])
              .agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("toxic")).collect())
     weights = PRIOR

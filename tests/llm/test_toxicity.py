@@ -114,3 +114,17 @@ def test_held_out_accuracy_on_the_test_tables(spark):
     got = E.queries()["op4_toxicity"](spark, SF01).where("held_out").join(labels, "doc_id")
     n, right = got.agg(F.count("*"), F.sum((F.col("predicted") == F.col("toxic")).cast("int"))).first()
     assert n > 50 and right / n > 0.95
+
+
+def test_threat_words_are_learnt_from_where_they_stand(spark):
+    assert T.framed("I will really florp you. we should go\nyou") == {"really", "florp"}
+    assert T.framed("Gonna florp them; going home. You") == {"florp"}
+    assert T.framed("you will florp") == T.framed("") == T.framed("will you") == set()
+    rows = [(i, f"today i {['will florp', 'am gonna florp'][i % 2]} you number{i}" if i % 5 == 1 else
+             f"what a grumpf tree number{i}" if i % 5 == 2 else f"we will water your tree number{i}") for i in range(600)]
+    known = spark.createDataFrame([(i, int(i % 5 in (1, 2))) for i in range(600)], "id long, toxic int")
+    insults, threats = T.learn_words(spark.createDataFrame(rows, "id long, body string"), known)
+    assert threats == {"florp$"} and "grumpf$" in insults and not insults & threats
+    read = lambda text: {T.PATTERNS[i]: n for i, n in enumerate(T.match(text, T.Symbols(insults, threats))) if n}
+    assert read("they florp you") == {"threat_target": 1} and read("never florp you") == {"negated": 1}
+    assert read("they shoot you. grumpf; he kills") == {"threat_target": 2, "insult": 1}
