@@ -19,7 +19,7 @@ replicate. Spark then merges the tasks' rows with one grouped sum. So no respond
 ever copied 81 times, and the shuffle holds at most tasks x cube rows.
 
 Layout: replicates are rows (``rep`` 0..R), metrics are columns (3 per metric), narrow enough for
-whole-stage codegen. Counts do not depend on the replicate: they stand at ``rep`` 0, and are 0 elsewhere.
+whole-stage codegen. Every replicate has the counts of its rows.
 """
 
 from __future__ import annotations
@@ -119,12 +119,11 @@ class CellSums:
     def rows(self, schema: pa.Schema, names: list[str], number: int) -> Iterator[pa.RecordBatch]:
         """One row per cell and replicate; keys that are not among ``names`` are NULL."""
         cells = list(self.number)
-        metrics, reps = self.shape
+        reps = self.shape[1]
         for at in range(0, len(cells), BATCH_CELLS):
             part = cells[at:at + BATCH_CELLS]
             size = len(part) * reps
-            counts = np.zeros((len(part), reps, metrics), dtype=np.int64)
-            counts[:, 0] = self.n[at:at + len(part)]
+            counts = np.repeat(self.n[at:at + len(part), None], reps, axis=1)
             sums = self.sums[at:at + len(part)]
             made = {"_set": pa.array(np.full(size, number, dtype=np.int32)),
                     "rep": pa.array(np.tile(np.arange(reps, dtype=np.int32), len(part)))}
