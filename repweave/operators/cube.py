@@ -28,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -61,17 +61,12 @@ def metrics_of(df: DataFrame) -> list[str]:
     return [c[3:] for c in df.columns if c.startswith("n__")]
 
 
-def weight_array(design: ReplicateDesign) -> Column:
-    """ARRAY<DOUBLE> [w0, w1..wR]: full weight then replicates, scaled."""
-    f = F.lit(design.weight_factor)
-    return F.concat(F.array(F.col(design.weight) * f),
-                    F.transform(F.col(design.repweights), lambda v: v * f))
-
-
 #: Cells whose sums a task holds before it gives them off: 20 kB each with 16 metrics and 81 weights.
 HELD_CELLS = 4096
 #: Cells given off in one Arrow batch.
 BATCH_CELLS = 64
+#: Rows whose weights are added at once: 26 MB with 81 weights.
+BATCH_ROWS = 40_000
 
 
 class CellSums:
@@ -100,6 +95,7 @@ class CellSums:
             levels.append(names)
         order = np.argsort(code, kind="stable")
         cells, starts = np.unique(code[order], return_index=True)
+        ends = [*starts[1:].tolist(), len(order)]
         if len(self.number) + len(cells) > len(self.n):
             self._grow(2 * (len(self.number) + len(cells)))
         at = np.empty(len(cells), dtype=np.int64)
@@ -109,12 +105,14 @@ class CellSums:
                 c, place = divmod(c, len(names))
                 cell.append(names[place])
             at[i] = self.number.setdefault(tuple(reversed(cell)), len(self.number))
-        weights = weights[order]
-        for m, (value, has) in enumerate(zip(values[:, order], known[:, order])):
-            # the same additions in the same order for both sums: a mean of ones is exactly one
-            self.n[at, m] += np.add.reduceat(has.astype(np.int64), starts)
-            self.sums[at, 0, m] += np.add.reduceat(weights * has[:, None], starts, axis=0)
-            self.sums[at, 1, m] += np.add.reduceat(weights * value[:, None], starts, axis=0)
+        weights, ones = weights[order], known[:, order]
+        self.n[at] += np.add.reduceat(ones.astype(np.int64), starts, axis=1).T
+        # products of one shape, so both sums are the same additions in the same order: a mean of ones is exactly one
+        ones, values = ones.astype(np.float64), values[:, order]
+        for i, start, end in zip(at.tolist(), starts.tolist(), ends):
+            part = weights[start:end]
+            self.sums[i, 0] += ones[:, start:end] @ part
+            self.sums[i, 1] += values[:, start:end] @ part
 
     def rows(self, schema: pa.Schema, names: list[str], number: int) -> Iterator[pa.RecordBatch]:
         """One row per cell and replicate; keys that are not among ``names`` are NULL."""
@@ -138,12 +136,26 @@ class CellSums:
                 [made[f.name] if f.name in made else pa.nulls(size, f.type) for f in schema], schema=schema)
 
 
+def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of ``BATCH_ROWS`` rows or a little more: a cell is then added once for many rows."""
+    held, rows = [], 0
+    for rb in batches:
+        held.append(rb)
+        rows += rb.num_rows
+        if rows >= BATCH_ROWS:
+            yield pa.concat_batches(held)
+            held, rows = [], 0
+    if rows:
+        yield pa.concat_batches(held)
+
+
 def task_sums(df: DataFrame, design: ReplicateDesign, metrics: list[str], keys: list[str],
               sets: list[list[str]]) -> DataFrame:
     """Each task's sums, by each of the lists of keys: (keys, _set, rep, stats), NULL in keys that are not of the
     list. Respondents without replicate weights are left out."""
     reps = design.n_replicates
-    rows = df.select(*[F.col(k) for k in keys], weight_array(design).alias("_w"),
+    rows = df.select(*[F.col(k) for k in keys], F.col(design.weight).cast("double").alias("_w0"),
+                     F.col(design.repweights).cast("array<double>").alias("_w"),
                      *[F.col(m).cast("double").alias(f"_x{i}") for i, m in enumerate(metrics)])
     rows = rows.where(F.col("_w").isNotNull())
     types = {f.name: f.dataType for f in rows.schema.fields}
@@ -156,17 +168,17 @@ def task_sums(df: DataFrame, design: ReplicateDesign, metrics: list[str], keys:
         from pyspark.sql.pandas.types import to_arrow_schema
         arrow = to_arrow_schema(schema)
         held = [CellSums(len(metrics), reps) for _ in sets]
-        for rb in batches:
-            if not rb.num_rows:
-                continue
-            w = rb.column(len(keys))
-            flat = w.flatten()
-            if len(flat) != rb.num_rows * (reps + 1):
+        first = len(keys) + 2
+        for rb in joined(batches):
+            flat = rb.column(first - 1).flatten()
+            if len(flat) != rb.num_rows * reps:
                 raise ValueError(f"every row needs {reps} replicate weights")
-            weights = np.nan_to_num(flat.to_numpy(zero_copy_only=False), nan=0.0).reshape(-1, reps + 1) \
-                if flat.null_count else flat.to_numpy().reshape(-1, reps + 1)
-            known = np.array([rb.column(len(keys) + 1 + m).is_valid().to_numpy(zero_copy_only=False) for m in range(len(metrics))])
-            values = np.array([rb.column(len(keys) + 1 + m).fill_null(0.0).to_numpy() for m in range(len(metrics))])
+            weights = np.empty((rb.num_rows, reps + 1))
+            weights[:, 0] = rb.column(first - 2).fill_null(0.0).to_numpy()
+            weights[:, 1:] = flat.fill_null(0.0).to_numpy().reshape(-1, reps)
+            weights *= design.weight_factor                                              # P36
+            known = np.array([rb.column(first + m).is_valid().to_numpy(zero_copy_only=False) for m in range(len(metrics))])
+            values = np.array([rb.column(first + m).fill_null(0.0).to_numpy() for m in range(len(metrics))])
             for i, (cells, names) in enumerate(zip(held, sets)):
                 cells.add([rb.column(keys.index(k)) for k in names], weights, values, known)
                 if len(cells.number) > HELD_CELLS:

@@ -23,6 +23,7 @@ from repweave.operators.joins import row_count_guard
 from repweave.plans import feature as FT
 from repweave.plans import oracle as O
 from repweave.plans import prepare as P
+from repweave.session import compile_wide_stages
 from repweave.sources import testdata as T
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +34,7 @@ SQL: dict[str, str] = {}
 def register(name: str, sql: str | None = None):
     def deco(fn: QueryFn) -> QueryFn:
         def wrapped(spark: SparkSession, sf_dir: str) -> DataFrame:
+            compile_wide_stages(spark)
             return round_doubles(fn(spark, sf_dir), 9)
         wrapped.__name__ = fn.__name__
         wrapped.__doc__ = fn.__doc__
@@ -1012,7 +1014,7 @@ def check_manual(spark, sf_dir):
     from repweave.operators.by_hand import KEYS, by_hand
     ei = est_input(spark, sf_dir)
     est = FT.estimate(ei)
-    hand = by_hand(rolling_fanout(ei, est.n_weeks).withColumn("interval_start", F.col("interval_start").cast("int")))
+    hand = by_hand(ei, n_weeks=est.n_weeks)
     cells = est.geo.where("race_indicator <> 'total'").unionByName(est.national)
     j = cells.select(*KEYS, "week_num", "diff_mean", "diff_se").join(hand.drop("week_num"), KEYS, "left")
     near = lambda a, b: F.abs(F.col(a) - F.col(b)) <= 1.5e-8

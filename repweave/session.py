@@ -18,6 +18,7 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -55,6 +56,13 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
+def compile_wide_stages(spark: SparkSession) -> None:
+    """The projections of recodes and weights make methods of over 8000 bytecodes, which HotSpot interprets, row by
+    row, unless the JVM was started with ``JIT_OPTS``. Under this limit Spark generates them operator by operator, in
+    small methods. It is a setting of plans alone, so it also serves a session that the caller has made."""
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", DEFAULT_CONF["spark.sql.codegen.hugeMethodLimit"])
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a stage folder in whatever file system the path names."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
