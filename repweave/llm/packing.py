@@ -26,7 +26,9 @@ import json
 import os
 import re
 import zlib
-from collections.abc import Iterator
+from bisect import bisect_right
+from collections.abc import Callable, Iterator
+from itertools import pairwise
 from operator import itemgetter
 
 import numpy as np
@@ -48,10 +50,16 @@ PACKED_ARROW = pa.schema([(n, pa.int64()) for n in
                           ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")])
 
 #: Texts of these characters alone are cut at changes between letters, digits and signs just
-#: as the tokenizer's own pre-tokeniser cuts them; all other texts go to it word by word.
+#: as the tokenizer's own pre-tokeniser cuts them; of all other texts, so are the words of these
+#: characters alone, and the other words go to it.
 _ODD = re.compile(r"[^\t-\r -&(-~À-ÖØ-öø-ÿ]")
-_RUN = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9\s]+")
 
+# kinds of bytes of such texts: 0 white space, 1 letters (all characters beyond ASCII are), 2 digits, 3 signs
+RUN_KINDS = bytes(0 if c in b" \t\n\r\x0b\x0c" else 1 if c >= 128 or chr(c).isalpha() else 2 if chr(c).isdigit() else 3
+                  for c in range(256))
+DIGIT = 2
+#: Kinds of bytes that cut at white space alone.
+WORD_KINDS = bytes(min(k, 1) for k in RUN_KINDS)
 
 # FIXED VALUES: the normaliser and pre-tokeniser, as tokenizer files write them, that cut as the patterns above do.
 RUN_SPEC = (
@@ -63,13 +71,41 @@ RUN_SPEC = (
         {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]})
 
 
+class Remembered:
+    """Ids of the ``most`` runs or words met last, roughly: when half of them are new, those not met since the
+    last time are forgotten, so the frequent ones stay whatever rare ones pass."""
+
+    def __init__(self, encode: Callable[[list[bytes]], list[bytes]], most: int):
+        self.encode, self.half = encode, most // 2
+        self.new: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+
+    def ids(self, keys: list[bytes]) -> list[bytes]:
+        if len(self.new) > self.half:
+            self.old, self.new = self.new, {}
+        found = list(map(self.new.get, keys))
+        gaps = [i for i, x in enumerate(found) if x is None]
+        missing = {}
+        for i in gaps:
+            if (known := self.old.get(keys[i])) is None:
+                missing[keys[i]] = None
+            else:
+                self.new[keys[i]] = known
+        if missing:
+            self.new.update(zip(missing, self.encode(list(missing)), strict=True))
+        for i in gaps:
+            found[i] = self.new[keys[i]]
+        return found
+
+
 class WordTokenizer:
     """Token ids of whole texts as little-endian 32-bit bytes. With a tokenizer of ``RUN_SPEC`` the ids of
-    runs and words are remembered; any other one is given whole texts."""
+    runs and words are remembered; any other one is given whole texts. Python sees each run or word of a call
+    once: numpy cuts all texts at once, Arrow numbers what is equal and lays the ids out again in the texts' order."""
 
     def __init__(self, path: str, cache_words: int = CACHE_WORDS):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
         # the cut into remembered runs is exact for this normaliser and pre-tokeniser alone; others get whole texts
         spec = json.loads(self.tokenizer.to_str())
@@ -78,57 +114,75 @@ class WordTokenizer:
         vocab = self.tokenizer.get_vocab()
         self.ends_word = np.zeros(max(vocab.values()) + 1, dtype=bool)
         self.ends_word[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
-        self.runs: dict[str, bytes] = {}
-        self.words: dict[bytes, bytes] = {}
-        self.cache_words = cache_words
+        # the same model for runs that are normalised and cut already
+        self.run_tokenizer = Tokenizer(self.tokenizer.model)
+        self.run_tokenizer.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.runs = Remembered(self._encode_runs, cache_words)
+        self.words = Remembered(lambda words: self._by_characters([w.decode() for w in words], self._encode), cache_words)
 
     def _encode(self, items: list[str]) -> list[bytes]:
         out = self.tokenizer.encode_batch_fast(items, add_special_tokens=False)
         return [np.asarray(x.ids, dtype="<u4").tobytes() for x in out]
 
-    def _encode_runs(self, runs: list[str]) -> list[bytes]:
+    def _encode_runs(self, runs: list[bytes]) -> list[bytes]:
         """Ids of runs that the tokenizer takes as one word each: many are encoded as one text,
         which is cut behind each token that ends a word."""
         out: list[bytes] = []
         for at in range(0, len(runs), 4096):
             part = runs[at:at + 4096]
-            ids = np.asarray(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, dtype="<u4")
+            text = b" ".join(part).decode()
+            ids = np.asarray(self.run_tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
             ends = (4 * (np.flatnonzero(self.ends_word[ids]) + 1)).tolist()
             if len(ends) != len(part):
-                out += self._encode(part)
+                out += self._encode([r.decode() for r in part])
                 continue
             data = ids.tobytes()
             out += [data[a:b] for a, b in zip([0, *ends[:-1]], ends)]
         return out
 
-    def _known(self, cache: dict, many: list[list], encode) -> dict:
-        """The cache with the ids of all that ``many`` hold."""
-        if len(cache) > self.cache_words:
-            cache.clear()
-        missing = list(set().union(*many).difference(cache))
-        if missing:
-            cache.update(zip(missing, encode(missing), strict=True))
-        return cache
+    @staticmethod
+    def _by_parts(many: list[bytes], kinds: bytes, known: Remembered) -> list[bytes]:
+        """The ids of each text, part by part: a part begins where the kind of byte changes, and at each digit."""
+        data = b" ".join(many)
+        kind = np.frombuffer(data.translate(kinds), dtype=np.uint8)
+        begins = kind != 0
+        begins[1:] &= (kind[1:] != kind[:-1]) | (kind[1:] == DIGIT)
+        starts = np.flatnonzero(begins)
+        if not len(starts):
+            return [b""] * len(many)
+        # a part runs up to the next, with the white space between them; what is before the first is left out
+        parts = pa.Array.from_buffers(pa.large_binary(), len(starts), [
+            None, pa.py_buffer(np.append(starts, len(data)).astype(np.int64)), pa.py_buffer(data)]).dictionary_encode()
+        _, offsets, values = parts.dictionary.buffers()
+        ends, each = np.frombuffer(offsets, dtype=np.int64, count=len(parts.dictionary) + 1).tolist(), values.to_pybytes()
+        ids = known.ids([each[a:b].rstrip() for a, b in pairwise(ends)])
+        _, offsets, values = pa.array(ids, type=pa.large_binary()).take(parts.indices).buffers()
+        at = np.searchsorted(starts, np.cumsum([0, *(len(x) + 1 for x in many)]))
+        cuts = np.frombuffer(offsets, dtype=np.int64, count=len(starts) + 1)[at].tolist()
+        laid = memoryview(values or b"")
+        return [bytes(laid[a:b]) for a, b in pairwise(cuts)]
+
+    def _by_characters(self, many: list[str], encode: Callable[[list[str]], list[bytes]]) -> list[bytes]:
+        """The ids of each text or word: run by run, or from ``encode`` if it has odd characters."""
+        plain, other = {}, {}
+        for i, x in enumerate(many):
+            if _ODD.search(x):
+                other[i] = x
+            else:
+                plain[i] = x.lower().encode()
+        found = dict(zip(plain, self._by_parts(list(plain.values()), RUN_KINDS, self.runs), strict=True))
+        found |= zip(other, encode(list(other.values())) if other else [], strict=True)
+        return [found[i] for i in range(len(many))]
 
     def ids(self, many: list[str]) -> list[bytes]:
         """The ids of each text, without special tokens added."""
         if not self.by_runs:
             return self._encode(many)
-        out: list[bytes] = [b""] * len(many)
-        plain, other = [], []
-        for i, x in enumerate(many):
-            if any(s in x for s in self.specials):
-                out[i] = self._encode([x])[0]
-            elif _ODD.search(x):
-                other.append((i, x.encode().split()))
-            else:
-                plain.append((i, _RUN.findall(x.lower())))
-        for part, cache, encode in ((plain, self.runs, self._encode_runs),
-                                    (other, self.words, lambda ws: self._encode([w.decode() for w in ws]))):
-            known = self._known(cache, [x for _, x in part], encode) if part else cache
-            for i, x in part:
-                out[i] = b"".join([known[w] for w in x])
-        return out
+        special = {i for i, x in enumerate(many) if any(s in x for s in self.specials)}
+        out = iter(self._by_characters([x for i, x in enumerate(many) if i not in special], lambda other: self._by_parts(
+            [x.encode() for x in other], WORD_KINDS, self.words)))
+        return [self._encode([x])[0] if i in special else next(out) for i, x in enumerate(many)]
 
 
 def differencing(sizes: list[int], k: int) -> list[list[int]]:
@@ -136,26 +190,34 @@ def differencing(sizes: list[int], k: int) -> list[list[int]]:
     filled bin; the two partitions of the largest spread are merged, the fullest bin of one
     onto the emptiest of the other. Partitions hold only their filled bins; a bin not held
     is empty. Returns the item numbers of the filled bins."""
-    heap = [(-s, i, [(s, [i])]) for i, s in enumerate(sizes)]
+    # spread, turn, sums of the bins as negative numbers (so that the fullest stand first) and their items
+    heap = [(-s, i, [-s], [[i]]) for i, s in enumerate(sizes)]
     heapq.heapify(heap)
     turn = len(heap)
     while len(heap) > 1:
-        _, _, a = heapq.heappop(heap)
-        _, _, b = heapq.heappop(heap)
-        spare = k - len(a)  # both are in falling order; the fullest of b go into a's empty bins
-        bins = b[:spare] if spare else []
-        rest = b[spare:]  # its least filled bins meet a's, least onto fullest
-        keep = len(a) - len(rest)
-        merged = a[:keep] if rest else a
-        if rest:
+        _, _, a, a_items = heapq.heappop(heap)
+        _, _, b, b_items = heapq.heappop(heap)
+        if len(b) == 1:  # by far the most: a single item goes onto the emptiest bin, all others stay in order
+            [s], [items] = b, b_items
+            if len(a) == k:
+                s, items = a.pop() + s, a_items.pop() + items
+            at = bisect_right(a, s)
+            a.insert(at, s)
+            a_items.insert(at, items)
+        else:
+            spare = k - len(a)  # both are in falling order; the fullest of b go into a's empty bins
             # b's remaining bins, from the fullest down, meet a's emptiest bins, from the emptiest up
-            merged = a[:keep] + [(x[0] + y[0], x[1] + y[1]) for x, y in zip(a[keep:], rest[::-1], strict=True)]
             # a falls, reversed b rises: each pair joins a larger with a smaller bin
-        merged = sorted(merged + bins, key=itemgetter(0), reverse=True)
-        low = merged[-1][0] if len(merged) == k else 0
-        heapq.heappush(heap, (low - merged[0][0], turn, merged))
+            keep = min(len(a), len(a) + spare - len(b))
+            bins = [*zip(a[:keep], a_items[:keep], strict=True),
+                    *((x + y, p + q) for x, p, y, q in zip(a[keep:], a_items[keep:], b[spare:][::-1], b_items[spare:][::-1],
+                                                           strict=True)),
+                    *zip(b[:spare], b_items[:spare], strict=True)]
+            bins.sort(key=itemgetter(0))
+            a, a_items = [x for x, _ in bins], [p for _, p in bins]
+        heapq.heappush(heap, (a[0] - a[-1] if len(a) == k else a[0], turn, a, a_items))
         turn += 1
-    return [items for _, items in heap[0][2]] if heap else []
+    return heap[0][3] if heap else []
 
 
 def windows(sizes: list[int], capacity: int) -> list[list[int]]:
@@ -256,13 +318,11 @@ def pack(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: s
             return batch(PACKED_ARROW, [list(c) for c in zip(*rows, strict=True)])
 
         for rb in batches:
-            ids, many = rb.column(0).to_pylist(), texts(rb.column(1))
-            for at in range(0, len(ids), 256):
-                rows: list[tuple] = []
-                for doc_id, t in zip(ids[at:at + 256], tok.ids(many[at:at + 256]), strict=True):
-                    rows.extend(packer.add(doc_id, t + end))
-                if rows:
-                    yield out(rows)
+            rows: list[tuple] = []
+            for doc_id, t in zip(rb.column(0).to_pylist(), tok.ids(texts(rb.column(1))), strict=True):
+                rows.extend(packer.add(doc_id, t + end))
+            if rows:
+                yield out(rows)
         if rows := list(packer.flush(last=True)):
             yield out(rows)
 

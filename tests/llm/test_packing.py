@@ -109,3 +109,63 @@ def test_ids_of_any_tokenizer_are_its_own(name):
     plain = Tokenizer.from_file(public_tokenizers.path(name))
     got = packing.WordTokenizer(public_tokenizers.path(name)).ids(texts)
     assert [np.frombuffer(g, dtype="<u4").tolist() for g in got] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def counted(tok, name):
+    """Counts the items given to the method."""
+    given, whole = [], getattr(tok, name)
+
+    def count(items):
+        given.extend(items)
+        return whole(items)
+    return given, count
+
+
+@pytest.mark.parametrize("odd", ["", " it's \u201codd\u201d"])
+def test_python_sees_each_run_of_a_call_once(tokenizer, odd):
+    many = ["Pack 12 w\u00efndows, PACK windows.  \n" * 400 + odd, "" + odd, " \t\n" + odd, "\n windows pack" + odd] * 5
+    tok = packing.WordTokenizer(tokenizer_path())
+    known = tok.words if odd else tok.runs
+    keys, known.ids = counted(known, "ids")
+    assert tok.ids(many) == [plain(tokenizer, t) for t in many]
+    assert len(keys) <= 2 * len(set(keys)) < 30  # each with and without white space behind it
+
+
+def test_frequent_runs_stay_remembered_while_rare_ones_pass(tokenizer):
+    asked = []
+
+    class Counting(packing.WordTokenizer):
+        def _encode_runs(self, runs):
+            asked.extend(r if isinstance(r, str) else r.decode() for r in runs)
+            return super()._encode_runs(runs)
+
+    tok = Counting(tokenizer_path(), cache_words=100)
+    rare = ["".join(random.Random(i).choices("abcdefgh", k=12)) for i in range(1000)]
+    for at in range(0, 1000, 10):
+        text = "often " + " ".join(rare[at:at + 10])
+        assert tok.ids([text]) == [plain(tokenizer, text)]
+        assert len(tok.runs.new) + len(tok.runs.old) <= 100 + 2 * 11
+    assert asked.count("often") == 1
+
+
+def differencing_by_rule(sizes, k):
+    """Karmarkar-Karp over all k bins, filled or not: the fullest of one partition onto the emptiest of the other."""
+    parts = [[(s, [i])] + [(0, [])] * (k - 1) for i, s in enumerate(sizes)]
+    turns = list(range(len(sizes)))
+    while len(parts) > 1:
+        order = sorted(range(len(parts)), key=lambda i: (parts[i][-1][0] - parts[i][0][0], turns[i]))
+        a, b = (parts[i] for i in order[:2])
+        both = sorted(((x[0] + y[0], x[1] + y[1]) for x, y in zip(a, b[::-1])), key=lambda x: -x[0])
+        parts = [parts[i] for i in sorted(order[2:])] + [both]
+        turns = [turns[i] for i in sorted(order[2:])] + [max(turns) + 1]
+    return sorted(s for s, _ in parts[0] if s)
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_differencing_follows_the_rule(seed):
+    rng = random.Random(seed)
+    sizes = [rng.randint(1, rng.choice([9, 900])) for _ in range(rng.choice([5, 60, 120]))]
+    k = rng.choice([1, 2, 7, 40, 130])
+    bins = packing.differencing(sizes, k)
+    assert sorted(i for b in bins for i in b) == list(range(len(sizes)))
+    assert sorted(sum(sizes[i] for i in b) for b in bins) == differencing_by_rule(sizes, k)
